@@ -101,7 +101,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     place = (id(spark), sf_dir, name)
     if place not in _LOADED:
         df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        _LOADED[place] = spread(df) if name in ("documents", "pages") else df
+        _LOADED[place] = spread(df) if name in ("documents", "pages", "orders") else df
     return _LOADED[place]
 
 

@@ -11,6 +11,7 @@ from recordforge.functions.text import (
     NUMERIC_CONFUSION,
     blank_to_null,
     free_text,
+    let,
     meaningful_lines,
     numeric_text,
     repair_ids,
@@ -57,18 +58,18 @@ def confusions(column: Column) -> Column:
 
 def ledger_serial(column: Column) -> Column:
     """Serial with its year when both are seen, otherwise the first number."""
-    text = F.translate(free_text(F.coalesce(column, F.lit(""))), "OQSLI", "00511")
     with_year = f"{NOT_AFTER_WORD}(\\d{{3,5}})\\s*[/\\\\|]\\s*(\\d{{2,4}}){NOT_BEFORE_WORD}"
     alone = f"{NOT_AFTER_WORD}(\\d{{1,5}}){NOT_BEFORE_WORD}"
 
     def clean(digits: Column) -> Column:
-        cut = F.when((F.length(digits) > 3) & digits.startswith("4"), F.substring(digits, 1, 3)).otherwise(digits)
-        return strip_zeros(cut)
+        cut = lambda d: F.when((F.length(d) > 3) & d.startswith("4"), F.substring(d, 1, 3)).otherwise(d)
+        return strip_zeros(let(digits, cut))
 
-    number, year = found(text, with_year, 1), F.regexp_extract(text, with_year, 2)
-    return F.coalesce(
-        F.when(number.isNotNull(), F.concat(clean(number), F.lit("/"), F.substring(year, -2, 2))), clean(found(text, alone, 1))
-    )
+    def serial(text: Column) -> Column:
+        year = F.substring(F.regexp_extract(text, with_year, 2), -2, 2)
+        return F.coalesce(F.concat(clean(found(text, with_year, 1)), F.lit("/"), year), clean(found(text, alone, 1)))
+
+    return let(F.translate(free_text(F.coalesce(column, F.lit(""))), "OQSLI", "00511"), serial)
 
 
 def typed_serial(column: Column) -> Column:
@@ -80,28 +81,37 @@ def typed_serial(column: Column) -> Column:
 
 def _money_of_line(line: Column) -> Column:
     text = F.regexp_replace(F.translate(line, "O", "0"), "(?<=\\d)[IL](?=\\d)", "1")
-    groups = all_found(text, "\\d+")
-    count, last = F.size(groups), F.try_element_at(groups, F.lit(-1))
-    front = F.array_join(F.slice(groups, 1, F.greatest(count - 1, F.lit(0))), "")
-    unlike = F.replace(text, F.lit("RM"), F.lit("")).rlike("[A-Z]")
-    bare = ~text.contains("RM") & (count == 1) & (F.length(last) < 2)
-    readable = (count > 0) & ~unlike & ~bare
-    cents_apart = readable & (count >= 2) & (F.length(last) <= 2)
-    glued = readable & (count == 1) & (F.length(last) >= 3)
-    ringgit = lambda whole, cents: F.concat(F.lit("RM "), strip_zeros(whole), F.lit("."), cents)
-    return (
-        F.when(cents_apart, ringgit(front, F.rpad(last, 2, "0")))
-        .when(glued, ringgit(F.substring(last, F.lit(1), F.length(last) - 2), F.substring(last, -2, 2)))
-        .when(readable & (count == 1), ringgit(last, F.lit("00")))
-    )
+    parts = let(text, lambda t: F.struct(t.alias("text"), all_found(t, "\\d+").alias("groups")))
+
+    def amount(p: Column) -> Column:
+        text, groups = p["text"], p["groups"]
+        count, last = F.size(groups), F.try_element_at(groups, F.lit(-1))
+        front = F.array_join(F.slice(groups, F.lit(1), F.greatest(count - 1, F.lit(0))), "")
+        unlike = F.replace(text, F.lit("RM"), F.lit("")).rlike("[A-Z]")
+        bare = ~text.contains("RM") & (count == 1) & (F.length(last) < 2)
+        readable = (count > 0) & ~unlike & ~bare
+        cents_apart = readable & (count >= 2) & (F.length(last) <= 2)
+        glued = readable & (count == 1) & (F.length(last) >= 3)
+        ringgit = lambda whole, cents: F.concat(F.lit("RM "), strip_zeros(whole), F.lit("."), cents)
+        return (
+            F.when(cents_apart, ringgit(front, F.rpad(last, 2, "0")))
+            .when(glued, ringgit(F.substring(last, F.lit(1), F.length(last) - 2), F.substring(last, -2, 2)))
+            .when(readable & (count == 1), ringgit(last, F.lit("00")))
+        )
+
+    return let(parts, amount)
 
 
 def ledger_money(column: Column) -> Column:
     """struct(value, raw, needs_review) from the last line that is only digits and currency."""
     priced = F.transform(meaningful_lines(column), lambda l: F.struct(_money_of_line(l).alias("value"), l.alias("raw")))
     last = F.try_element_at(F.filter(priced, lambda p: p["value"].isNotNull()), F.lit(-1))
-    review = F.coalesce(~last["raw"].contains("RM"), F.lit(False))
-    return F.struct(last["value"].alias("value"), last["raw"].alias("raw"), review.alias("needs_review"))
+
+    def flagged(l: Column) -> Column:
+        review = F.coalesce(~l["raw"].contains("RM"), F.lit(False))
+        return F.struct(l["value"].alias("value"), l["raw"].alias("raw"), review.alias("needs_review"))
+
+    return let(last, flagged)
 
 
 def typed_money(column: Column) -> Column:
@@ -109,11 +119,15 @@ def typed_money(column: Column) -> Column:
     pattern = f"(?i){NOT_AFTER_WORD}RM\\s*([0-9][0-9\\s,]*(?:\\.[0-9]{{1,2}})?)"
     amount = found(column, pattern, 1)
     # Blanks and commas separate thousands; any other white space makes the amount unreadable.
-    number = F.regexp_replace(amount, "[ ,]", "")
-    number = F.when(strip(number).rlike("^[0-9]+(\\.[0-9]+)?$"), strip(number))
-    whole, cents = F.split_part(number, F.lit("."), F.lit(1)), F.split_part(number, F.lit("."), F.lit(2))
-    grouped = F.reverse(F.regexp_replace(F.reverse(strip_zeros(whole)), "(\\d{3})(?=\\d)", "$1,"))
-    return F.concat(F.lit("RM "), grouped, F.when(cents == "", F.lit("")).otherwise(F.concat(F.lit("."), cents)))
+    number = strip(F.regexp_replace(amount, "[ ,]", ""))
+
+    def grouped(n: Column) -> Column:
+        whole, cents = F.split_part(n, F.lit("."), F.lit(1)), F.split_part(n, F.lit("."), F.lit(2))
+        thousands = F.reverse(F.regexp_replace(F.reverse(strip_zeros(whole)), "(\\d{3})(?=\\d)", "$1,"))
+        ending = F.when(cents == "", F.lit("")).otherwise(F.concat(F.lit("."), cents))
+        return F.when(n.rlike("^[0-9]+(\\.[0-9]+)?$"), F.concat(F.lit("RM "), thousands, ending))
+
+    return let(number, grouped)
 
 
 # ---------------------------------------------------------------- ages
@@ -131,7 +145,7 @@ def ledger_ages(column: Column, low: int = AGE_LOW, high: int = AGE_HIGH) -> Col
 def typed_age(column: Column, low: int = 16, high: int = 120) -> Column:
     lines = F.filter(F.transform(F.split(column, "\\r\\n|[\\n\\r]"), strip), lambda l: l != "")
     age = found(F.try_element_at(lines, F.lit(1)), f"{NOT_AFTER_WORD}(\\d{{1,3}}){NOT_BEFORE_WORD}", 1).cast("int")
-    return F.when(age.between(low, high), age)
+    return let(age, lambda a: F.when(a.between(low, high), a))
 
 
 # ---------------------------------------------------------------- identity numbers
@@ -152,17 +166,11 @@ def id_candidate(column: Column) -> Column:
 
     A text gives at most one candidate: twelve characters are a modern number, fewer a legacy one.
     """
-    prepared = squeeze(F.regexp_replace(F.upper(column), "[^A-Z0-9|./\\-\\s]", " "))
-    compact = F.regexp_replace(prepared, "[^A-Z0-9|]", "")
-    modern_digits = F.translate(compact, *NUMERIC_CONFUSION)
-    modern = (F.length(compact) == 12) & modern_digits.rlike("^\\d{12}$") & valid_birth_digits(modern_digits)
-    joined = F.regexp_replace(prepared, "[\\s.-]+", "")
-    lettered = joined.rlike("^[A-Z]{1,3}(?:/[A-Z]{1,3})?\\d{5,8}$")
     shape = "^([A-Z])?([A-Z0-9|]{5,8})([A-Z])?$"
-    body = F.regexp_extract(compact, shape, 2)
-    body_digits = F.translate(body, *NUMERIC_CONFUSION)
-    plain = (F.length(compact) != 12) & compact.rlike(shape) & body_digits.rlike("^\\d+$")
-    plain_value = F.concat(F.regexp_extract(compact, shape, 1), body_digits, F.regexp_extract(compact, shape, 3))
+    prepared = squeeze(F.regexp_replace(F.upper(column), "[^A-Z0-9|./\\-\\s]", " "))
+
+    def forms(p: Column) -> Column:
+        return F.struct(F.regexp_replace(p, "[^A-Z0-9|]", "").alias("compact"), F.regexp_replace(p, "[\\s.-]+", "").alias("joined"))
 
     def scored(value: Column, n: Column, validity: float, plausibility: float, fixed: bool = False) -> Column:
         changed = F.lit(False) if fixed else n > 0
@@ -176,35 +184,62 @@ def id_candidate(column: Column) -> Column:
             n.cast("int").alias("substitutions"),
         )
 
-    return (
-        F.when(modern, scored(modern_digits, confusions(compact), 1.0, 0.99))
-        .when((F.length(compact) != 12) & lettered, scored(joined, F.lit(0), 1.0, 1.0, fixed=True))
-        .when(plain, scored(plain_value, confusions(body), 0.98, 0.97))
-    )
+    def digits(f: Column) -> Column:
+        body = F.regexp_extract(f["compact"], shape, 2)
+        return F.struct(
+            f["compact"].alias("compact"), f["joined"].alias("joined"), (F.length(f["compact"]) == 12).alias("twelve"),
+            F.translate(f["compact"], *NUMERIC_CONFUSION).alias("modern"),
+            body.alias("body"), F.translate(body, *NUMERIC_CONFUSION).alias("body_digits"),
+        )
+
+    def candidate(f: Column) -> Column:
+        modern = f["twelve"] & f["modern"].rlike("^\\d{12}$") & valid_birth_digits(f["modern"])
+        lettered = ~f["twelve"] & f["joined"].rlike("^[A-Z]{1,3}(?:/[A-Z]{1,3})?\\d{5,8}$")
+        plain = ~f["twelve"] & f["body_digits"].rlike("^\\d+$")
+        plain_value = F.concat(F.regexp_extract(f["compact"], shape, 1), f["body_digits"], F.regexp_extract(f["compact"], shape, 3))
+        return (
+            F.when(modern, scored(f["modern"], confusions(f["compact"]), 1.0, 0.99))
+            .when(lettered, scored(f["joined"], F.lit(0), 1.0, 1.0, fixed=True))
+            .when(plain, scored(plain_value, confusions(f["body"]), 0.98, 0.97))
+        )
+
+    return let(let(let(prepared, forms), digits), candidate)
 
 
 def ledger_ids(column: Column) -> Column:
     """struct(legacy, modern, raw): a letter-led legacy number, a 12-digit one, or a bare legacy number."""
-    text = repair_ids(column)
-    lettered, modern_raw, bare = found(text, LEGACY_ID), found(text, MODERN_ID), found(text, LEGACY_NUMBER)
-    plain = F.concat(F.regexp_extract(text, LEGACY_ID, 1), F.regexp_extract(text, LEGACY_ID, 2))
-    legacy = F.when(lettered.isNotNull(), F.coalesce(id_candidate(lettered)["value"], plain)).when(
-        bare.isNotNull() & modern_raw.isNull(), F.coalesce(id_candidate(bare)["value"], bare)
-    )
-    modern = id_candidate(modern_raw)["value"]
-    raw = F.concat_ws(" / ", F.trim(F.coalesce(lettered, bare)), F.trim(modern_raw))
-    return F.struct(legacy.alias("legacy"), modern.alias("modern"), blank_to_null(raw).alias("raw"))
+
+    def seen(text: Column) -> Column:
+        plain = F.concat(F.regexp_extract(text, LEGACY_ID, 1), F.regexp_extract(text, LEGACY_ID, 2))
+        return F.struct(
+            found(text, LEGACY_ID).alias("lettered"), plain.alias("plain"),
+            found(text, MODERN_ID).alias("modern"), found(text, LEGACY_NUMBER).alias("bare"),
+        )
+
+    def chosen(s: Column) -> Column:
+        lettered, modern, bare = s["lettered"], s["modern"], s["bare"]
+        legacy = F.when(lettered.isNotNull(), F.coalesce(id_candidate(lettered)["value"], s["plain"])).when(
+            bare.isNotNull() & modern.isNull(), F.coalesce(id_candidate(bare)["value"], bare)
+        )
+        raw = F.concat_ws(" / ", F.trim(F.coalesce(lettered, bare)), F.trim(modern))
+        return F.struct(legacy.alias("legacy"), id_candidate(modern)["value"].alias("modern"), blank_to_null(raw).alias("raw"))
+
+    return let(let(repair_ids(column), seen), chosen)
 
 
 def typed_ids(column: Column) -> Column:
     """struct(legacy, modern) of the typed form: modern, else letter-led, else 7 or 8 bare digits."""
-    text = F.upper(column)
-    modern = F.regexp_replace(
-        found(text, f"{NOT_AFTER_WORD}\\d{{6}}[\\s./-]*\\d{{2}}[\\s./-]*\\d{{4}}{NOT_BEFORE_WORD}"), "\\D", ""
-    )
-    lettered = F.regexp_replace(found(text, "(?:[A-Z]{1,3}/[A-Z]{1,3}|[A-Z])[-\\s./]*\\d{5,7}"), "[\\s.]", "")
-    bare = found(text, f"{NOT_AFTER_WORD}\\d{{7,8}}{NOT_BEFORE_WORD}")
-    return F.struct(F.when(modern.isNull(), F.coalesce(lettered, bare)).alias("legacy"), modern.alias("modern"))
+
+    def seen(text: Column) -> Column:
+        modern = found(text, f"{NOT_AFTER_WORD}\\d{{6}}[\\s./-]*\\d{{2}}[\\s./-]*\\d{{4}}{NOT_BEFORE_WORD}")
+        lettered = F.regexp_replace(found(text, "(?:[A-Z]{1,3}/[A-Z]{1,3}|[A-Z])[-\\s./]*\\d{5,7}"), "[\\s.]", "")
+        bare = found(text, f"{NOT_AFTER_WORD}\\d{{7,8}}{NOT_BEFORE_WORD}")
+        return F.struct(F.coalesce(lettered, bare).alias("legacy"), F.regexp_replace(modern, "\\D", "").alias("modern"))
+
+    def chosen(s: Column) -> Column:
+        return F.struct(F.when(s["modern"].isNull(), s["legacy"]).alias("legacy"), s["modern"].alias("modern"))
+
+    return let(let(F.upper(column), seen), chosen)
 
 
 # ---------------------------------------------------------------- dates
@@ -212,12 +247,18 @@ def typed_ids(column: Column) -> Column:
 
 def _calendar_day(day: Column, month: Column, year: Column) -> Column:
     """dd-MM-yyyy when the three digit groups name a real day; two-digit years turn at the pivot."""
-    d, m, y = (x.try_cast("int") for x in (day, month, year))
-    y = F.when(F.length(year) == 2, F.when(y <= CENTURY_PIVOT, y + 2000).otherwise(y + 1900)).otherwise(y)
-    leap = ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
-    real = y.between(1, 9999) & m.between(1, 12) & (d >= 1) & (d <= _days_in_month(m, leap))
-    two = lambda c: F.lpad(c.cast("string"), 2, "0")
-    return F.when(real, F.concat(two(d), F.lit("-"), two(m), F.lit("-"), y.cast("string")))
+    y = year.try_cast("int")
+    full = F.when(F.length(year) == 2, F.when(y <= CENTURY_PIVOT, y + 2000).otherwise(y + 1900)).otherwise(y)
+    numbers = F.struct(day.try_cast("int").alias("d"), month.try_cast("int").alias("m"), full.alias("y"))
+
+    def dated(n: Column) -> Column:
+        d, m, y = n["d"], n["m"], n["y"]
+        leap = ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
+        real = y.between(1, 9999) & m.between(1, 12) & (d >= 1) & (d <= _days_in_month(m, leap))
+        two = lambda c: F.lpad(c.cast("string"), 2, "0")
+        return F.when(real, F.concat(two(d), F.lit("-"), two(m), F.lit("-"), y.cast("string")))
+
+    return let(numbers, dated)
 
 
 def date_value(column: Column) -> Column:
@@ -225,43 +266,52 @@ def date_value(column: Column) -> Column:
     prepared = F.translate(F.upper(column), *NUMERIC_CONFUSION)
     prepared = squeeze(F.regexp_replace(prepared, "[^0-9./\\-\\s]", " "))
     groups = F.filter(F.split(prepared, "[-./\\s]+"), lambda g: g != "")
-    a, b, c = (F.get(groups, F.lit(i)) for i in range(3))
-    three = F.size(groups) == 3
-    year_first = F.when(three & (F.length(a) == 4), _calendar_day(c, b, a))
-    squeezed = F.when((F.size(groups) == 2) & (F.length(b) == 3), _calendar_day(a, F.substring(b, 1, 1), F.substring(b, 2, 2)))
-    return F.coalesce(F.when(three, _calendar_day(a, b, c)), year_first, squeezed)
+
+    def dated(groups: Column) -> Column:
+        a, b, c = (F.get(groups, F.lit(i)) for i in range(3))
+        three = F.size(groups) == 3
+        year_first = F.when(three & (F.length(a) == 4), _calendar_day(c, b, a))
+        collapsed = F.when((F.size(groups) == 2) & (F.length(b) == 3), _calendar_day(a, F.substring(b, 1, 1), F.substring(b, 2, 2)))
+        return F.coalesce(F.when(three, _calendar_day(a, b, c)), year_first, collapsed)
+
+    return let(groups, dated)
 
 
 def date_candidate(column: Column) -> Column:
     """Candidate struct of a date text, or NULL."""
-    value = date_value(column)
-    n = confusions(F.upper(column))
-    return F.when(
-        value.isNotNull(),
-        F.struct(
-            value.alias("value"),
-            F.when(n > 0, "typo_rule").otherwise("safe_normalisation").alias("source"),
-            F.when(n > 0, "date_digit_confusion").otherwise("date_normalisation").alias("correction_type"),
-            F.greatest(F.lit(0.0), F.lit(1.0) - n * F.lit(0.05)).alias("validity"),
-            F.greatest(F.lit(0.0), F.lit(0.98) - n * F.lit(0.04)).alias("plausibility"),
-            F.greatest(F.lit(0.0), F.lit(0.99) - n * F.lit(0.05)).alias("similarity"),
-            n.cast("int").alias("substitutions"),
-        ),
-    )
+    facts = F.struct(date_value(column).alias("value"), confusions(F.upper(column)).alias("n"))
+
+    def candidate(f: Column) -> Column:
+        n = f["n"]
+        return F.when(
+            f["value"].isNotNull(),
+            F.struct(
+                f["value"].alias("value"),
+                F.when(n > 0, "typo_rule").otherwise("safe_normalisation").alias("source"),
+                F.when(n > 0, "date_digit_confusion").otherwise("date_normalisation").alias("correction_type"),
+                F.greatest(F.lit(0.0), F.lit(1.0) - n * F.lit(0.05)).alias("validity"),
+                F.greatest(F.lit(0.0), F.lit(0.98) - n * F.lit(0.04)).alias("plausibility"),
+                F.greatest(F.lit(0.0), F.lit(0.99) - n * F.lit(0.05)).alias("similarity"),
+                n.cast("int").alias("substitutions"),
+            ),
+        )
+
+    return let(facts, candidate)
 
 
 def ledger_date(column: Column) -> Column:
     """struct(value, raw, needs_review): ISO, then day-first, then collapsed dates; first real one wins."""
-    text = numeric_text(column)
-    spots = F.concat(*[all_found(text, p) for p in (ISO_DATE, DAY_FIRST_DATE, COMPACT_DATE)])
+    spots = let(numeric_text(column), lambda text: F.concat(*[all_found(text, p) for p in (ISO_DATE, DAY_FIRST_DATE, COMPACT_DATE)]))
     dated = F.transform(spots, lambda s: F.struct(date_value(s).alias("value"), s.alias("raw")))
     first = F.try_element_at(F.filter(dated, lambda s: s["value"].isNotNull()), F.lit(1))
     leftover = blank_to_null(F.array_join(meaningful_lines(column), " "))
-    return F.struct(
-        first["value"].alias("value"),
-        F.coalesce(first["raw"], leftover).alias("raw"),
-        (first["value"].isNull() & leftover.isNotNull()).alias("needs_review"),
-    )
+
+    def result(f: Column) -> Column:
+        raw = F.coalesce(f["first"]["raw"], f["leftover"])
+        review = f["first"].isNull() & f["leftover"].isNotNull()
+        return F.struct(f["first"]["value"].alias("value"), raw.alias("raw"), review.alias("needs_review"))
+
+    return let(F.struct(first.alias("first"), leftover.alias("leftover")), result)
 
 
 def typed_date(column: Column) -> Column:
@@ -274,11 +324,15 @@ def typed_date(column: Column) -> Column:
 
 
 def valid_id(column: Column) -> Column:
-    compact = F.regexp_replace(F.upper(column), "[^A-Z0-9]", "")
-    spaced = F.regexp_replace(F.upper(column), "[ .]", "")
-    twelve = compact.rlike("^\\d{12}$")
-    other = spaced.rlike("^[A-Z]{1,3}(?:/[A-Z]{1,3})?\\d{5,8}$") | compact.rlike("^\\d{5,8}$")
-    return F.coalesce(F.when(twelve, valid_birth_digits(compact)).otherwise(other), F.lit(False))
+    forms = F.struct(
+        F.regexp_replace(F.upper(column), "[^A-Z0-9]", "").alias("compact"), F.regexp_replace(F.upper(column), "[ .]", "").alias("spaced")
+    )
+
+    def valid(f: Column) -> Column:
+        other = f["spaced"].rlike("^[A-Z]{1,3}(?:/[A-Z]{1,3})?\\d{5,8}$") | f["compact"].rlike("^\\d{5,8}$")
+        return F.when(f["compact"].rlike("^\\d{12}$"), valid_birth_digits(f["compact"])).otherwise(other)
+
+    return F.coalesce(let(forms, valid), F.lit(False))
 
 
 def suspicious_id(column: Column) -> Column:
@@ -295,5 +349,4 @@ def suspicious_name(column: Column) -> Column:
     """Empty, or with a digit; other odd characters never survive the preparation of a name."""
     from recordforge.functions.text import prepare_name
 
-    prepared = prepare_name(column)
-    return (prepared == "") | prepared.rlike("[0-9]")
+    return let(prepare_name(column), lambda p: (p == "") | p.rlike("[0-9]"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +22,15 @@ DOTTED_TERMS = ("BT", "BTE", "HJ", "HJH", "MOHD", "KG")
 NAME_STOP_WORDS = ("TAHUN", "TAHN", "TAHUH", "THN", "RM", "NO", "NIKAH", "KELUAR")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it any number of times in ``body``.
+
+    A Column that is used n times is also evaluated n times; nested rules would grow
+    exponentially.  A lambda over a one-element array binds it to a variable instead.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def blank_to_null(column: Column) -> Column:
     return F.nullif(column, F.lit(""))
 
@@ -74,10 +83,14 @@ def repair_ids(column: Column) -> Column:
     return F.trim(F.array_join(F.transform(parts, repaired), ""))
 
 
-def _drop_final_dot(value: Column) -> Column:
+def _drop_final_dot(text: Column) -> Column:
     """A dot after a last token of more than three letters ends the text, shorter ones are abbreviations."""
-    token = F.replace(F.substring_index(value, " ", -1), F.lit("."), F.lit(""))
-    return F.when(value.endswith(".") & (F.length(token) > 3), F.rtrim(value, F.lit("."))).otherwise(value)
+
+    def dropped(value: Column) -> Column:
+        token = F.replace(F.substring_index(value, " ", -1), F.lit("."), F.lit(""))
+        return F.when(value.endswith(".") & (F.length(token) > 3), F.rtrim(value, F.lit("."))).otherwise(value)
+
+    return let(text, dropped)
 
 
 def clean_name(column: Column) -> Column:

@@ -112,9 +112,13 @@ def _letters(column: Column) -> Column:
 
 def snap_value(letters: Column, vocabulary: Sequence[str] = RELATIONS, cutoff: float = SNAP_CUTOFF) -> Column:
     """Exact member of the vocabulary or the most similar one by edit distance, else NULL."""
-    ranked = F.array(*[F.struct(T.similarity(letters, F.lit(v)).alias("ratio"), F.lit(v).alias("value")) for v in vocabulary])
-    best = F.array_max(ranked)
-    return F.when(letters == "", F.lit(None)).when(letters.isin(list(vocabulary)), letters).when(best["ratio"] >= cutoff, best["value"])
+
+    def snapped(text: Column) -> Column:
+        ranked = F.array(*[F.struct(T.similarity(text, F.lit(v)).alias("ratio"), F.lit(v).alias("value")) for v in vocabulary])
+        near = T.let(F.array_max(ranked), lambda best: F.when(best["ratio"] >= cutoff, best["value"]))
+        return F.when(text == "", F.lit(None)).when(text.isin(list(vocabulary)), text).otherwise(near)
+
+    return T.let(letters, snapped)
 
 
 def snap_vocabulary(
@@ -176,7 +180,9 @@ def best_line(column: Column, field: str | None) -> Column:
     lines = F.filter(F.transform(T.raw_lines(column), lambda l: strip_label(T.strip(l), field)), lambda l: l != "")
 
     def ranked(line: Column, place: Column) -> Column:
-        upper = F.upper(line)
+        return T.let(F.upper(line), lambda upper: scored(line, upper, place))
+
+    def scored(line: Column, upper: Column, place: Column) -> Column:
         digit = line.rlike("\\d")
         words = F.size(F.regexp_extract_all(upper, F.lit("[A-Z@']+"), F.lit(0)))
         score = words - F.when(digit, 5).otherwise(0) - F.when(_any(upper, LOCATION_WORDS), 3).otherwise(0)
