@@ -31,7 +31,7 @@ CONFIDENCES = """select event_id as rec, case when event_id%2=0 then '{{"a": '||
 @query(
     "m2_confidence_map",
     """with v as (select event_id as rec, greatest(0.0::double, least(1.0::double, round(round(value/100, 5), 4))) as a from events)
- select rec, a, 0.0::double as b, case when rec%2=0 then 1.0::double end as c, round(case when rec%2=0 then (a+0.0+1.0)/3 else (a+0.0)/2 end, 3) as mean from v""",
+ select rec, a, 0.0::double as b, case when rec%2=0 then 1.0::double end as c, round(round(case when rec%2=0 then (a+0.0+1.0)/3 else (a+0.0)/2 end, 4), 3) as mean from v""",
 )
 def m2_confidence_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = M.confidence_map(fixtures.sql(spark, sf_dir, CONFIDENCES.format(s="string")), "conf")
@@ -80,7 +80,7 @@ LONG = "rr as (select * from fx_right where rec%17<>0), u as (" + " union all ".
  case outcome when 'filled' then filled_text when 'model' then field||': parser/model disagreement; chose model' when 'parser' then field||': parser/model disagreement; review required' end as reason,
  case when outcome in ('filled', 'model') then b else a end as chosen from u),
  g as (select rec, max(chosen) filter (no=0) as brand, max(chosen) filter (no=1) as type, max(chosen) filter (no=2) as name, max(chosen) filter (no=3) as size,
-  round(avg(weight), 3) as merge_confidence, string_agg(reason, '; ' order by no) as r1 from w group by rec),
+  round(round(avg(weight), 4), 3) as merge_confidence, string_agg(reason, '; ' order by no) as r1 from w group by rec),
  h as (select g.*, list_filter([case when g.rec%4=0 then 'parser note' end, r1, case when conf<0.80 then 'low model confidence: brand' end, case when 1.0-conf<0.80 then 'low model confidence: name' end,
   case when rr.rec%3=0 then 'model uncertain fields: type, size' end], lambda x: x is not null) as rs from g left join rr using (rec))"""
 
