@@ -282,9 +282,11 @@ def split_numbered(df: DataFrame, col: str, n: int = 2, prefix: str = "person_")
 
 
 def ordinal(column: Column, default: int = 1) -> Column:
-    """Integer of a text: its digits, or the last run of digits in it, or the default."""
-    runs = F.regexp_extract_all(column.cast("string"), F.lit("\\d+"), F.lit(0))
-    return F.coalesce(F.try_element_at(runs, F.lit(-1)).try_cast("int"), F.lit(default))
+    """Integer of a text: the whole of it, or the last run of digits in it, or the default."""
+    text = F.trim(column.cast("string"))
+    runs = F.regexp_extract_all(text, F.lit("\\d+"), F.lit(0))
+    whole = F.when(text.rlike("^-?\\d+$"), text.try_cast("int"))
+    return F.coalesce(whole, F.try_element_at(runs, F.lit(-1)).try_cast("int"), F.lit(default))
 
 
 def coerce_ordinal(df: DataFrame, col: str, default: int = 1, out: str | None = None) -> DataFrame:

@@ -25,13 +25,13 @@ def m1_parse_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CONFIDENCES = """select event_id as rec, case when event_id%2=0 then '{{"a": '||cast(round(value/100, 5) as {s})||', "b": "x", "c": 2}}'
- else '[{{"field": "a", "confidence": 0.1}}, {{"field": " ", "confidence": 1}}, {{"field": "b", "confidence": -3}}, {{"field": "a", "confidence": '||cast(round(value/100, 5) as {s})||'}}]' end as conf from events"""
+ else '[{{"field": "a", "confidence": 0.1}}, {{"field": " ", "confidence": 1}}, {{"field": "b", "confidence": -3}}, {{"field": "c", "confidence": "1.5"}}, {{"field": "a", "confidence": '||cast(round(value/100, 5) as {s})||'}}]' end as conf from events"""
 
 
 @query(
     "m2_confidence_map",
     """with v as (select event_id as rec, greatest(0.0::double, least(1.0::double, round(round(value/100, 5), 4))) as a from events)
- select rec, a, 0.0::double as b, case when rec%2=0 then 1.0::double end as c, round(round(case when rec%2=0 then (a+0.0+1.0)/3 else (a+0.0)/2 end, 4), 3) as mean from v""",
+ select rec, a, 0.0::double as b, 1.0::double as c, round(round((a+0.0+1.0)/3, 4), 3) as mean from v""",
 )
 def m2_confidence_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = M.confidence_map(fixtures.sql(spark, sf_dir, CONFIDENCES.format(s="string")), "conf")
