@@ -83,10 +83,10 @@ VIEWS: dict[str, tuple[str, str | None]] = {
         None,
     ),
     "fx_words": (
-        """select doc_id, 1 as page_no, ln, tn, cast(ln as bigint)*100000+tn as word_ix, tok as text, 0.5D+cast((ln*7+tn*3)%50 as double)/100 as confidence,
+        """select doc_id, 1 as page_no, ln, tn, cast(ln as bigint)*100000+tn as word_ix, tok as text, 0.5D+cast((ln*7+tn*3)%32 as double)/64 as confidence,
  tn*50.0D as x1, ln*20.0D as y1, tn*50.0D+40 as x2, ln*20.0D+12 as y2
  from (select doc_id, ln, tn, tok from documents lateral view posexplode(split(text,'\\n')) a as ln, line lateral view posexplode(split(line,' ')) b as tn, tok) t where tok<>''""",
-        """select doc_id, 1 as page_no, ln, tn, cast(ln as bigint)*100000+tn as word_ix, tok as text, 0.5::double+cast((ln*7+tn*3)%50 as double)/100 as confidence,
+        """select doc_id, 1 as page_no, ln, tn, cast(ln as bigint)*100000+tn as word_ix, tok as text, 0.5::double+cast((ln*7+tn*3)%32 as double)/64 as confidence,
  tn*50.0::double as x1, ln*20.0::double as y1, tn*50.0::double+40 as x2, ln*20.0::double+12 as y2
  from (select doc_id, ln, unnest(range(len(w))) as tn, unnest(w) as tok from (select doc_id, ln, string_split(line,' ') as w from (select doc_id, unnest(range(len(p))) as ln, unnest(p) as line from (select doc_id, string_split(text, chr(10)) as p from documents)))) where tok<>''""",
     ),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
@@ -192,35 +192,42 @@ def assign_words(
 # ---------------------------------------------------------------- reading order
 
 
-def group_lines_px(words: DataFrame, keys: Sequence[str]) -> DataFrame:
+Cut = Callable[[DataFrame], DataFrame]
+
+
+def _no_cut(df: DataFrame) -> DataFrame:
+    return df
+
+
+def group_lines_px(words: DataFrame, keys: Sequence[str], cut: Cut = _no_cut) -> DataFrame:
     """Reading order in pixel units: adds ``segment`` and ``part``; the pair numbers the line.
 
+    ``cut`` may materialise the segmented words (for example ``lambda d: d.checkpoint()``),
+    which several branches read; by default the plan stays lazy.
+
     Words run by (y1, x1); a word joins the last line while its centre is within
     max(10, 0.75 mean height) of the mean centre of that line.
     """
-    filled = words.select(
-        *keys, "word_ix", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"__{c}") for c in ("x1", "y1", "y2")]
-    ).withColumn("__cy", (F.col("__y1") + F.col("__y2")) / F.lit(2.0))
+    filled = words.withColumns({f"__{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in ("x1", "y1", "y2")})
+    filled = filled.withColumn("__cy", (F.col("__y1") + F.col("__y2")) / F.lit(2.0))
     height = F.greatest(F.lit(1.0), F.col("__y2") - F.col("__y1"))
     gaps = filled.groupBy(*keys).agg(
         F.greatest(F.lit(MIN_LINE_GAP_PX), F.avg(height) * F.lit(LINE_GAP_OF_HEIGHT)).alias("__tol")
     )
-    slim = filled.drop("__y2").join(gaps, list(keys))
-    lines = _group_lines(slim, keys, ["__y1", "__x1", "word_ix"], MIN_LINE_GAP_PX / 8)
-    return words.join(lines, [*keys, "word_ix"])
+    lines = _group_lines(filled.drop("__y2").join(gaps, list(keys)), keys, ["__y1", "__x1", "word_ix"], MIN_LINE_GAP_PX / 8, cut)
+    return lines.select(*words.columns, "segment", "part")
 
 
-def group_lines_unit(words: DataFrame, keys: Sequence[str], tolerance: float = LINE_TOLERANCE_UNIT) -> DataFrame:
+def group_lines_unit(words: DataFrame, keys: Sequence[str], tolerance: float = LINE_TOLERANCE_UNIT, cut: Cut = _no_cut) -> DataFrame:
     """Reading order in page units: words run by (centre y, x1) with a fixed tolerance."""
-    slim = words.select(
-        *keys, "word_ix", F.col("x1").alias("__x1"),
-        ((F.col("y1") + F.col("y2")) / F.lit(2.0)).alias("__cy"), F.lit(float(tolerance)).alias("__tol"),
+    prepared = words.withColumns(
+        {"__x1": F.col("x1"), "__cy": (F.col("y1") + F.col("y2")) / F.lit(2.0), "__tol": F.lit(float(tolerance))}
     )
-    lines = _group_lines(slim, keys, ["__cy", "__x1", "word_ix"], tolerance / 8)
-    return words.join(lines, [*keys, "word_ix"])
+    lines = _group_lines(prepared, keys, ["__cy", "__x1", "word_ix"], tolerance / 8, cut)
+    return lines.select(*words.columns, "segment", "part")
 
 
-def _group_lines(words: DataFrame, keys: Sequence[str], order: Sequence[str], band: float) -> DataFrame:
+def _group_lines(words: DataFrame, keys: Sequence[str], order: Sequence[str], band: float, cut: Cut) -> DataFrame:
     """Exact fold without folding whole cells.
 
     Words whose centres lie more than the tolerance below every centre before them start a
@@ -228,11 +235,11 @@ def _group_lines(words: DataFrame, keys: Sequence[str], order: Sequence[str], ba
     no taller than the tolerance is one line.  Only taller segments are folded word by word.
     """
     segment_key = [*keys, "segment"]
-    segments = band_segments(words, keys, order[0], band, "__cy", "__cy", "__tol")
+    segments = cut(band_segments(words, keys, order[0], band, "__cy", "__cy", "__tol"))
     is_tall = F.col("segment_high") - F.col("segment_low") > F.col("__tol")
     short = segments.where(~is_tall).withColumn("part", F.lit(0))
     tall = segments.where(is_tall)
-    out = [*keys, "word_ix", "segment"]
+    out = [c for c in tall.columns if not c.startswith("segment_")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tall.select(*out).schema.fields) + ", `part` int"
     by = list(order)
 
@@ -255,17 +262,14 @@ def group_lines_gap(words: DataFrame, keys: Sequence[str], tolerance: float) ->
 
     Adds ``segment`` and ``part``; windows run only inside segments taller than the tolerance.
     """
-    slim = words.select(
-        *keys, "word_ix", "y1", "x1", ((F.col("y1") + F.col("y2")) / F.lit(2.0)).alias("__cy"), F.lit(float(tolerance)).alias("__tol")
-    )
-    segments = band_segments(slim, keys, "y1", tolerance / 8, "__cy", "__cy", "__tol")
+    prepared = words.withColumns({"__cy": (F.col("y1") + F.col("y2")) / F.lit(2.0), "__tol": F.lit(float(tolerance))})
+    segments = band_segments(prepared, keys, "y1", tolerance / 8, "__cy", "__cy", "__tol")
     is_tall = F.col("segment_high") - F.col("segment_low") > F.col("__tol")
-    out = [*keys, "word_ix", "segment"]
+    out = [*words.columns, "segment"]
     by_place = Window.partitionBy(*keys, "segment").orderBy("y1", "x1", "word_ix")
     moved = F.when(F.abs(F.col("__cy") - F.lag("__cy").over(by_place)) > F.col("__tol"), 1).otherwise(0)
     tall = segments.where(is_tall).withColumn("__moved", moved).withColumn("part", F.sum("__moved").over(by_place).cast("int"))
-    lines = segments.where(~is_tall).select(*out, F.lit(0).alias("part")).unionByName(tall.select(*out, "part"))
-    return words.join(lines, [*keys, "word_ix"])
+    return segments.where(~is_tall).select(*out, F.lit(0).alias("part")).unionByName(tall.select(*out, "part"))
 
 
 def line_table(words: DataFrame, keys: Sequence[str], line: Sequence[str] = ("segment", "part")) -> DataFrame:
@@ -276,6 +280,8 @@ def line_table(words: DataFrame, keys: Sequence[str], line: Sequence[str] = ("se
         .agg(
             F.array_sort(F.collect_list(spoken)).alias("__words"),
             F.avg("confidence").alias("confidence"),
+            F.sum("confidence").alias("confidence_sum"),
+            F.count("confidence").alias("word_count"),
             F.min(F.least("x1", "x2")).alias("x1"),
             F.min(F.least("y1", "y2")).alias("y1"),
             F.max(F.greatest("x1", "x2")).alias("x2"),
@@ -512,8 +518,12 @@ def fields_from_regions(
     regions: Sequence[Region],
     keys: Sequence[str] = ("doc_id", "page_no"),
     tolerance: float = REGION_TOLERANCE,
+    cut: Cut = _no_cut,
 ) -> DataFrame:
-    """One row per page and template field with its text, also where no word was found."""
+    """One row per page and template field with its text, also where no word was found.
+
+    The mean confidence of all words of a field is put together from its lines.
+    """
     placed = apply_transform(transforms, regions, keys)
     grown = placed.select(
         *keys, "field",
@@ -526,14 +536,11 @@ def fields_from_regions(
         centre_x.between(F.col("r_x1"), F.col("r_x2")) & centre_y.between(F.col("r_y1"), F.col("r_y2"))
     ).drop("r_x1", "r_y1", "r_x2", "r_y2")
     owner = [*keys, "field"]
-    confidence = hits.groupBy(*owner).agg(F.avg("confidence").alias("confidence"))
-    text = cell_text(group_lines_unit(hits, owner), owner).select(*owner, F.col("text").alias("raw_text"))
-    return (
-        placed.join(confidence, owner, "left")
-        .join(text, owner, "left")
-        .withColumn("confidence", F.coalesce("confidence", F.lit(0.0)))
-        .withColumn("raw_text", F.coalesce("raw_text", F.lit("")))
-    )
+    lines = line_table(group_lines_unit(hits.select(*owner, "word_ix", "text", "confidence", "x1", "y1", "x2", "y2"), owner, cut=cut), owner)
+    parts = F.array_sort(F.collect_list(F.struct("segment", "part", "text")))
+    mean = F.sum("confidence_sum") / F.sum("word_count")
+    fields = lines.groupBy(*owner).agg(F.array_join(parts["text"], "\n").alias("raw_text"), mean.alias("confidence"))
+    return placed.join(fields, owner, "left").na.fill({"raw_text": "", "confidence": 0.0})
 
 
 # ---------------------------------------------------------------- cells and pages

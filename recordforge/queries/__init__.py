@@ -30,6 +30,7 @@ SECTIONS = (
     "training",
     "scans",
     "incremental",
+    "flows",
 )
 
 

@@ -31,12 +31,12 @@ CONFIDENCES = """select event_id as rec, case when event_id%2=0 then '{{"a": '||
 @query(
     "m2_confidence_map",
     """with v as (select event_id as rec, greatest(0.0::double, least(1.0::double, round(round(value/100, 5), 4))) as a from events)
- select rec, a, 0.0::double as b, 1.0::double as c, round(round((a+0.0+1.0)/3, 4), 3) as mean from v""",
+ select rec, a, 0.0::double as b, 1.0::double as c, round((a+0.0+1.0)/3, 4) as mean from v""",
 )
 def m2_confidence_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = M.confidence_map(fixtures.sql(spark, sf_dir, CONFIDENCES.format(s="string")), "conf")
     pick = lambda k: F.try_element_at("field_confidence", F.lit(k)).alias(k)
-    return mapped.select("rec", pick("a"), pick("b"), pick("c"), F.round("field_confidence_mean", 3).alias("mean"))
+    return mapped.select("rec", pick("a"), pick("b"), pick("c"), F.col("field_confidence_mean").alias("mean"))
 
 
 FIELDS = ("brand", "type", "name", "size")
