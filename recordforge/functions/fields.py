@@ -216,15 +216,19 @@ def ledger_ids(column: Column) -> Column:
             found(text, MODERN_ID).alias("modern"), found(text, LEGACY_NUMBER).alias("bare"),
         )
 
-    def chosen(s: Column) -> Column:
-        lettered, modern, bare = s["lettered"], s["modern"], s["bare"]
-        legacy = F.when(lettered.isNotNull(), F.coalesce(id_candidate(lettered)["value"], s["plain"])).when(
-            bare.isNotNull() & modern.isNull(), F.coalesce(id_candidate(bare)["value"], bare)
+    def read(s: Column) -> Column:
+        values = F.transform(F.array(s["lettered"], s["bare"], s["modern"]), lambda t: id_candidate(t)["value"])
+        return F.struct(s.alias("s"), values.alias("values"))
+
+    def chosen(r: Column) -> Column:
+        s, values = r["s"], r["values"]
+        legacy = F.when(s["lettered"].isNotNull(), F.coalesce(values[0], s["plain"])).when(
+            s["bare"].isNotNull() & s["modern"].isNull(), F.coalesce(values[1], s["bare"])
         )
-        raw = F.concat_ws(" / ", F.trim(F.coalesce(lettered, bare)), F.trim(modern))
-        return F.struct(legacy.alias("legacy"), id_candidate(modern)["value"].alias("modern"), blank_to_null(raw).alias("raw"))
+        raw = F.concat_ws(" / ", F.trim(F.coalesce(s["lettered"], s["bare"])), F.trim(s["modern"]))
+        return F.struct(legacy.alias("legacy"), values[2].alias("modern"), blank_to_null(raw).alias("raw"))
 
-    return let(let(repair_ids(column), seen), chosen)
+    return let(let(let(repair_ids(column), seen), read), chosen)
 
 
 def typed_ids(column: Column) -> Column:

@@ -32,7 +32,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def blank_to_null(column: Column) -> Column:
-    return F.nullif(column, F.lit(""))
+    # nullif would evaluate its argument twice inside a lambda.
+    return let(column, lambda value: F.when(value != "", value))
 
 
 def strip(column: Column) -> Column:

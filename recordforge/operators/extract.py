@@ -151,15 +151,28 @@ def unpriced_lines(column: Column) -> Column:
     return T.let(facts, lambda f: F.filter(f["lines"], lambda l: ~l.eqNullSafe(f["money"])))
 
 
+def person_fields(person: Column) -> Column:
+    """struct(name, id_legacy, id_modern, id_raw, age) of one person."""
+
+    def fields(p: Column) -> Column:
+        return F.struct(
+            name_value(p["name_text"]).alias("name"), X.ledger_ids(p["detail"]).alias("ids"),
+            F.try_element_at(X.ledger_ages(p["detail"]), F.lit(1)).alias("age"),
+        )
+
+    def flat(f: Column) -> Column:
+        ids = f["ids"]
+        return F.struct(
+            f["name"].alias("name"), ids["legacy"].alias("id_legacy"), ids["modern"].alias("id_modern"), ids["raw"].alias("id_raw"), f["age"].alias("age")
+        )
+
+    return T.let(T.let(person, fields), flat)
+
+
 def segment_people(df: DataFrame, col: str, key: Sequence[str], max_people: int = 2) -> DataFrame:
     """One row per person of a cell, with name, identity numbers and age; the money line is left out."""
     rows = df.select(*key, F.inline(people(unpriced_lines(F.col(col)), max_people)))
-    ids = rows.withColumn("__i", X.ledger_ids(F.col("detail")))
-    return ids.select(
-        *key, "person_no", name_value(F.col("name_text")).alias("name"),
-        F.col("__i.legacy").alias("id_legacy"), F.col("__i.modern").alias("id_modern"), F.col("__i.raw").alias("id_raw"),
-        F.try_element_at(X.ledger_ages(F.col("detail")), F.lit(1)).alias("age"), "detail",
-    )
+    return rows.select(*key, "person_no", F.inline(F.array(person_fields(F.struct("name_text", "detail")))), "detail")
 
 
 def name_address(column: Column) -> Column:
@@ -306,14 +319,14 @@ def assemble_records(cells: DataFrame, key: Sequence[str], snap: Snap | None = N
     """Cells of a record to the typed record: fields, raw texts and issue codes."""
     wide = pivot_cells(cells, key, CELLS[:-1])
     raw = lambda c: F.coalesce(F.col(f"raw_{c}"), F.lit(""))
-    spouse_lines = T.meaningful_lines(raw("suami_isteri"))
+    spouses = people(unpriced_lines(raw("suami_isteri")))
     wide = wide.withColumns(
-        {"__money": X.ledger_money(raw("suami_isteri")), "__lines": spouse_lines, "__people": people(unpriced_lines(raw("suami_isteri")))}
+        {
+            "__money": X.ledger_money(raw("suami_isteri")),
+            "__lines": F.size(T.meaningful_lines(raw("suami_isteri"))),
+            "__people": F.transform(spouses, person_fields),
+        }
     )
-    for i, who in enumerate(("suami", "isteri")):
-        one = F.get("__people", F.lit(i))
-        wide = wide.withColumn(f"__{who}", F.struct(one["name_text"].alias("n"), F.coalesce(one["detail"], F.lit("")).alias("d")))
-        wide = wide.withColumn(f"__{who}_ids", X.ledger_ids(F.col(f"__{who}.d")))
     wide = extract_guardian(wide, "raw_wali", "raw_hubungan_wali", snap, "nama_wali", "hubungan_wali")
     wide = wide.withColumns(
         {
@@ -325,13 +338,14 @@ def assemble_records(cells: DataFrame, key: Sequence[str], snap: Snap | None = N
     )
     remark = T.blank_to_null(T.free_text(raw("remarks")))
     business: dict[str, Column] = {"bil": X.ledger_serial(raw("bil"))}
-    for who in ("suami", "isteri"):
+    for i, who in enumerate(("suami", "isteri")):
+        one = F.get("__people", F.lit(i))
         business |= {
-            f"nama_{who}": name_value(F.col(f"__{who}.n")),
-            f"ic_lama_{who}": F.col(f"__{who}_ids.legacy"),
-            f"ic_baru_{who}": F.col(f"__{who}_ids.modern"),
-            f"id_{who}_raw": F.col(f"__{who}_ids.raw"),
-            f"umur_{who}": F.try_element_at(X.ledger_ages(F.col(f"__{who}.d")), F.lit(1)),
+            f"nama_{who}": one["name"],
+            f"ic_lama_{who}": one["id_legacy"],
+            f"ic_baru_{who}": one["id_modern"],
+            f"id_{who}_raw": one["id_raw"],
+            f"umur_{who}": one["age"],
         }
     business |= {
         "mas_kahwin": F.col("__money.value"),
@@ -351,7 +365,7 @@ def assemble_records(cells: DataFrame, key: Sequence[str], snap: Snap | None = N
     texts = {f"raw_{c}": T.blank_to_null(F.col(f"raw_{c}")) for c in CELLS[:-1]}
     full = wide.select(
         *key, *[v.alias(k) for k, v in business.items()], *[v.alias(k) for k, v in texts.items()],
-        F.size("__lines").alias("__spouse_lines"), F.size("__people").alias("__people"), F.col("__money.needs_review").alias("__bare_money"),
+        F.col("__lines").alias("__spouse_lines"), F.size("__people").alias("__people"), F.col("__money.needs_review").alias("__bare_money"),
         F.col("__office.line_count").alias("__office_lines"), F.col("__nikah.needs_review").alias("__nikah"), F.col("__keluar.needs_review").alias("__keluar"),
     )
     seen = F.col("__spouse_lines") > 0

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from recordforge.operators import extract, validate, words
 from recordforge.operators.words import Anchor, Region
+from recordforge.session import cut
 
 
 def typed_results(
@@ -19,9 +20,10 @@ def typed_results(
     ``pages`` has ``doc_id``, ``page_no``, ``n_words`` and ``error``; every document only meets
     its own pages because all joins carry its id.
     """
-    transforms = words.estimate_transform(pages, words.match_phrases(tokens, anchors))
+    # One small row per page; several branches read it.
+    transforms = cut(words.estimate_transform(pages, words.match_phrases(tokens, anchors)))
     fields = words.fields_from_regions(tokens, transforms, regions)
-    raw = fields.select("doc_id", "field", "raw_text", "confidence")
+    raw = cut(fields.select("doc_id", "field", "raw_text", "confidence"))
     records = extract.assemble_typed(raw, ["doc_id"])
     checked = validate.validate_strict(records, raw, ["doc_id"], threshold)
     complete = words.page_completeness(pages.select("doc_id", "page_no", (F.col("n_words") > 0).alias("has_ocr"), "error"), expected=expected_pages)

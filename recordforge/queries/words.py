@@ -9,6 +9,7 @@ from recordforge import fixtures
 from recordforge.functions.scan import ordered_scan, steps
 from recordforge.operators import words as W
 from recordforge.queries import query
+from recordforge.session import cut
 
 TEXTED_BOXES = "select page_no, word_ix, 'W'||cast(word_ix%2 as {s}) as text, x1, y1, x2, y2 from fx_boxes"
 
@@ -232,8 +233,8 @@ def w10_normalise_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
  from placed p left join txt using (doc_id, field) left join cf using (doc_id, field)""",
 )
 def w11_fields_from_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = fixtures.sql(spark, sf_dir, UNIT)
-    fields = W.fields_from_regions(words, _transforms(spark, sf_dir), REGIONS)
+    # One small row per page, read by several branches.
+    fields = W.fields_from_regions(fixtures.sql(spark, sf_dir, UNIT), cut(_transforms(spark, sf_dir)), REGIONS)
     return fields.select("doc_id", "page_no", "field", "raw_text", F.round("confidence", 6).alias("confidence"))
 
 

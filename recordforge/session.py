@@ -21,6 +21,7 @@ def local_session(app: str = "recordforge", cpus: int | str = 8, partitions: int
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.local.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         .getOrCreate()
     )
@@ -38,6 +39,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Checkpoint a table that several branches of a plan read, in the shared folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a scan that has fewer splits than the session has cores.
 
