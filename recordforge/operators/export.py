@@ -107,12 +107,15 @@ def observe_export(new: DataFrame, kept: DataFrame, name: str = "export") -> tup
 
 def export_counts(new: DataFrame, kept: DataFrame, existing: DataFrame | None) -> DataFrame:
     """Written, skipped and total rows as a one-row table."""
-    before = existing.agg(F.count(F.lit(1)).alias("n")) if existing is not None else new.sparkSession.range(1).select(F.lit(0).alias("n"))
-    offered, written = new.agg(F.count(F.lit(1)).alias("o")), kept.agg(F.count(F.lit(1)).alias("w"))
-    # Three one-row tables.
-    joined = offered.crossJoin(written).crossJoin(before)
-    return joined.select(
-        F.col("w").alias("written_count"), (F.col("o") - F.col("w")).alias("skipped_duplicates"), (F.col("n") + F.col("w")).alias("total_rows")
+    tables = [("offered", new), ("written", kept)] + ([("before", existing)] if existing is not None else [])
+    sizes = None
+    for kind, table in tables:
+        # Counted where they are; only one number per table travels.
+        size = table.agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "n")
+        sizes = size if sizes is None else sizes.unionByName(size)
+    of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
+    return sizes.agg(
+        of("written").alias("written_count"), (of("offered") - of("written")).alias("skipped_duplicates"), (of("before") + of("written")).alias("total_rows")
     )
 
 

@@ -31,9 +31,12 @@ def training_examples(bundles: DataFrame, images: DataFrame, labels: DataFrame,
 
 def skipped_counts(bundles: DataFrame, images: DataFrame, labels: DataFrame, key: Sequence[str], verified_only: bool = True) -> DataFrame:
     """Records left out because nobody verified them, and cells left out because their label is blank."""
-    unverified = bundles.agg((F.count_if(~F.col("verified")) if verified_only else F.lit(0).cast("long")).alias("skipped_unverified_records"))
-    empty = _offered(bundles, images, labels, key, verified_only).agg(F.count_if(~F.col("has_label")).alias("skipped_empty_labels"))
-    return unverified.crossJoin(empty)
+    none = F.lit(False)
+    skipped = bundles.select((~F.col("verified") if verified_only else none).alias("record"), none.alias("label"))
+    empty = _offered(bundles, images, labels, key, verified_only).select(none.alias("record"), (~F.col("has_label")).alias("label"))
+    return skipped.unionByName(empty).agg(
+        F.count_if("record").alias("skipped_unverified_records"), F.count_if("label").alias("skipped_empty_labels")
+    )
 
 
 def hash_split(df: DataFrame, key_cols: Sequence[str], ratio: float, out: str = "dataset_split") -> DataFrame:
