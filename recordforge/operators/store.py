@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordforge.functions.scan import latest, ordered_scan, steps
+from recordforge.functions.scan import latest, ordered_scan
 
 # Columns of the export projection.
 EXPORT_COLUMNS = (
@@ -34,7 +34,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Seq
     return joined.select(*out)
 
 
-def status_transitions(events: DataFrame, key: Sequence[str], order: Sequence[str], batch: Sequence[str], chunk, status: str = "status") -> DataFrame:
+def status_transitions(
+    events: DataFrame, key: Sequence[str], order: Sequence[str], batch: Sequence[str], chunk: Sequence[Column], status: str = "status"
+) -> DataFrame:
     """Counter changes per batch: +1 for the new bucket and -1 for the old one when a status changes.
 
     A key that holds a large part of all events is split into chunks.

@@ -6,10 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordforge import fixtures
-from recordforge.functions import text as T
 from recordforge.operators import extract as E
 from recordforge.queries import query
-from recordforge.queries.normalize import UPPER, normalised
 
 SQ = lambda c: f"upper(trim(regexp_replace({c}, '\\s+', ' ', 'g')))"
 

@@ -13,6 +13,7 @@ from recordforge.queries import query
 from recordforge.queries.reconcile import PAYLOADS
 from recordforge.queries.store import TRANSITIONS
 from recordforge.session import ensure_checkpoint_dir
+from recordforge.sources import records
 from recordforge.streaming import incremental as S
 
 
@@ -79,3 +80,33 @@ def s4_status_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     done = S.run_available(stream, S.status_sink(f"{work}/out", ["rec_key"], ["ts", "event_id"]), f"{work}/checkpoint")
     return S.status_counters(S.latest_version(spark, f"{work}/out", done, stream.schema), ["batch_id"])
+
+
+# ---------------------------------------------------------------- sinks, read back from the shared folder
+
+
+@query("io9_write_records", "select distinct l_orderkey, l_linenumber, l_returnflag, l_linestatus from lineitem")
+def io9_write_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = f"{_work(spark, 'io9')}/out"
+    rows = fixtures.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    # The second append adds nothing.
+    for mode in ("reset", "append"):
+        records.write_records(rows.distinct() if mode == "reset" else rows, out, mode)
+    return spark.read.parquet(out)
+
+
+@query("io11_write_ordered_csv", "select o_orderkey, o_orderstatus, o_orderpriority from orders")
+def io11_write_ordered_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = f"{_work(spark, 'io11')}/out"
+    rows = fixtures.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    records.write_ordered_csv(rows, out, ["o_orderkey"])
+    return spark.read.schema(rows.schema).option("header", True).csv(out)
+
+
+@query("io12_write_sidecars", "select doc_id, text as raw_text, lang, n_chars from documents")
+def io12_write_sidecars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = f"{_work(spark, 'io12')}/out"
+    docs = fixtures.table(spark, sf_dir, "documents")
+    nested = docs.select("doc_id", F.struct("text").alias("raw"), F.struct("lang", "n_chars").alias("validated"))
+    records.write_sidecars(nested, out)
+    return spark.read.schema(nested.schema).json(out).select("doc_id", F.col("raw.text").alias("raw_text"), "validated.lang", "validated.n_chars")
