@@ -31,8 +31,10 @@ def local_session(app: str = "recordforge", cpus: int | str = 8, partitions: int
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared checkpoint folder the cluster names; fall back to a new one only where none is set."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not configured:
+        configured = spark.sparkContext.getCheckpointDir()
+    if not configured:
         configured = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured)
