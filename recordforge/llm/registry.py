@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ("simhash",)
+MODULES = ("quality", "bpe", "language", "simhash", "topk")
 
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
