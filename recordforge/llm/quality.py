@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordforge.llm.common import saved, table
+from recordforge.llm.common import free_name, saved, table
 from recordforge.llm.registry import query
 
 STATISTICS = (
@@ -147,38 +147,48 @@ def train(rows: DataFrame, x: str = "x", label: str = "label") -> Discriminant |
 
 def scored(rows: DataFrame, model: Discriminant | None, x: str = "x") -> DataFrame:
     """``rows`` with ``score`` and ``predicted`` in place of ``x``."""
+    score = quality_score(model, x)
+    return rows.withColumn("score", score).withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0)).drop(x)
+
+
+def quality_score(model: Discriminant | None, x: str) -> F.Column:
+    """Score column of the statistics ``x``."""
     if model is None:
-        score = F.lit(0.5)
-    else:
+        return F.lit(0.5)
 
-        @F.pandas_udf("double")
-        def of_rows(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for batch in batches:
-                yield pd.Series(model.score(np.stack(batch.to_numpy()))) if len(batch) else pd.Series([], dtype=float)
+    @F.pandas_udf("double")
+    def of_rows(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series(model.score(np.stack(batch.to_numpy()))) if len(batch) else pd.Series([], dtype=float)
 
-        score = of_rows(F.col(x))
-    return rows.withColumn("score", score).withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0)).drop(x)
+    return of_rows(F.col(x))
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
-def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every row of ``docs``, fitted on its labelled rows that are not held out."""
-    rows = saved(measured(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).select("doc_id", held_out("doc_id").alias("held_out"), "x"))
+def fit(rows: DataFrame, labels: DataFrame) -> Discriminant | None:
+    """Fit on the rows (doc_id, x) that ``labels`` marks and that are not held out."""
     known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("other"))
     known = known.where("label = other").select("doc_id", "label")
-    model = train(rows.where(~F.col("held_out")).join(known, "doc_id").select("x", "label"))
-    return scored(rows, model)
+    return train(rows.where(~held_out()).join(known, "doc_id").select("x", "label"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents predicted good, with the columns they came with."""
-    rows = saved(measured(docs, out="x__"))
-    known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("other"))
-    fit_on = rows.where(~held_out()).select("doc_id", "x__").join(known.where("label = other"), "doc_id")
-    return scored(rows, train(fit_on, x="x__"), x="x__").where("predicted = 1").select(*docs.columns)
+def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, held_out, score, predicted) for every row of ``docs``, fitted on its labelled rows that are not held out."""
+    rows = saved(measured(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).select("doc_id", held_out().alias("held_out"), "x"))
+    return scored(rows, fit(rows, labels))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` predicted good, as they are.
+
+    Texts are measured twice, for the fit and for the decision: they then need neither be moved nor written.
+    """
+    model = fit(measured(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).select("doc_id", "x"), labels)
+    x = free_name(docs, "statistics")
+    return measured(docs, text, x).where(quality_score(model, x) >= 0.5).select(*docs.columns)
 
 
 @query("op1_quality_qda")
