@@ -280,7 +280,16 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-@query("op6_arc_to_warc")
+@query(
+    "op6_arc_to_warc",
+    """with d as (select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as hex from pages),
+g as (select hex, max(page_id) as first from d group by hex),
+b as (select *, list_transform(range(0, 8), lambda i: ('0x' || substr(hex, i * 5 + 1, 5))::int) as v from d),
+c as (select *, list_aggregate(list_transform(v, lambda x: list_aggregate(list_transform([15, 10, 5, 0],
+  lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> s) & 31) + 1, 1)), 'string_agg', '')), 'string_agg', '') as payload_digest from b)
+select page_id, payload_bytes::bigint as payload_bytes, payload_digest, case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id <> first then first end as refers_to from c join g using (hex)""",
+)
 def op6_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as ARC archives, converted to WARC archives, read back."""
     arc, warc = _folder(spark, "arc"), _folder(spark, "warc")

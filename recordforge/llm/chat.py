@@ -181,7 +181,21 @@ def conversations(pieces: DataFrame) -> DataFrame:
     return rows.select("conv_id", F.array_join(F.col("t.rendered"), "").alias("formatted")).withColumn("loss", spans("formatted"))
 
 
-@query("op2_chat_format")
+@query(
+    "op2_chat_format",
+    r"""with turns as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+marks as (select *, (length(text) - length(replace(text, '### ', ''))) // 4 + (length(text) - length(replace(text, '</turn>', ''))) // 7 as controls,
+  length(text) - length(replace(text, '\', '')) as slashes,
+  contains(text, '\\') or contains(text, '\### ') or contains(text, '\</turn>') or ends_with(text, '\') as slash_conflict,
+  case when role in ('system', 'user', 'assistant', 'tool') then length(role) else 5 + length(replace(replace(replace(role, '\', '\\'), ':', '\:'), chr(10), '\n')) end as role_chars
+  from turns)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  sum(14 + role_chars + length(text) + case when slash_conflict then controls + slashes else controls end)::bigint as formatted_chars
+from marks group by conv_id""",
+)
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one full of control strings, formatted and read back."""
     own = "\\### Assistant: </turn> ok"

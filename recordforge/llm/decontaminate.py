@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordforge.functions.text import let
 from recordforge.llm.common import free_name, saved, table
 from recordforge.llm.registry import query
 
@@ -36,13 +37,14 @@ BROADCAST_ROWS = 1_000_000
 
 def shingled(df: DataFrame, text: str, out: str = "hs") -> DataFrame:
     """``df`` with the array ``out`` of shingle hashes, repeats included, in order."""
-    words, n = free_name(df, "words"), F.size
-    df = df.withColumn(words, F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"), ""))
-    w = F.col(words)
-    runs = F.transform(F.sequence(F.lit(0), n(w) - SHINGLE), lambda i: F.xxhash64(*(w[i + k] for k in range(SHINGLE))))
-    whole = F.array(F.xxhash64(F.array_join(w, " "), F.lit("whole")))
-    hashes = F.when(n(w) >= SHINGLE, runs).when(n(w) > 0, whole).otherwise(F.array().cast("array<bigint>"))
-    return df.withColumn(out, hashes).drop(words)
+    words = F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"), "")
+
+    def hashes(w: F.Column) -> F.Column:
+        runs = F.transform(F.sequence(F.lit(0), F.size(w) - SHINGLE), lambda i: F.xxhash64(*(w[i + k] for k in range(SHINGLE))))
+        whole = F.array(F.xxhash64(F.array_join(w, " "), F.lit("whole")))
+        return F.when(F.size(w) >= SHINGLE, runs).when(F.size(w) > 0, whole).otherwise(F.array().cast("array<bigint>"))
+
+    return df.withColumn(out, let(words, hashes))
 
 
 def simhash(hs: F.Column) -> F.Column:
@@ -69,21 +71,22 @@ FLIPS = [0, *(1 << i for i in range(8)), *(1 << i | 1 << j for i in range(8) for
 
 def item_table(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
     """(item_id, hs, n, fp, tagged): distinct items that have a shingle."""
-    items = shingled(benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("text")), "text").where(F.size("hs") > 0)
+    items = shingled(benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("text")), "text")
+    items = items.where(F.col("text").rlike(r"[\p{L}\p{N}]"))
     items = items.groupBy("hs").agg(F.min("item_id").alias("item_id")).withColumn("n", F.size("hs"))
     return items.select("item_id", "hs", "n", simhash(F.col("hs")).alias("fp"), occurrences(F.col("hs")).alias("tagged"))
 
 
 def windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc, tag, start, n, win): item-sized windows of (doc, tag, hs) aligned with a shingle that an item of that size has."""
-    index = items.select("n", F.posexplode("hs").alias("off", "h")).distinct()
+    index = items.select("n", F.posexplode_outer("hs").alias("off", "h")).distinct()
     start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("off"), F.size("hs") - F.col("n")))
     window = F.slice("hs", F.col("start") + 1, F.col("n"))
     if index.count() <= BROADCAST_ROWS:
-        rows = docs.select("doc", "tag", "hs", F.posexplode("hs").alias("pos", "h")).join(F.broadcast(index), "h")
+        rows = docs.select("doc", "tag", "hs", F.posexplode_outer("hs").alias("pos", "h")).join(F.broadcast(index), "h")
         return rows.withColumn("start", start).groupBy("doc", "tag", "start", "n").agg(F.first(window).alias("win"))
     size = F.size("hs").alias("size")
-    rows = docs.select("doc", "tag", size, F.posexplode("hs").alias("pos", "h")).join(index, "h")
+    rows = docs.select("doc", "tag", size, F.posexplode_outer("hs").alias("pos", "h")).join(index, "h")
     starts = rows.withColumn("start", F.greatest(F.lit(0), F.least(F.col("pos") - F.col("off"), F.col("size") - F.col("n"))))
     starts = starts.groupBy("tag").agg(F.collect_set(F.struct("start", "n")).alias("at"))
     return docs.join(starts, "tag").select("doc", "tag", "hs", F.inline("at")).select("doc", "tag", "start", "n", window.alias("win")).distinct()

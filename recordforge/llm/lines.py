@@ -44,7 +44,7 @@ def line_rows(docs: DataFrame, key: str, text: str, site: str, min_words: int) -
     """(doc, site, pos, size, h): every line of at least ``min_words`` words, by its 64-bit hash."""
     rows = docs.select(F.col(key).alias("doc"), F.col(site).cast("string").alias("site"), F.posexplode(_lines(F.col(text))).alias("pos", "line"))
     rows = rows.withColumn("line", _trimmed(F.col("line")))
-    enough = F.col("line").rlike(r"^\S+(?:\s+\S+){" + str(min_words - 1) + ",}") if min_words > 0 else F.col("line") != ""
+    enough = F.col("line").rlike(r"^\S+(?:\s+\S+){" + str(min_words - 1) + "}") if min_words > 0 else F.col("line") != ""
     return rows.where(enough).select("doc", "site", "pos", F.length("line").alias("size"), F.xxhash64("line").alias("h"))
 
 
@@ -102,7 +102,7 @@ def dedup_lines(
 
 LINES_SQL = r"""line_rows as (select doc_id, text, source, unnest(string_split(text, chr(10))) as raw, generate_subscripts(string_split(text, chr(10)), 1) as pos from {docs}),
 trimmed as (select doc_id, text, source, pos, raw, trim(translate(raw, chr(9) || chr(13) || chr(11) || chr(12), '    ')) as line from line_rows),
-long_enough as (select *, regexp_matches(line, '^\S+(?:\s+\S+){{2,}}') as counts from trimmed),
+long_enough as (select *, regexp_matches(line, '^\S+(?:\s+\S+){{2}}') as counts from trimmed),
 spread as (select line from long_enough where counts group by line having count(distinct source) >= 10),
 marked as (select l.*, l.counts and s.line is not null as flag from long_enough l left join spread s on l.line = s.line),
 pages as (select doc_id, text, source, count(*) as n_lines, count(*) filter (flag) as n_flagged,
