@@ -9,19 +9,25 @@ from recordforge import fixtures
 from recordforge.operators import reconcile as M
 from recordforge.queries import query
 
-# Fenced, wrapped, comma-ended and truncated forms of every payload.
-PAYLOADS = """select rec, failed, case rec%6 when 0 then payload when 1 then '```json'||{n}||payload||{n}||'```' when 2 then 'Here: '||payload||' done'
- when 3 then replace(payload, '}}', ',}}') when 4 then replace(payload, '}}', ', "note": "cut') else 'no object' end as payload from fx_responses"""
+# Fenced, wrapped, comma-ended, truncated and unreadable forms of every payload; inner trailing commas, brackets inside of
+# strings, a cut inside a nested list, a long text without an object, a value of another type.
+PAYLOADS = """select rec, failed, case rec%6 when 0 then case when rec%24=0 then replace(payload, ': ', ': "') else payload end
+ when 1 then '```json'||{n}||payload||{n}||'```' when 2 then 'Here: '||payload||' done'
+ when 3 then replace(payload, '}}', case when rec%12=3 then ',}}' else ', "o": {{"z": [1, 2,],}}, "note": "x, }}",}}' end)
+ when 4 then replace(payload, '}}', case when rec%12=4 then ', "note": "cut' else ', "note": "cut", "o": [1, {{"z": "y' end)
+ else case when rec%12=5 then 'no object' else repeat('no object ', 700) end end as payload from fx_responses"""
 
 
 @query(
     "m1_parse_responses",
-    """select rec, case when rec%6<>5 then cast(json_extract(payload, '$.k') as bigint) end as k, case when rec%6=4 then 'cut' end as note,
- case when rec%6=5 then 'invalid JSON: no object' end as parse_error from fx_responses""",
+    """select rec, case when rec%6<>5 and rec%24<>0 then cast(json_extract(payload, '$.k') as bigint) end as k,
+ case when rec%6=4 then 'cut' when rec%12=9 then 'x, }' end as note, coalesce(rec%6 in (2, 3, 4) or rec%24=0, false) as repaired,
+ case when rec%6=5 then 'invalid JSON' when rec%24=0 then 'type mismatch' end as parse_error,
+ case when rec%6=5 then case when rec%12=5 then 9 else 7000 end when rec%24=0 then length(payload)+1 end as payload_chars from fx_responses""",
 )
 def m1_parse_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = M.parse_responses(fixtures.sql(spark, sf_dir, PAYLOADS.format(n="'\\n'")), "payload", "k bigint, note string", ["rec"])
-    return parsed.select("rec", "response.k", "response.note", "parse_error")
+    return parsed.select("rec", "response.k", "response.note", "repaired", "parse_error", F.length("payload").cast("int").alias("payload_chars"))
 
 
 CONFIDENCES = """select event_id as rec, case when event_id%2=0 then '{{"a": '||cast(round(value/100, 5) as {s})||', "b": "x", "c": 2}}'

@@ -17,9 +17,9 @@ RECORDS = """select rec, case rec%7 when 0 then null when 1 then 'AB 1' else 'AB
  case when rec%13<>0 then 'N' end as nama_pendaftar, case when rec%2=0 then 'A' end as alamat_pendaftar, case when rec%14<>0 then 'W' end as nama_wali, case when rec%15<>0 then 'BAPA' end as hubungan_wali,
  case when rec%16<>0 then 'S' end as saksi_1, case when rec%17<>0 then 'T' end as saksi_2, rec%29<>0 as layout_ok, cast(rec%50 as double)/50+0.5 as layout_confidence from fx_strings"""
 # Cells: two per record, blank ones for some, so that both cells are silent for a part of them.
-CELLS = "select rec, 'a' as cell, case when rec%19=0 then ' ' else 'text' end as text, cast(rec%10 as double)/10 as avg_conf from fx_strings union all select rec, 'b', case when rec%2=0 then '' else 'more' end, 0.7 from fx_strings where rec%19<>0 or rec%2=0"
+CELLS = "select rec, 'a' as cell, case when rec%19=0 then ' ' else 'text' end as text, case when rec%23<>0 then cast(rec%10 as double)/10 end as avg_conf from fx_strings union all select rec, 'b', case when rec%2=0 then '' else 'more' end, 0.7 from fx_strings where rec%19<>0 or rec%2=0"
 
-CHECKS = f"""r as ({RECORDS.format(s='varchar')}), cl as (select rec, avg(avg_conf) filter (trim(text)<>'') as ocr from ({CELLS}) group by rec),
+CHECKS = f"""r as ({RECORDS.format(s='varchar')}), cl as (select rec, avg(coalesce(avg_conf, 0)) filter (trim(text)<>'') as ocr from ({CELLS}) group by rec),
  k as (select r.*, ocr, coalesce(rec%5 in (0, 1), false) or rec%11=1 as h_id, rec%6<>0 as w_id, rec%5=0 as h_odd, coalesce(umur_suami between 15 and 100, false) as h_age, rec%10<>0 as w_age,
   rec%6 not in (0, 1) as nikah, rec%3=0 as keluar from r left join cl using (rec)),
  s as (select *, 1.0::double - (case when coalesce(nama_suami, '')='' then 0.2 when nama_suami='AB 1' then 0.15 else 0 end)::double - (case when nama_isteri='' then 0.2 else 0 end)::double

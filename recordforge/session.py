@@ -30,11 +30,16 @@ def local_session(app: str = "recordforge", cpus: int | str = 8, partitions: int
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared checkpoint folder the cluster names; fall back to a new one only where none is set."""
+    """The shared checkpoint folder that the cluster names; a local session without one gets a new folder.
+
+    Executors on other machines can't see a local folder, so without a named one a cluster session is an error.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured)

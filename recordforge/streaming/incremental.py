@@ -35,47 +35,94 @@ def append_sink(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], N
     return sink
 
 
-def _version(spark: SparkSession, path: str, number: int, schema: T.StructType) -> DataFrame:
-    """State left by a micro-batch; the state before the first one is empty."""
+# ---------------------------------------------------------------- versioned state
+#
+# State is kept in buckets of the key's hash.  Micro-batch n reads the buckets it touches as batch n-1 left them, writes them
+# to version=n, and commits by writing a manifest: which version holds each bucket.  A batch that is run again after a
+# failure reads the same manifest and leaves the same result.  A manifest or a file that a manifest names and that is
+# missing is an error, never an older state.
+
+BUCKETS = 64
+
+
+def _manifest_path(path: str, number: int) -> str:
+    return f"{path}/manifest/batch={number}"
+
+
+def _manifest(spark: SparkSession, path: str, number: int) -> dict[int, int]:
+    """Bucket -> version after a micro-batch, at most ``BUCKETS`` entries; before the first batch there are none."""
     if number < 0:
-        return spark.createDataFrame([], schema)
+        return {}
     try:
-        return spark.read.schema(schema).parquet(f"{path}/version={number}")
-    except AnalysisException:
-        return _version(spark, path, number - 1, schema)
+        rows = spark.read.schema("bucket int, version long").parquet(_manifest_path(path, number)).collect()
+    except AnalysisException as error:
+        raise RuntimeError(f"the state of micro-batch {number} below {path} was never committed or is lost") from error
+    return {r["bucket"]: r["version"] for r in rows}
 
 
-def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str], created: str = "created_at") -> Callable[[DataFrame, int], None]:
-    """Upsert every micro-batch into a versioned table.
+def _buckets(spark: SparkSession, path: str, held: dict[int, int], schema: T.StructType) -> DataFrame:
+    if not held:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*(f"{path}/version={v}/bucket={b}" for b, v in sorted(held.items())))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _update(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str], change: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+    """Rewrite the buckets that ``batch`` touches with ``change(state, batch)`` and commit; drop what only older batches need."""
+    spark, schema = batch.sparkSession, batch.schema
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    before = _manifest(spark, path, batch_id - 1)
+    touched = {r[0] for r in batch.select(bucket).distinct().collect()}
+    state = _buckets(spark, path, {b: v for b, v in before.items() if b in touched}, schema)
+    after = change(state, batch).select(*schema.names).withColumn("bucket", bucket)
+    after.repartition("bucket", *keys).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/version={batch_id}")
+    held = before | dict.fromkeys(touched, batch_id)
+    spark.createDataFrame(sorted(held.items()), "bucket int, version long").coalesce(1).write.mode("overwrite").parquet(_manifest_path(path, batch_id))
+    if batch_id >= 2:
+        # Batch n-1 may be read by a rerun of n; what neither n nor n-1 names can go.  A rerun finds it gone already.
+        try:
+            oldest = _manifest(spark, path, batch_id - 2)
+        except RuntimeError:
+            oldest = {}
+        for b, v in oldest.items():
+            if before.get(b) != v and held.get(b) != v:
+                _remove(spark, f"{path}/version={v}/bucket={b}")
+        _remove(spark, _manifest_path(path, batch_id - 2))
 
-    Batch n reads version n-1 and writes version n, so a batch that is run again after a
-    failure reads the same input and leaves the same result.
-    """
+
+def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str], created: str = "created_at") -> Callable[[DataFrame, int], None]:
+    """Upsert every micro-batch into a versioned table of hash buckets; only touched buckets are rewritten."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        target = _version(batch.sparkSession, path, batch_id - 1, batch.schema)
-        upsert(target, batch, keys, order, created).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        _update(batch, batch_id, path, keys, lambda state, new: upsert(state, new, keys, order, created))
 
     return sink
 
 
-def latest_version(spark: SparkSession, path: str, query: StreamingQuery | None, schema: T.StructType) -> DataFrame:
-    """Table after the last finished micro-batch."""
-    number = query.lastProgress["batchId"] if query is not None and query.lastProgress else -1
-    return _version(spark, path, number, schema)
-
-
 def status_sink(path: str, key: Sequence[str], order: Sequence[str], status: str = "status") -> Callable[[DataFrame, int], None]:
     """Keep the newest status per key; late and repeated events lose by their order columns."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        before = _version(batch.sparkSession, path, batch_id - 1, batch.schema)
-        newest = latest(before.unionByName(latest(batch, key, order)), key, order)
-        newest.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        _update(batch, batch_id, path, key, lambda state, new: latest(state.unionByName(latest(new, key, order)), key, order))
 
     return sink
 
 
+def latest_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Table after the last committed micro-batch; empty only if no batch was ever committed."""
+    try:
+        number = spark.read.schema("bucket int, version long, batch long").parquet(f"{path}/manifest").agg(F.max("batch")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        number = None
+    return _buckets(spark, path, _manifest(spark, path, -1 if number is None else number), schema)
+
+
 def status_counters(state: DataFrame, batch: Sequence[str], status: str = "status") -> DataFrame:
     """Counters per batch from the newest status of every key."""
     return state.groupBy(*batch).agg(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import shutil
+
 import glob
 
 import pytest
@@ -103,12 +105,36 @@ def test_only_new_files_and_idempotent_upserts(spark, tmp_path):
     spark.createDataFrame([(1, "a", "t0", 1), (2, "b", "t0", 1)], schema).coalesce(1).write.mode("append").parquet(src)
     run()
     spark.createDataFrame([(2, "c", "t1", 2), (3, "d", "t1", 2)], schema).coalesce(1).write.mode("append").parquet(src)
-    done = run()
     run()
-    rows = S.latest_version(spark, out, done, spark.createDataFrame([], schema).schema).collect()
+    run()
+    rows = S.latest_version(spark, out, spark.createDataFrame([], schema).schema).collect()
     assert sum(seen) == 4 and sorted((r["k"], r["v"], r["created_at"]) for r in rows) == [(1, "a", "t0"), (2, "c", "t0"), (3, "d", "t1")]
 
 
+def test_lost_state_is_an_error(spark, tmp_path):
+    out = str(tmp_path / "out")
+    schema = "k int, v string, created_at string, o int"
+    empty = spark.createDataFrame([], schema).schema
+    assert S.latest_version(spark, out, empty).count() == 0
+    sink = S.upsert_sink(out, ["k"], ["o"])
+    for n in range(4):
+        batch = spark.createDataFrame([(n, "first", "t", n), (0, f"v{n}", "t", n)], schema)
+        sink(batch, n)
+        sink(batch, n)
+    rows = {r["k"]: r["v"] for r in S.latest_version(spark, out, empty).collect()}
+    assert rows == {0: "v3", 1: "first", 2: "first", 3: "first"}
+    # Only the last two manifests and the files they name are left.
+    assert sorted(p.name for p in (tmp_path / "out/manifest").iterdir()) == ["batch=2", "batch=3"]
+    with pytest.raises(RuntimeError):
+        sink(spark.createDataFrame([(9, "x", "t", 9)], schema), 6)
+    for version in (tmp_path / "out").glob("version=*"):
+        shutil.rmtree(version)
+    with pytest.raises(Exception):
+        S.latest_version(spark, out, empty).collect()
+    with pytest.raises(Exception):
+        sink(spark.createDataFrame([(0, "x", "t", 9)], schema), 4)
+
+
 def test_failures_are_isolated(spark):
     df = spark.createDataFrame([(1, None), (2, "boom")], "k int, e string")
     good, bad = S.isolate_failures(df, "e")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -61,6 +62,10 @@ def test_audit_columns(spark):
         ('{"k": 4, "note": "cu', (4, "cu")),
         ('{"k": 5, "note":', (5, None)),
         ('{"k": 6, "list": [1, 2,], "note": "c",}', (6, "c")),
+        ('{"a": {"x": 1,}, "k": 7, "note": "d"}', (7, "d")),
+        ('{"note": "x, }", "b": [1,], "k": 8}', (8, "x, }")),
+        ('{"a": [1,2,], "b": {"c": [3,],}, "k": 9}', (9, None)),
+        ('{"k": 10, "note": "e", "list": [1, {"z": "y', (10, "e")),
         ("nothing here", None),
     ],
 )
@@ -68,11 +73,29 @@ def test_response_repair(spark, text, expected):
     df = spark.createDataFrame([(1, text)], "rec int, payload string")
     row = M.parse_responses(df, "payload", "k bigint, note string", ["rec"]).first()
     if expected is None:
-        assert row["response"] is None and row["parse_error"].startswith("invalid JSON")
+        assert row["response"] is None and row["parse_error"] == "invalid JSON" and row["payload"] == text
     else:
         assert (row["response"]["k"], row["response"]["note"]) == expected and row["parse_error"] is None
 
 
+def test_responses_lose_nothing(spark):
+    long = "no object " * 500
+    df = spark.createDataFrame([(1, long), (2, '{"k": "abc", "note": "n"}'), (3, '{"k": 1}'), (4, None), (5, '{"k": 5, "note": "c')], "rec int, payload string")
+    rows = {r["rec"]: r for r in M.parse_responses(df, "payload", "k bigint, note string", ["rec"]).collect()}
+    assert rows[1]["payload"] == long and rows[1]["parse_error"] == "invalid JSON"
+    assert rows[2]["parse_error"] == "type mismatch" and (rows[2]["response"]["k"], rows[2]["response"]["note"]) == (None, "n")
+    assert rows[3]["payload"] is None and not rows[3]["repaired"] and rows[4]["parse_error"] == "invalid JSON"
+    assert rows[5]["repaired"] and rows[5]["parse_error"] is None
+
+
+def test_repair_is_linear():
+    started = time.time()
+    M.repair_json('{"a": bad, ' + '"b": 1, ' * 40_000)
+    M.repair_json('{"a": [1' + ",],[1" * 40_000)
+    M.repair_json("{" * 40_000)
+    assert time.time() - started < 20
+
+
 def test_uncorroborated_critical_field_forces_review(spark):
     left = spark.createDataFrame([(1, None, "x")], "rec int, tarikh_nikah string, remarks string")
     right = spark.createDataFrame([(1, "01-01-1990", "X.", {"tarikh_nikah": 0.99, "remarks": 0.9}, 0.9)], "rec int, tarikh_nikah string, remarks string, field_confidence map<string,double>, confidence double")
@@ -92,6 +115,14 @@ GOOD = dict(
 GOOD_DDL = ", ".join(f"{k} {'int' if k in ('rec', 'umur_suami', 'umur_isteri') else 'string'}" for k in GOOD)
 
 
+def test_unknown_confidence_is_not_silence(spark):
+    records = spark.createDataFrame([tuple(GOOD.values())], GOOD_DDL)
+    for text, conf, status, reason in (("x", None, "REVIEW", True), ("x", 0.9, "OK", False), (" ", None, "FAILED_OCR", True)):
+        cells = spark.createDataFrame([(1, "bil", text, conf)], "rec int, cell string, text string, avg_conf double")
+        row = V.validate_records(records, cells, ["rec"]).first()
+        assert row["status_review"] == status and bool(row["review_reason"]) == reason
+
+
 @pytest.mark.parametrize(
     "change,text,status,confidence,reason",
     [
