@@ -97,9 +97,10 @@ def apply_token_rules(
 def apply_phrase_rules(df: DataFrame, rules: DataFrame, value: str = "value", field: str = "field") -> DataFrame:
     """Whole-value corrections from a table (field, phrase, replacement).
 
-    The optimizer broadcasts the rules only when their size allows it.
+    A rule given twice counts once, of contradicting ones the first in sort order.  The optimizer broadcasts the rules
+    only when their size allows it.
     """
-    lookup = rules.select(F.col("field").alias(field), F.col("phrase").alias(value), "replacement")
+    lookup = rules.groupBy(F.col("field").alias(field), F.col("phrase").alias(value)).agg(F.min("replacement").alias("replacement"))
     return (
         df.join(lookup, [field, value], "left")
         .select(*[F.coalesce("replacement", value).alias(value) if c == value else F.col(c) for c in df.columns])

@@ -355,9 +355,14 @@ def clean_tokens(text: Column) -> Column:
     return F.filter(F.split(cleaned, " "), lambda t: t != "")
 
 
-def match_phrases(words: DataFrame, anchors: Sequence[Anchor], keys: Sequence[str] = ("doc_id", "page_no")) -> DataFrame:
+def match_phrases(
+    words: DataFrame, anchors: Sequence[Anchor], keys: Sequence[str] = ("doc_id", "page_no"), chunk: float = 1 / 64
+) -> DataFrame:
     """First occurrence of each anchor phrase in the token stream of its page.
 
+    ``chunk`` is the height of the strips that a page's token count is scanned in: the default suits page units, pixels
+    want some hundreds.
+
     A token that equals the k-th token of a phrase votes for the start ``position - k``; a
     start with all votes is a match.  Votes are counted by an aggregate, so a page of any
     length is spread over tasks.
@@ -380,7 +385,7 @@ def match_phrases(words: DataFrame, anchors: Sequence[Anchor], keys: Sequence[st
             )
     literals = F.array(*[v for group in votes.values() for v in group])
     tokens = words.select(*keys, "word_ix", "x1", "y1", clean_tokens(F.col("text")).alias("tokens"))
-    placed = ordered_scan(tokens, keys, ["y1", "x1", "word_ix"], [steps("y1", 512.0)], total={"upto": F.size("tokens")})
+    placed = ordered_scan(tokens, keys, ["y1", "x1", "word_ix"], [steps("y1", chunk)], total={"upto": F.size("tokens")})
     stream = placed.select(
         *keys, "x1", "y1", (F.col("upto") - F.size("tokens")).alias("before"), F.posexplode("tokens").alias("offset", "token")
     ).where(F.col("token").isin(list(votes)))

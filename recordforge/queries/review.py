@@ -66,11 +66,11 @@ EDITS = "select c_custkey as edit_ix, c_mktsegment as o_orderpriority from custo
 @query(
     "r6_positional_patch",
     f"""with p as (select *, row_number() over (order by o_orderkey)-1 as pos from ({ROWS}))
- select o_orderkey, o_orderstatus, case when e.edit_ix is null then p.o_orderpriority else e.o_orderpriority end as o_orderpriority from p left join ({EDITS}) e on p.pos=e.edit_ix+14000""",
+ select o_orderkey, o_orderstatus, case when e.edit_ix is null then p.o_orderpriority else e.o_orderpriority end as o_orderpriority from p left join ({EDITS}) e on p.pos=e.edit_ix+5""",
 )
 def r6_positional_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, edits = fixtures.sql(spark, sf_dir, ROWS), fixtures.sql(spark, sf_dir, EDITS)
-    return R.positional_patch(rows, edits, 14000, ["o_orderpriority"], ["o_orderkey"], [steps("o_orderkey", 65536)])
+    return R.positional_patch(rows, edits, 5, ["o_orderpriority"], ["o_orderkey"], [steps("o_orderkey", 65536)])
 
 
 @query("r7_preview", "select source_record, source_file, status, confidence from fx_records order by source_record offset 400 limit 200")

@@ -13,10 +13,12 @@ from recordforge.queries.store import LEDGER, ledger
 from recordforge.sources import annotations, files, records
 
 
-@query("io1_list_documents")
+LISTING = "select doc_id, source||'/v1.2/'||cast(doc_id as {s})||case doc_id%5 when 0 then '.PDF' when 1 then '.jpeg' when 2 then '.txt' when 3 then '' else '.tif.bak' end as path, n_chars as length from documents"
+
+
+@query("io1_list_documents", f"select * from ({LISTING.format(s='varchar')}) where doc_id%5 in (0, 1)")
 def io1_list_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = files.list_documents(spark, sf_dir, [".PARQUET"], recursive=False)
-    return listed.select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), "length")
+    return files.supported_documents(fixtures.sql(spark, sf_dir, LISTING.format(s="string")))
 
 
 @query("io2_content_hash", "select doc_id, sha256(text) as content_hash from documents")

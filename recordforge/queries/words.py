@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordforge import fixtures
@@ -120,6 +120,33 @@ def w5_group_lines_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.group_lines_unit(words, ["doc_id"]).select("doc_id", "word_ix", F.col("segment").cast("long").alias("segment"), "part")
 
 
+# Blocks of six lines by forty words in which neighbouring lines touch, so that lines come from the fold over running means.
+BLOCKS = """select doc_id, cast(floor(ln/6) as int) as page_no, cast(floor(tn/40) as int) as col_no, word_ix, text, x1, y1+(ln%3)*5+(tn*7)%3 as y1, x2,
+ y2+(ln%3)*5+(tn*7)%3 as y2 from fx_words"""
+FOLD_SQL = """with w as (select *, (y1+y2)/2.0 as cy from ({source}) t),
+ f as (select doc_id, page_no, col_no, list_reduce(list([{{'ix': word_ix, 'cy': cy, 'line': 0::bigint, 'total': cy, 'n': 1}}] order by {order}), lambda acc, x: list_concat(acc,
+  [case when abs(x[1].cy - acc[-1].total/acc[-1].n) > {tol} then {{'ix': x[1].ix, 'cy': x[1].cy, 'line': acc[-1].line+1, 'total': x[1].cy, 'n': 1}}
+   else {{'ix': x[1].ix, 'cy': x[1].cy, 'line': acc[-1].line, 'total': acc[-1].total+x[1].cy, 'n': acc[-1].n+1}} end])) as k from w group by 1, 2, 3)
+ select doc_id, page_no, col_no, unnest(list_transform(k, lambda r: r.ix)) as word_ix, unnest(list_transform(k, lambda r: r.line)) as line_no from f"""
+BLOCK_KEYS = ["doc_id", "page_no", "col_no"]
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    """Lines of each block by number; a block has at most 240 words."""
+    place = F.dense_rank().over(Window.partitionBy(*BLOCK_KEYS).orderBy("segment", "part"))
+    return lines.select(*BLOCK_KEYS, "word_ix", (place - 1).cast("long").alias("line_no"))
+
+
+@query("w3_group_lines_fold", FOLD_SQL.format(source=BLOCKS, order="y1, x1, word_ix", tol="10.0"))
+def w3_group_lines_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _numbered(W.group_lines_px(fixtures.sql(spark, sf_dir, BLOCKS), BLOCK_KEYS))
+
+
+@query("w5_group_lines_fold", FOLD_SQL.format(source=BLOCKS, order="cy, x1, word_ix", tol="6.0"))
+def w5_group_lines_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _numbered(W.group_lines_unit(fixtures.sql(spark, sf_dir, BLOCKS), BLOCK_KEYS, tolerance=6.0))
+
+
 REGIONS = (
     W.Region("title", 1, 0.0, 0.0, 0.01, 0.02),
     W.Region("left", 1, 0.0, 0.05, 0.005, 0.9),

@@ -18,8 +18,13 @@ SUCCESS_STATUSES = ("SUCCESS", "SUCCESS_WITH_RETRY")
 def list_documents(spark: SparkSession, path: str, exts: Sequence[str] = DOCUMENT_EXTENSIONS, recursive: bool = True) -> DataFrame:
     """Files below a path with an allowed extension, in path order; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path)
-    suffix = F.lower(F.regexp_extract("path", "(\\.[^./]+)$", 1))
-    return files.where(suffix.isin([e.lower() for e in exts])).select("path", "length", "modificationTime").orderBy("path")
+    return supported_documents(files, exts=exts).select("path", "length", "modificationTime").orderBy("path")
+
+
+def supported_documents(files: DataFrame, path: str = "path", exts: Sequence[str] = DOCUMENT_EXTENSIONS) -> DataFrame:
+    """Rows of a listing whose path has an allowed extension, in any case."""
+    suffix = F.lower(F.regexp_extract(path, "(\\.[^./]+)$", 1))
+    return files.where(suffix.isin([e.lower() for e in exts]))
 
 
 def require_documents(files: DataFrame) -> DataFrame:
