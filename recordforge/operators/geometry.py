@@ -104,16 +104,13 @@ def record_starts(
     """Top of each record: the nearest ruled line above its marker, or just above the marker.
 
     ``tables`` has ``top`` and ``bottom`` per page.  The as-of join looks in the strip of the
-    marker and in the one above it, each as high as the search window.  Merged markers stand
-    at least a gap apart, so a page holds no more of them than its height allows and a window
-    per page stays small.
+    marker and in the one above it, each as high as the search window.  Markers are numbered and
+    spaced in chunks of their order, so a page of any length is dealt over tasks.
     """
     window = max(START_WINDOW_MIN, min_height)
     gap = max(30, min_height // 2)
-    down = Window.partitionBy(*keys).orderBy("y")
-    placed = markers.select(
-        *keys, "y", F.row_number().over(down).alias("record_ix"), F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("__count")
-    )
+    placed = ordered_scan(markers.select(*keys, "y"), keys, ["y"], [steps("y", CHUNK)], index="record_ix", size="__count")
+    placed = placed.withColumn("record_ix", F.col("record_ix").cast("int"))
     strip = F.floor(F.col("y") / F.lit(window))
     probes = placed.withColumn("__strip", F.explode(F.array(strip, strip - 1)))
     ruled = lines.select(*keys, F.col("y").alias("line_y")).withColumn("__strip", F.floor(F.col("line_y") / F.lit(window)))
@@ -133,12 +130,15 @@ def record_starts(
         .otherwise(F.coalesce(F.col("line_y"), fallback))
     )
     found = with_table.join(nearest, [*keys, "record_ix"], "left").withColumn("start", start)
-    return found.select(*keys, "record_ix", _spaced(keys, "record_ix", "start", gap).alias("start"))
+    # Closed form of start[i] = max(start[i], start[i-1] + gap), as in _spaced.
+    behind = F.col("start") - F.col("record_ix") * gap
+    spaced = ordered_scan(found.select(*keys, "record_ix", "start"), keys, ["record_ix"], [steps("record_ix", CHUNK)], peak={"__peak": behind})
+    return spaced.select(*keys, "record_ix", (F.col("__peak") + F.col("record_ix") * gap).alias("start"))
 
 
 def record_boxes(starts: DataFrame, tables: DataFrame, keys: Sequence[str], min_height: int) -> DataFrame:
     """Records end at the next start or at the table bottom; a page without records is one record."""
-    ends = starts.withColumn("__next", F.lead("start").over(Window.partitionBy(*keys).orderBy("record_ix")))
+    ends = ordered_scan(starts.select(*keys, "record_ix", "start"), keys, ["record_ix"], [steps("record_ix", CHUNK)], lead={"__next": F.col("start")})
     frame = tables.select(*keys, "left", "top", "right", "bottom")
     boxes = (
         ends.join(frame, list(keys))

@@ -537,9 +537,10 @@ def fields_from_regions(
     )
     centre_x = (F.col("x1") + F.col("x2")) / F.lit(2.0)
     centre_y = (F.col("y1") + F.col("y2")) / F.lit(2.0)
-    hits = words.join(grown, list(keys)).where(
-        centre_x.between(F.col("r_x1"), F.col("r_x2")) & centre_y.between(F.col("r_y1"), F.col("r_y2"))
-    ).drop("r_x1", "r_y1", "r_x2", "r_y2")
+    # One row per page with its regions, as many as the template has: a word meets them in its own row.
+    regions_of = grown.groupBy(*keys).agg(F.collect_list(F.struct("field", "r_x1", "r_y1", "r_x2", "r_y2")).alias("__regions"))
+    inside = lambda r: centre_x.between(r["r_x1"], r["r_x2"]) & centre_y.between(r["r_y1"], r["r_y2"])
+    hits = words.join(regions_of, list(keys)).withColumn("field", F.explode(F.transform(F.filter("__regions", inside), lambda r: r["field"])))
     owner = [*keys, "field"]
     lines = line_table(group_lines_unit(hits.select(*owner, "word_ix", "text", "confidence", "x1", "y1", "x2", "y2"), owner, cut=cut), owner)
     parts = F.array_sort(F.collect_list(F.struct("segment", "part", "text")))
