@@ -93,18 +93,25 @@ def _with_text_key(words: DataFrame) -> DataFrame:
 def duplicate_pairs(words: DataFrame, keys: Sequence[str] = ("doc_id", "page_no"), iou: float = DUPLICATE_IOU) -> DataFrame:
     """Pairs (earlier, later) of words with the same text whose boxes overlap by at least ``iou``.
 
-    Boxes meet only inside shared tiles, and each pair is emitted in its first shared tile.
+    Exact copies (same text and box) collapse to the first of them: a later copy is paired with that one only, and
+    only first copies are compared, so n words in one place give n - 1 pairs.  Boxes meet only inside shared tiles,
+    and each pair is emitted in its first shared tile.
     """
-    slim = _with_text_key(words).where(F.col("x1").isNotNull()).select(*keys, "text_key", "word_ix", "x1", "y1", "x2", "y2")
+    spot = [*keys, "text_key", "x1", "y1", "x2", "y2"]
+    placed = _with_text_key(words).where(F.col("x1").isNotNull()).select(*spot, "word_ix")
+    slim = placed.groupBy(*spot).agg(F.min("word_ix").alias("word_ix"))
+    copies = placed.withColumnRenamed("word_ix", "duplicate_ix").join(slim, spot).where(F.col("duplicate_ix") > F.col("word_ix"))
+    copies = copies.withColumn("iou", _iou(_box(), _box())).where(F.col("iou") >= iou).select(*keys, "text_key", "word_ix", "duplicate_ix", "iou")
     left = _tiled(slim.select(*keys, "text_key", *[F.col(c).alias("a_" + c) for c in ("word_ix", "x1", "y1", "x2", "y2")]), "a_")
     right = _tiled(slim.select(*keys, "text_key", *[F.col(c).alias("b_" + c) for c in ("word_ix", "x1", "y1", "x2", "y2")]), "b_")
     first = (F.col("tx") == F.greatest("a_first_tx", "b_first_tx")) & (F.col("ty") == F.greatest("a_first_ty", "b_first_ty"))
     overlap = _iou(_box("a_"), _box("b_"))
-    return (
+    apart = (
         left.join(right, [*keys, "text_key", "tx", "ty"])
         .where((F.col("a_word_ix") < F.col("b_word_ix")) & first & (overlap >= iou))
         .select(*keys, "text_key", F.col("a_word_ix").alias("word_ix"), F.col("b_word_ix").alias("duplicate_ix"), overlap.alias("iou"))
     )
+    return apart.unionByName(copies)
 
 
 def dedupe_words(words: DataFrame, keys: Sequence[str] = ("doc_id", "page_no"), iou: float = DUPLICATE_IOU) -> DataFrame:

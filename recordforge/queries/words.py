@@ -23,10 +23,11 @@ def texted_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "w1_duplicate_pairs",
-    f"""with w as ({TEXTED_BOXES.format(s='varchar')}),
+    f"""with w as ({TEXTED_BOXES.format(s='varchar')}), u as (select page_no, text, x1, y1, x2, y2, min(word_ix) as word_ix from w group by all),
  p as (select a.page_no, a.text as text_key, a.word_ix, b.word_ix as duplicate_ix, {IOU_SQL.format(a='a', b='b')} as inter
- from w a join w b on a.page_no=b.page_no and a.text=b.text and a.word_ix<b.word_ix)
- select page_no, text_key, word_ix, duplicate_ix, inter/(4800.0-inter) as iou from p where inter/(4800.0-inter)>=0.5""",
+ from u a join u b on a.page_no=b.page_no and a.text=b.text and a.word_ix<b.word_ix)
+ select page_no, text_key, word_ix, duplicate_ix, inter/(4800.0-inter) as iou from p where inter/(4800.0-inter)>=0.5
+ union all select page_no, text, u.word_ix, w.word_ix, 1.0 from w join u using (page_no, text, x1, y1, x2, y2) where w.word_ix>u.word_ix""",
 )
 def w1_duplicate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.duplicate_pairs(texted_boxes(spark, sf_dir), ["page_no"])
