@@ -15,8 +15,8 @@ and only window positions come back to the documents.  A passage on a third of a
 merged within the task that reads the document; no document meets another.
 
 Nulls and ties: a null or empty text, or item, has no shingle and leaks nothing.  Equal items are one, reported by the
-smallest item_id (null ids last).  Rows with the same doc_id are reported together; the best window wins, the earliest of
-equals.  A repeated row repeats nothing.  Other columns pass through.
+smallest item_id (null ids last).  Rows with the same doc_id are reported together; the best window wins, of equals the
+earliest that was laid.  A repeated row repeats nothing.  Other columns pass through.
 """
 
 from __future__ import annotations
