@@ -93,12 +93,13 @@ VIEWS: dict[str, tuple[str, str | None]] = {
 }
 
 
-_LOADED: dict[tuple[int, str, str], DataFrame] = {}
+_LOADED: dict[tuple[str, int, str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One given table; the file listing and schema are read once per session."""
-    place = (id(spark), sf_dir, name)
+    # An application's id is never used again, unlike the address of a session.
+    place = (spark.sparkContext.applicationId, id(spark), sf_dir, name)
     if place not in _LOADED:
         df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
         _LOADED[place] = spread(df) if name in ("documents", "pages", "orders") else df
