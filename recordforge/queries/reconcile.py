@@ -135,3 +135,20 @@ def m6_enrich_or_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     responses = fixtures.sql(spark, sf_dir, "select rec, case when failed then 'ServerError' end as error_class from fx_responses where rec%5<>0")
     out = M.enrich_or_fallback(validated, responses, ["rec"])
     return out.withColumn("review_reason", F.array_join("review_reason", "; "))
+
+
+@query(
+    "m6_run_switch",
+    """with r as (select rec, case when rec%400=399 then 'ClientError: 403 PERMISSION_DENIED' when failed then 'ServerError' end as e from fx_responses where rec%5<>0),
+ f as (select min(rec) as first from r where e like '%403%'), v as (select event_id as rec, coalesce(event_id > (select first from f), false) as off_ from events)
+ select v.rec, case when not off_ and (r.rec is null or e is not null) then 'REVIEW' else 'OK' end as status_review,
+ case when not off_ and (r.rec is null or e is not null) then 'model unavailable: '||coalesce(e, 'missing') else '' end as review_reason,
+ not off_ and r.rec is not null and e is null as enriched from v left join r on v.rec=r.rec""",
+)
+def m6_run_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    validated = fixtures.sql(spark, sf_dir, "select event_id as rec, 'OK' as status_review, cast(array() as array<string>) as review_reason from events")
+    responses = fixtures.sql(
+        spark, sf_dir, "select rec, case when rec%400=399 then 'ClientError: 403 PERMISSION_DENIED' when failed then 'ServerError' end as error_class from fx_responses where rec%5<>0"
+    )
+    out = M.enrich_or_fallback(validated, responses, ["rec"], order="rec")
+    return out.withColumn("review_reason", F.array_join("review_reason", "; "))
