@@ -41,7 +41,11 @@ OPEN, CLOSE = 1, 2  # code points that no word holds
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    """Runs of letters and other word characters but digits, lower case; none if the text has no letter at all."""
+    words = WORD.findall((text or "").lower())
+    if any(map(str.isalpha, words)) or any(c.isalpha() for w in words for c in w):
+        return words
+    return []
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -54,6 +54,10 @@ def test_documents_and_odd_rows(spark):
             assert r["lang_pred"] == (r["lang"] or "en")
 
 
+def test_a_text_without_letters_has_no_words():
+    assert language.words_of("½ ² 12 _ Ⅷ") == [] and language.words_of("½ a2b") == ["½", "a", "b"]
+
+
 def test_words_of_mixed_text(spark):
     model = language.train(_docs(spark))
     df = spark.createDataFrame([(1, "the house with water der die und nicht el agua que mañana"), (2, None)], "id long, text string")
