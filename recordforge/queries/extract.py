@@ -103,6 +103,52 @@ def e5_extract_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.extract_dates(texts, "text").select("rec", "date", "date_needs_review")
 
 
+# Texts of typed forms: values between other text, on later lines, out of range, glued to letters, absent.
+TYPED_SERIALS = "select rec, case rec%5 when 0 then 'No '||cast(rec as {s})||' /  '||cast(1900+rec%100 as {s})||' x' when 1 then cast(rec as {s})||'/2001' when 2 then 'A12/1994' when 3 then '12/199' end as text from fx_strings"
+TYPED_PRICES = "select rec, case rec%6 when 0 then 'harga RM '||cast(1000+rec as {s}) when 1 then 'rm 2 500.50 tunai' when 2 then 'RM'||cast(rec%90+10 as {s})||'.5' when 3 then 'RM x' when 4 then 'FARM 80' end as text from fx_strings"
+TYPED_AGES = "select rec, case rec%5 when 0 then {n}||' '||cast(10+rec%120 as {s})||' tahun' when 1 then 'umur 25'||{n}||'99' when 2 then 'x'||{n}||'30' when 3 then '1234' end as text from fx_strings"
+TYPED_DATES = "select rec, case rec%4 when 0 then 'tarikh'||{n}||cast(1+rec%28 as {s})||'-'||cast(1+rec%12 as {s})||'-1990' when 1 then 'tiada' when 2 then '31/02/1990'||{n}||'5/6/1990' end as text from fx_strings"
+
+
+@query(
+    "e1_typed",
+    f"""with t as ({TYPED_SERIALS.format(s='varchar')}), v as (select rec, text, case rec%5 when 0 then rec||'/'||(1900+rec%100) when 1 then rec||'/2001' end as serial from t)
+ select rec, serial, text as serial_raw, serial is null as serial_needs_review from v""",
+)
+def e1_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.extract_serial(fixtures.sql(spark, sf_dir, TYPED_SERIALS.format(s="string")), "text", profile="typed").drop("text")
+
+
+@query(
+    "e2_typed",
+    f"""with t as ({TYPED_PRICES.format(s='varchar')}), v as (select rec, text, case rec%6 when 0 then 'RM '||format('{{:,}}', 1000+rec) when 1 then 'RM 2,500.50' when 2 then 'RM '||(rec%90+10)||'.5' end as money from t)
+ select rec, money, text as money_raw, money is null as money_needs_review from v""",
+)
+def e2_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.extract_money(fixtures.sql(spark, sf_dir, TYPED_PRICES.format(s="string")), "text", profile="typed").drop("text")
+
+
+@query(
+    "e3_typed",
+    f"""with t as ({TYPED_AGES.format(s='varchar', n='chr(10)')}), v as (select rec, text, case rec%5 when 0 then case when 10+rec%120 between 16 and 120 then 10+rec%120 end when 1 then 25 end as ages from t)
+ select rec, ages, ages is null as ages_needs_review from v""",
+)
+def e3_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ages = E.extract_ages(fixtures.sql(spark, sf_dir, TYPED_AGES.format(s="string", n="'\\n'")), "text", low=16, high=120, profile="typed")
+    return ages.select("rec", "ages", "ages_needs_review")
+
+
+@query(
+    "e5_typed",
+    f"""with t as ({TYPED_DATES.format(s='varchar', n='chr(10)')}), v as (select rec, case rec%4 when 0 then lpad((1+rec%28)::varchar, 2, '0')||'-'||lpad((1+rec%12)::varchar, 2, '0')||'-1990' when 2 then '05-06-1990' end as date from t)
+ select rec, case when rec%4=0 and try_cast('1990-'||date[4:5]||'-'||date[1:2] as date) is null then null else date end as date,
+ case when rec%4=0 then try_cast('1990-'||date[4:5]||'-'||date[1:2] as date) is null else date is null end as date_needs_review from v""",
+)
+def e5_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dates = E.extract_dates(fixtures.sql(spark, sf_dir, TYPED_DATES.format(s="string", n="'\\n'")), "text", profile="typed")
+    return dates.select("rec", "date", "date_needs_review")
+
+
 NAME = "translate(cast({k}+1000000 as {s}), '0123456789', 'KMNPRTUVWX')"
 SPOUSES = """select rec, case when rec%6=0 then '[cell: 1]' || {n} else '' end || 'AB ' || """ + NAME.format(k="rec", s="{s}") + """ || case when rec%5=0 then {n} || 'CD' else '' end
  || case when rec%7=0 then ' ' else {n} end || id_text || ' ' || age_text || {n} || case when rec%9=0 then '-' || {n} else '' end
