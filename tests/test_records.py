@@ -16,6 +16,7 @@ from recordforge.operators import store as D
 from recordforge.operators import training as T
 from recordforge.operators import validate as V
 from recordforge.functions.scan import steps
+from recordforge.plans import ledger
 
 
 def decide(spark, fields, retries, facts, settings=C.RefineSettings(), metric="levenshtein"):
@@ -115,6 +116,26 @@ GOOD = dict(
 GOOD_DDL = ", ".join(f"{k} {'int' if k in ('rec', 'umur_suami', 'umur_isteri') else 'string'}" for k in GOOD)
 
 
+def test_records_are_refined_before_validation(spark):
+    row = GOOD | {"nama_suami": "AAA B1N BBB", "ic_lama_suami": "X9", "tarikh_nikah": None, "tarikh_keluar": "01-02-1990"}
+    records = spark.createDataFrame([tuple(row.values())], GOOD_DDL)
+    crops = spark.createDataFrame([(1, "suami_isteri", 3, 0), (1, "tarikh_nikah", 0, 1)], "rec int, cell string, retry_count int, retry_errors int")
+    retries = spark.createDataFrame(
+        [(1, "ic_lama_suami", a, f"v{a}", "A1234567", 0.95) for a in (1, 2, 3)], "rec int, field string, attempt int, variant string, text string, confidence double"
+    )
+    refined, decisions = ledger.refine_records(records, ["rec"], crops, retries)
+    found = refined.first()
+    reasons = {d["field"]: d["reason"] for d in decisions.collect()}
+    assert found["ic_lama_suami"] == "A1234567" and reasons["ic_lama_suami"] == "accepted_after_retry"
+    # No crop, no decision; an unreadable date stays and asks for review.
+    assert "nama_wali" not in reasons and found["nama_wali"] == "W" and found["tarikh_keluar"] == "01-02-1990"
+    assert found["tarikh_nikah"] is None and found["refinement_requires_review"]
+    assert refined.count() == 1 and set(records.columns) < set(refined.columns)
+    settings = V.ValidationSettings(use_refinement_flag=True)
+    cells = spark.createDataFrame([(1, "bil", "x", 0.9)], "rec int, cell string, text string, avg_conf double")
+    assert "refinement needs review" in V.validate_records(refined, cells, ["rec"], settings).first()["review_reason"]
+
+
 def test_unknown_confidence_is_not_silence(spark):
     records = spark.createDataFrame([tuple(GOOD.values())], GOOD_DDL)
     for text, conf, status, reason in (("x", None, "REVIEW", True), ("x", 0.9, "OK", False), (" ", None, "FAILED_OCR", True)):
