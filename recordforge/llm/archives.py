@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from recordforge.llm.common import table
+from recordforge.llm.common import saved, table
 from recordforge.llm.registry import query
 from recordforge.session import ensure_checkpoint_dir
 
@@ -43,6 +43,8 @@ DATE = "20000101000000"
 SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the name space of URLs (fixed value)
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 END = "\r\n\r\n"
+#: Writer options: compressed, at the speed end.
+FAST = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 def sha1(payload: bytes) -> str:
@@ -158,8 +160,8 @@ def _whole(content: bytes) -> bytes:
     return b"".join(out)
 
 
-def _converted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """ARC files -> (page_id, uri, date, digest, bytes, block)."""
+def _converted(batches: Iterable[pa.RecordBatch], blocks: bool) -> Iterator[pa.RecordBatch]:
+    """ARC files -> (page_id, uri, date, digest, size, block)."""
     names = ["page_id", "uri", "date", "digest", "size", "block"]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()]
     for batch in batches:
@@ -167,7 +169,7 @@ def _converted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows, held = [], 0
             for uri, date, _, block in parse_arc(_whole(content.as_py())):
                 http, payload = _split_http(block)
-                rows.append((_page_of(http), uri, warc_date(date), sha1(payload), len(payload), zlib.compress(block, 1)))
+                rows.append((_page_of(http), uri, warc_date(date), sha1(payload), len(payload), zlib.compress(block, 1) if blocks else None))
                 held += len(block)
                 if held > ARCHIVE_BYTES // 4:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
@@ -241,24 +243,28 @@ def write_arc(pages: DataFrame, path: str, date: str = DATE) -> None:
     per_file = _per_file(pages, F.coalesce(F.octet_length("html"), F.lit(0)))
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     lines = rows.mapInArrow(partial(_arc_rows, date=date, per_file=per_file), "value string")
-    lines.write.mode("overwrite").options(lineSep="\n", compression="gzip", maxRecordsPerFile=per_file).text(path)
+    lines.write.mode("overwrite").options(lineSep="\n", maxRecordsPerFile=per_file, **FAST).text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
 
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """(page_id, uri, date, digest, size, block) of the ARC records under ``path``; ``block`` is deflated."""
-    return _files(spark, path).mapInArrow(_converted, "page_id long, uri string, date string, digest string, size long, block binary")
+def read_arc(spark: SparkSession, path: str, blocks: bool = True) -> DataFrame:
+    """(page_id, uri, date, digest, size, block) of the ARC records under ``path``; ``block`` is deflated, or null without ``blocks``."""
+    return _files(spark, path).mapInArrow(partial(_converted, blocks=blocks), "page_id long, uri string, date string, digest string, size long, block binary")
 
 
-def write_warc(records: DataFrame, path: str, min_bytes: int = 0) -> None:
-    """Write converted records as compressed WARC files; of equal payloads one is the response, the others revisit it."""
-    first = records.where(F.col("size") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("first"))
+def write_warc(records: DataFrame, path: str, min_bytes: int = 0, facts: DataFrame | None = None) -> None:
+    """Write converted records as compressed WARC files; of equal payloads one is the response, the others revisit it.
+
+    ``facts`` may give (page_id, digest, size) of the records, where that is cheaper than reading them once more.
+    """
+    facts = saved((records if facts is None else facts).select("page_id", "digest", "size"))
+    first = facts.where(F.col("size") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("first"))
     rows = records.join(first, "digest", "left").select("page_id", "uri", "date", "digest", "size", "block", "first")
     rows.mapInArrow(partial(_warc_rows, min_bytes=min_bytes), "value string").write.mode("overwrite").options(
-        lineSep=END, compression="gzip", maxRecordsPerFile=_per_file(records, F.col("size"))
+        lineSep=END, maxRecordsPerFile=_per_file(facts, F.col("size")), **FAST
     ).text(path)
 
 
@@ -294,6 +300,6 @@ def op6_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as ARC archives, converted to WARC archives, read back."""
     arc, warc = _folder(spark, "arc"), _folder(spark, "warc")
     write_arc(table(spark, sf_dir, "pages"), arc)
-    write_warc(read_arc(spark, arc), warc)
+    write_warc(read_arc(spark, arc), warc, facts=read_arc(spark, arc, blocks=False))
     found = resolved(read_warc(spark, warc))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
