@@ -20,13 +20,15 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache, partial
+from functools import cached_property, lru_cache, partial
 from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +40,7 @@ RANKS = "byte_bpe_50k.tiktoken"
 #: Characters scanned at a time, texts kept whole.
 CHARS = 1_000_000
 BLOCK = 256
-CACHE = 250_000
+CACHE = 150_000
 #: Pieces of up to so many bytes are merged side by side, longer ones one by one.
 SIZES = (6, 9, 12, 16, 32)
 SIDE = 4_000
@@ -154,19 +156,25 @@ class Coder:
             self.lengths[rank] = len(token)
         self.cache: dict[str, tuple[int, ...]] = {}
         self.octets = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
-        pairs = {}
+
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys of the pairs of tokens that merge, and the ranks they merge to."""
+        keys, ranks = array("q"), array("i")
         for token, rank in self.ranks.items():
             for i in range(1, len(token)):
                 left, right = self.ranks.get(token[:i]), self.ranks.get(token[i:])
                 if left is not None and right is not None:
-                    pairs[left << 20 | right] = rank
-        self.pair_keys = np.array(sorted(pairs), dtype=np.int64)
-        self.pair_ranks = np.array([pairs[k] for k in sorted(pairs)], dtype=np.int32)
+                    keys.append(left << 20 | right)
+                    ranks.append(rank)
+        order = np.argsort(np.array(keys))
+        return np.array(keys)[order], np.array(ranks)[order]
 
     def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = left.astype(np.int64) << 20 | right
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NONE)
+        known, ranks = self.pairs
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        return np.where(known[at] == keys, ranks[at], NONE)
 
     def merge_all(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """``merge`` of many short pieces side by side: one merge of each piece in a step."""
@@ -303,10 +311,9 @@ def _lists(rows: list[np.ndarray]) -> pa.ListArray:
 def _encode(batches: Iterable[pa.RecordBatch], at: int, keep: list[int], path: str) -> Iterator[pa.RecordBatch]:
     codes = coder(path)
     for batch in batches:
-        texts = [t or "" for t in batch.column(at).to_pylist()]
-        for i, j in _grouped([len(t) for t in texts], CHARS):
-            ids = [np.array(x, dtype=np.int32) for x in codes.encode(texts[i:j])]
+        for i, j in _grouped(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist(), CHARS):
             part = batch.slice(i, j - i)
+            ids = [np.array(x, dtype=np.int32) for x in codes.encode([t or "" for t in part.column(at).to_pylist()])]
             columns = [*(part.column(k) for k in keep), _lists(ids), _lists([np.cumsum(codes.lengths[x]) for x in ids])]
             yield pa.RecordBatch.from_arrays(columns, names=[*(batch.schema.names[k] for k in keep), "ids", "ends"])
 
