@@ -12,7 +12,7 @@ without spaces costs n log n.
 ``encode`` keeps the end offset (in bytes) of each token, ``decode`` checks the bytes of the ids against them.
 
 Nulls: a null text has no tokens.  Rows are independent: repeated rows, any other columns and empty tables pass through;
-columns named ``ids`` or ``ends`` are replaced.  Nothing is truncated; memory is bounded by ``CHARS`` plus the longest text.
+columns named ``ids``, ``ends`` or ``decoded`` are replaced.  Nothing is truncated; memory is bounded by ``CHARS`` plus the longest text.
 """
 
 from __future__ import annotations
@@ -344,6 +344,7 @@ def _decode(batches: Iterable[pa.RecordBatch], at: tuple[int, int], path: str) -
 
 def decode(df: DataFrame, path: str) -> DataFrame:
     """``df`` with the bytes of its ``ids`` as ``decoded``; an error if they do not end where ``ends`` says."""
+    df = df.select(*(c for c in df.columns if c.lower() != "decoded"))
     schema = T.StructType([*df.schema.fields, T.StructField("decoded", T.BinaryType())])
     return df.mapInArrow(partial(_decode, at=(df.columns.index("ids"), df.columns.index("ends")), path=path), schema)
 

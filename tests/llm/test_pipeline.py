@@ -84,6 +84,20 @@ def test_run_and_odd_rows(spark, tmp_path):
     assert out.where("not round_trip").count() == 0 and out.count() > 50
 
 
+def test_columns_of_clashing_names(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = "decoded ids ends n_tokens round_trip tag tag2 fp words hs flagged chars page site x statistics score predicted copies root doc h".split()
+    wide = docs.limit(60).selectExpr("*", *(f"'mine' as {n}" for n in names))
+    expected = docs.limit(60)
+    for name, stage in corpus_pipeline.STAGES:
+        wide, expected = stage(spark, wide, SF), stage(spark, expected, SF)
+        if name != "byte_bpe":
+            assert wide.columns == [*docs.columns, *names]
+            assert {tuple(r) for r in wide.select(*names).collect()} == {("mine",) * len(names)}
+        assert sorted(r["doc_id"] for r in wide.select("doc_id").collect()) == sorted(r["doc_id"] for r in expected.select("doc_id").collect())
+        wide, expected = (spark.createDataFrame(d.collect(), d.schema) for d in (wide, expected))
+
+
 def test_empty_documents(spark, tmp_path):
     for name in ("labels", "benchmark", "documents"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
