@@ -10,8 +10,9 @@ Lines are compared without white space at their ends.  A line shorter than ``min
 lines recur by chance.  A document of which flagged lines make up more than ``max_share`` of the characters is not a page
 with boilerplate but a copy of a page that is on many sites; it stays whole, and is left to near-duplicate removal.
 
-Everything is DataFrame functions.  Line texts never leave the scan: what is shuffled are hashes and sketches, and once the
-documents with their flagged positions.
+Everything is DataFrame functions.  Line texts never leave the scan: what is written and shuffled are hashes and sketches, and once the
+documents with their flagged positions.  The table of boilerplate lines is broadcast if it has at most ``BROADCAST_ROWS`` rows
+of 8 bytes; beyond that it is joined by line hash, where AQE splits frequent lines.
 
 Nulls: a null text stays null, an empty one empty; neither has lines.  A null site counts for none.  Rows with the same
 doc_id and text count as one page each, and all get the same result.  Other columns pass through.
@@ -30,6 +31,7 @@ MIN_WORDS = 3
 MAX_SHARE = 0.5
 LG_K = 11
 BAND = 0.12
+BROADCAST_ROWS = 1_000_000
 
 
 def _lines(text: F.Column) -> F.Column:
@@ -53,16 +55,24 @@ def boilerplate(rows: DataFrame, min_sites: int) -> DataFrame:
     sketches = rows.groupBy("h").agg(F.hll_sketch_agg("site", F.lit(LG_K)).alias("sketch"))
     spread = saved(sketches.select("h", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= min_sites * (1 - BAND) - 1))
     near = F.col("sites") <= min_sites * (1 + BAND) + 1
-    counted = rows.join(spread.where(near).select("h"), "h", "left_semi").groupBy("h").agg(F.count_distinct("site").alias("sites"))
-    return spread.where(~near).select("h").unionByName(counted.where(F.col("sites") >= min_sites).select("h"))
+    # Sites of a line are made distinct before anything is dealt by line, so that a frequent line is a few rows.
+    close, pairs = spread.where(near).select("h"), rows.select("h", "site")
+    if close.count() <= BROADCAST_ROWS:
+        pairs = pairs.join(F.broadcast(close), "h", "left_semi").distinct()
+    else:
+        pairs = saved(pairs.distinct()).join(close, "h", "left_semi")
+    counted = pairs.groupBy("h").agg(F.count("site").alias("sites"))
+    return saved(spread.where(~near).select("h").unionByName(counted.where(F.col("sites") >= min_sites).select("h")))
 
 
 def flagged_lines(
     docs: DataFrame, key: str, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS
 ) -> DataFrame:
     """(doc, flagged array of positions, chars): what is boilerplate in each document that has any.  ``key`` is unique."""
-    rows = line_rows(docs, key, text, site, min_words)
-    hits = rows.join(boilerplate(rows, min_sites), "h")
+    # Hashes are read three times, the texts they come from once.
+    rows = saved(line_rows(docs, key, text, site, min_words))
+    found = boilerplate(rows, min_sites)
+    hits = rows.join(F.broadcast(found) if found.count() <= BROADCAST_ROWS else found, "h")
     found = hits.groupBy("doc").agg(F.collect_set(F.struct("pos", "size")).alias("found"))
     chars = F.aggregate("found", F.lit(0).cast("long"), lambda total, x: total + x["size"])
     return found.select("doc", F.col("found.pos").alias("flagged"), chars.alias("chars"))

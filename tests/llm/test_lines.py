@@ -54,6 +54,13 @@ def test_exact_counts_settle_what_sketches_cannot(spark, monkeypatch):
     assert sorted(map(tuple, lines.dedup_lines(df).collect()), key=str) == _brute(rows)
 
 
+def test_the_way_without_broadcasts_gives_the_same(spark, monkeypatch):
+    rows = _rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, flagged string")
+    monkeypatch.setattr(lines, "BROADCAST_ROWS", -1)
+    assert sorted(map(tuple, lines.dedup_lines(df).collect()), key=str) == _brute(rows)
+
+
 def test_long_lines_and_empty_table(spark):
     df = spark.createDataFrame([(1, "word " * 100_000, "a")], "doc_id long, text string, source string")
     assert lines.dedup_lines(df).first()["text"] == "word " * 100_000
