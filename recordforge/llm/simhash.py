@@ -4,8 +4,8 @@
 distinct fingerprints only.  They are dealt by bit blocks, sorted by block value and population count and cut into tiles; a
 numpy kernel takes the exclusive-or of two tiles of one block value and counts bits, and tile pairs whose population counts
 differ by more than the radius are never joined.  With ``radius`` < ``bands`` disjoint blocks every pair within the radius
-agrees on some block (pigeonhole), so the comparison is exact; ``one_of_each`` on wider fingerprints uses more, partly
-overlapping blocks and finds a pair at its radius with a probability above 0.99.
+agrees on some block (pigeonhole), so the comparison is exact; wider fingerprints with more, partly overlapping blocks lose pairs
+near the radius.  ``one_of_each`` doesn't remove by fingerprints but by the shingle sets themselves.
 
 Skew: copies collapse to one fingerprint by partial aggregation before anything is compared; sorting by block, count and
 fingerprint deals a hot block over many tasks; and a tile pair emits a spanning forest of its links, at most as many edges
@@ -25,15 +25,15 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from xxhash import xxh64_digest
 
+from recordforge.llm import similar
 from recordforge.llm.common import free_name, partitions, saved, table
 from recordforge.llm.components import components
 from recordforge.llm.registry import query
+from recordforge.llm.similar import shingle_hashes
 
-SEED = 42
 TILE = 512
-#: Of ``one_of_each``: bits that fingerprints of 256 bits may differ in, and blocks they are dealt by.
+#: Of fingerprints of 256 bits: bits that most pairs of similarity 0.8 differ in at most, and blocks to deal them by. No removal rests on them.
 RADIUS, BANDS = 54, 32
 #: Bits set in each byte value, most significant bit first.
 BITS = np.unpackbits(np.arange(256, dtype=np.uint8).reshape(-1, 1), axis=1).astype(np.int64)
@@ -47,19 +47,6 @@ def _remix(h: np.ndarray, n: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
-    """XXH64 of each run of ``shingle`` words joined by one space, of all words where there are fewer."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
-    k = min(shingle, len(words))
-    starts = np.concatenate(([0], ends[:-1] + 1))[: len(words) - k + 1].tolist()
-    digests = b"".join([xxh64_digest(joined[i:j], SEED) for i, j in zip(starts, ends[k - 1 :].tolist(), strict=True)])
-    return np.frombuffer(digests, dtype=">u8").astype(np.uint64)
-
-
 def fingerprint(text: str | None, shingle: int, words: int) -> bytes:
     h = shingle_hashes(text, shingle)
     if not len(h):
@@ -207,19 +194,21 @@ def near_duplicates(
 def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with one row of each group of near-duplicates: that with the smallest id, a null id last.
 
-    Five-word shingles and four times 64 bits; ``RADIUS`` bits hold pairs of similarity 0.8 or more (expected distance 39 at
-    0.8, deviation about 6; short texts vary more), and one of ``BANDS`` blocks of 12 bits agrees for over 99 of 100 such
-    pairs.  Texts of similarity 0.65 to 0.8 are mostly within the radius, too; below 0.45 hardly any is.
-    Texts are fingerprinted where they lie and move once, to meet the ids that stay.
+    Near-duplicates are texts whose sets of five-word shingles have a similarity of 0.8 or more, and texts that such pairs
+    connect; texts without words are one group.  All pairs are found and each is compared by its sets (module ``similar``), so every row
+    that goes has a partner of that similarity and no two that stay have it.
+    Texts are hashed where they lie; they move once, to meet the ids that stay, and those of candidate pairs to be compared.
     """
     names = {n: free_name(df, n) for n in ("tag", "tag2")}
     tags = {names["tag"]: F.xxhash64(F.col(doc_id), F.col(text)), names["tag2"]: F.xxhash64(F.lit(1), F.col(text))}
     rows = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), *(c.alias(n) for n, c in zip(("tag", "tag2"), tags.values(), strict=True)))
-    light = saved(fingerprints(rows, "text", shingle=5, words=4).drop("text"))
-    roots = group_roots(light, words=4, radius=RADIUS, bands=BANDS)
-    # Copies collapse to their first row before they are dealt by fingerprint.
-    first = light.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "tag", "tag2")).alias("first"))
-    stay = first.join(roots, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.tag", "first.tag2")
+    light = saved(similar.marked(rows))
+    # Copies collapse to their first row before they are dealt by class.
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "tag", "tag2")).alias("first")
+    classes = saved(light.groupBy("fp").agg(first, F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+    roots = similar.class_roots(light, classes, rows.drop("id")).withColumnRenamed("node", "fp")
+    kept = classes.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    stay = kept.select("first.tag", "first.tag2")
     stay = saved(light.join(stay, ["tag", "tag2"], "left_semi").groupBy("tag", "tag2").agg(F.count("*").alias("copies")))
     keys = stay.select(F.col("tag").alias(names["tag"]), F.col("tag2").alias(names["tag2"]), "copies")
     on = list(names.values())
