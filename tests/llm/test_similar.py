@@ -69,3 +69,16 @@ def test_tiles_of_frequent_shingles_give_the_same(spark, monkeypatch):
     assert _found(spark, rows) == _kept(rows)
     monkeypatch.setattr(similar, "HOT", 0)
     assert _found(spark, rows) == _kept(rows)
+
+
+def test_isolated_pairs_just_above_the_similarity_are_found(spark):
+    random.seed(12)
+    rows = []
+    while len(rows) < 3000:
+        k = len(rows)
+        base = [f"u{k}_{i}" for i in range(200)]
+        near = _edited(base, set(random.sample(range(200), random.choice([3, 4, 5, 6]))))
+        a, b = _set(" ".join(base)), _set(" ".join(near))
+        if 0.80 <= len(a & b) / len(a | b) <= 0.85:
+            rows += [(k, " ".join(base)), (k + 1, " ".join(near))]
+    assert _found(spark, rows) == list(range(0, 3000, 2))
