@@ -7,8 +7,11 @@ estimate is off by more than the band, which is over five standard errors (below
 exact anyway).
 
 Lines are compared without white space at their ends.  A line shorter than ``min_words`` words is never boilerplate: short
-lines recur by chance.  A document of which flagged lines make up more than ``max_share`` of the characters is not a page
-with boilerplate but a copy of a page that is on many sites; it stays whole, and is left to near-duplicate removal.
+lines recur by chance.  What happens to a page made up mostly of flagged lines is the caller's choice.  With a ``max_share``, as in
+the query and its SQL, a document of which flagged lines make up more of the characters stays whole.  With ``max_share`` None, as
+in the pipeline, flagged lines go whatever their share; only in copies, pages whose whole sequence of lines is on several sites, a
+flagged line has to be on ``min_sites`` sites even if all copies of a page count as one page on one site.  So the text of a page that
+many sites copy isn't lost as its own boilerplate; its copies are left to near-duplicate removal.
 
 Everything is DataFrame functions.  Line texts never leave the scan: what is written and shuffled are hashes and sketches, and once the
 documents with their flagged positions.  The table of boilerplate lines is broadcast if it has at most ``BROADCAST_ROWS`` rows
@@ -65,14 +68,36 @@ def boilerplate(rows: DataFrame, min_sites: int) -> DataFrame:
     return saved(spread.where(~near).select("h").unionByName(counted.where(F.col("sites") >= min_sites).select("h")))
 
 
+def copied_pages(docs: DataFrame, key: str, text: str, site: str) -> DataFrame:
+    """(doc, least): the documents whose whole sequence of lines is on several sites, and the smallest of these."""
+    pages = docs.select(F.col(key).alias("doc"), F.col(site).cast("string").alias("site"), F.xxhash64(F.transform(_lines(F.col(text)), _trimmed)).alias("page"))
+    # The smallest and the largest site tell whether there are several, and merge in every task.
+    copied = saved(pages.groupBy("page").agg(F.min("site").alias("least"), F.max("site").alias("most")).where("least < most").select("page", "least"))
+    return pages.join(F.broadcast(copied) if copied.count() <= BROADCAST_ROWS else copied, "page").select("doc", "least").distinct()
+
+
+def beyond_copies(hits: DataFrame, copied: DataFrame, min_sites: int) -> DataFrame:
+    """``hits`` without those in copies that are only flagged because of the copies."""
+    hits = saved(hits.join(copied, "doc", "left"))
+    spread = hits.where("least is null or site = least").select("h", "site").distinct()
+    own = saved(spread.groupBy("h").agg(F.count("site").alias("sites")).where(F.col("sites") >= min_sites).select("h"))
+    kept = hits.where("least is not null").join(F.broadcast(own) if own.count() <= BROADCAST_ROWS else own, "h", "left_semi")
+    return hits.where("least is null").unionByName(kept)
+
+
 def flagged_lines(
-    docs: DataFrame, key: str, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS
+    docs: DataFrame, key: str, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, copies: bool = False
 ) -> DataFrame:
-    """(doc, flagged array of positions, chars): what is boilerplate in each document that has any.  ``key`` is unique."""
+    """(doc, flagged array of positions, chars): what is boilerplate in each document that has any.  ``key`` is unique.
+
+    With ``copies`` a page's own copies don't make its lines boilerplate.
+    """
     # Hashes are read three times, the texts they come from once.
     rows = saved(line_rows(docs, key, text, site, min_words))
     found = boilerplate(rows, min_sites)
     hits = rows.join(F.broadcast(found) if found.count() <= BROADCAST_ROWS else found, "h")
+    if copies:
+        hits = beyond_copies(hits, copied_pages(docs, key, text, site), min_sites)
     found = hits.groupBy("doc").agg(F.collect_set(F.struct("pos", "size")).alias("found"))
     chars = F.aggregate("found", F.lit(0).cast("long"), lambda total, x: total + x["size"])
     return found.select("doc", F.col("found.pos").alias("flagged"), chars.alias("chars"))
@@ -85,7 +110,7 @@ def dedup_lines(
     key: str = "doc_id",
     min_sites: int = MIN_SITES,
     min_words: int = MIN_WORDS,
-    max_share: float = MAX_SHARE,
+    max_share: float | None = MAX_SHARE,
     details: bool = False,
 ) -> DataFrame:
     """``docs`` without cross-site boilerplate lines in ``text``.
@@ -95,11 +120,11 @@ def dedup_lines(
     """
     tag = free_name(docs, "page")
     pages = docs.withColumn(tag, F.xxhash64(F.col(key), F.col(text), F.col(site)))
-    found = flagged_lines(pages.select(tag, text, site), tag, text, site, min_sites, min_words)
+    found = flagged_lines(pages.select(tag, text, site), tag, text, site, min_sites, min_words, copies=max_share is None)
     flagged, chars, line = free_name(docs, "flagged"), free_name(docs, "chars"), _lines(F.col(text))
     found = found.select(F.col("doc").alias(tag), F.col("flagged").alias(flagged), F.col("chars").alias(chars))
     joined = pages.join(found, tag, "left")
-    minor = F.coalesce(F.col(chars) <= max_share * F.length(text), F.lit(False))
+    minor = F.coalesce(F.col(chars) <= max_share * F.length(text), F.lit(False)) if max_share is not None else F.col(flagged).isNotNull()
     kept = F.array_join(F.filter(line, lambda x, i: ~F.array_contains(F.col(flagged), i)), "\n")
     out = {text: F.when(minor, kept).otherwise(F.col(text))}
     if details:

@@ -65,3 +65,22 @@ def test_long_lines_and_empty_table(spark):
     df = spark.createDataFrame([(1, "word " * 100_000, "a")], "doc_id long, text string, source string")
     assert lines.dedup_lines(df).first()["text"] == "word " * 100_000
     assert lines.dedup_lines(df.limit(0), details=True).count() == 0
+
+
+def test_flagged_lines_go_whatever_their_share(spark):
+    rows = [*_rows(), (300, f"{BOILER}\n{BOILER}\nShort page", "site2", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, flagged string")
+    texts = {r["doc_id"]: r["text"] for r in lines.dedup_lines(df, max_share=None).collect()}
+    assert texts[300] == "Short page"
+    # A page on many sites keeps its own lines, not those that other pages have, too.
+    assert texts[105] == "A copied page about the same old thing as ever\nwhose lines are on every site there is"
+    assert BOILER not in texts[3] and BORDER in texts[3] and texts[200] is None and texts[201] == ""
+
+
+def test_the_pipeline_keeps_no_boilerplate_in_short_pages(spark):
+    import corpus_pipeline
+
+    rows = [*_rows(), (300, f"{BOILER}\n{BOILER}\nShort page", "site2", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, tag string")
+    texts = {r["doc_id"]: r["text"] for r in dict(corpus_pipeline.STAGES)["line_dedup"](spark, df, "").collect()}
+    assert texts[300] == "Short page"
