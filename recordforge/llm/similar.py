@@ -248,15 +248,20 @@ def exact(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     wanted = near.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
     wanted = saved(classes.join(wanted, "fp", "left_semi").select("fp", "first.tag", "first.tag2"))
 
-    @F.pandas_udf("array<long>")
-    def sets(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([shingle_set(t).view(np.int64) for t in batch], dtype=object)
+    @F.pandas_udf("boolean")
+    def alike(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for xs, ys in batches:
+            yield pd.Series([_alike(shingle_set(x), shingle_set(y)) for x, y in zip(xs, ys, strict=True)], dtype=bool)
 
+    # Texts move, not sets: they are smaller and can be compressed.
     found = texts.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, ["tag", "tag2"])
-    found = saved(found.groupBy("fp").agg(F.first("text").alias("text")).select("fp", sets("text").alias("set")))
-    both = near.join(found.select(F.col("fp").alias("a"), F.col("set").alias("x")), "a").join(found.select(F.col("fp").alias("b"), F.col("set").alias("y")), "b")
-    return saved(both.where(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b"))
+    found = found.groupBy("fp").agg(F.first("text").alias("text"))
+    both = near.join(found.select(F.col("fp").alias("a"), F.col("text").alias("x")), "a").join(found.select(F.col("fp").alias("b"), F.col("text").alias("y")), "b")
+    return saved(both.where(alike("x", "y")).select("a", "b"))
+
+
+def _alike(x: np.ndarray, y: np.ndarray) -> bool:
+    return 9 * len(np.intersect1d(x, y, assume_unique=True)) >= 4 * (len(x) + len(y))
 
 
 def class_roots(light: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
