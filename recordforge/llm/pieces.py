@@ -8,9 +8,9 @@ of equals; characters without a piece become byte pieces.  The lengths of the pi
 index the recorded alignment: that gives each piece its (begin, end) in bytes of the original text.  As in the library, the last byte
 piece of a character carries its span, the ones before it an empty one.
 
-No piece of such models continues after a word with a mark of white space, so texts are cut before these marks, and each word is
-merged once while it stays in a bounded cache; words too long for it are merged with a heap in n log n.  If a model does have pieces
-across such a cut, its texts are merged whole.
+No piece of such models continues after a word with a mark of white space, so texts are cut before these marks.  Each word is merged
+once while it stays in a bounded cache; new short words are merged side by side, one merge of each in a numpy step, long ones with
+a heap in n log n.  If a model does have pieces across such a cut, its texts are merged whole.
 
 Nulls: a null text has no pieces.  Rows are independent: repeated rows, further columns and empty tables pass through;
 columns named ``ids``, ``begins``, ``ends`` or ``decoded`` are replaced.  Nothing is truncated; a task holds one Arrow batch and the
@@ -22,8 +22,9 @@ from __future__ import annotations
 import heapq
 import re
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache, partial
+from functools import cached_property, lru_cache, partial
 from itertools import chain
 
 import numpy as np
@@ -41,9 +42,12 @@ from recordforge.llm.registry import query
 MODEL = "piece_bpe_32k.model"
 #: Bytes of text encoded at a time, texts kept whole.
 SLICE = 1_000_000
-#: Words kept in each of the two generations of the cache, and the longest word kept.
-CACHE = 60_000
-LONGEST = 40
+#: Words kept in each of the two generations of the cache.
+CACHE = 100_000
+#: Words of up to so many characters are merged side by side, longer ones one by one and not kept.
+SIZES = (6, 9, 12, 16, 32)
+SIDE = 4_000
+NONE = np.int32(2**31 - 1)
 MARK = "▁"
 REPLACEMENT = "�"
 # Kinds of pieces and of models in the file format (fixed values).
@@ -216,26 +220,75 @@ class Pieces:
                 out += [octets[b] for b in part.encode("utf-8")]
         return tuple(out)
 
-    def merge(self, word: str) -> tuple[int, ...]:
-        """Ids of a word: join the adjacent pair whose piece scores highest, the leftmost of equals, until none is a piece."""
-        if word in self.ids and len(word) == 1:
-            return (self.ids[word],)
-        if len(word) > 64:
-            return self._merge_long(word)
-        order, none = self.order, float("inf")
-        parts = list(word)
-        pairs = [order.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
-        while pairs and (least := min(pairs)) < none:
-            i = pairs.index(least)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del pairs[i]
-            if i:
-                pairs[i - 1] = order.get(parts[i - 1] + parts[i], none)
-            if i < len(pairs):
-                pairs[i] = order.get(parts[i] + parts[i + 1], none)
-        return self._coded(parts)
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted keys of the pairs of symbols that merge, with the order of the merges (equal scores: equal) and the pieces made."""
+        symbol = lambda part: self.ids.get(part, len(self.out) + ord(part) if len(part) == 1 else None)
+        place = {score: k for k, score in enumerate(sorted(set(self.order.values())))}
+        rows = array("q")
+        for piece, made in self.ids.items():
+            for i in range(1, len(piece)):
+                left, right = symbol(piece[:i]), symbol(piece[i:])
+                if left is not None and right is not None:
+                    rows.extend((left << 21 | right, place[self.order[piece]], made))
+        table = np.array(rows, dtype=np.int64).reshape(-1, 3)
+        table = table[np.argsort(table[:, 0])]
+        return table[:, 0].copy(), table[:, 1].astype(np.int32), table[:, 2].astype(np.int32)
+
+    @cached_property
+    def symbols(self) -> np.ndarray:
+        """Symbol of each code point: its piece, or a number past all pieces."""
+        symbols = np.arange(0x110000, dtype=np.int32) + len(self.out)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                symbols[ord(piece)] = i
+        return symbols
+
+    def _orders(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keys = left.astype(np.int64) << 21 | right
+        known, order, made = self.pairs
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        return np.where(known[at] == keys, order[at], NONE), made[at]
+
+    def merge_all(self, words: list[str]) -> list[tuple[int, ...]]:
+        """Ids of words: join the adjacent pair whose piece scores highest, the leftmost of equals, until none is a piece."""
+        lengths = np.array([len(w) for w in words])
+        width = int(lengths.max()) + 1
+        codes = np.frombuffer("".join(w.ljust(width, "\0") for w in words).encode("utf-32-le"), dtype=np.uint32)
+        ids = self.symbols[codes].reshape(len(words), width)
+        column, out, live = np.arange(width), ids.copy(), np.arange(len(words))
+        order = np.full(ids.shape, NONE, dtype=np.int32)
+        made = np.zeros(ids.shape, dtype=np.int32)
+        order[:, :-1], made[:, :-1] = self._orders(ids[:, :-1], ids[:, 1:])
+        order[column[None, :] >= lengths[:, None] - 1] = NONE
+        while len(live):
+            row, at = np.arange(len(live)), order.argmin(axis=1)
+            over = order[row, at] == NONE
+            if over.any():
+                out[live[over]] = ids[over]
+                live, ids, order, made, at = live[~over], ids[~over], order[~over], made[~over], at[~over]
+                row = np.arange(len(live))
+            if not len(live):
+                break
+            new = made[row, at]
+            later = column[None, :-1] > at[:, None]
+            for values in (ids, order, made):
+                values[:, :-1] = np.where(later, values[:, 1:], values[:, :-1])
+            lengths[live] -= 1
+            ids[row, at] = new
+            after, made[row, at] = self._orders(new, ids[row, np.minimum(at + 1, width - 1)])
+            order[row, at] = np.where(at < lengths[live] - 1, after, NONE)
+            inner = np.flatnonzero(at > 0)
+            order[inner, at[inner] - 1], made[inner, at[inner] - 1] = self._orders(ids[inner, at[inner] - 1], new[inner])
+        vocabulary = len(self.out)
+        rows = [tuple(r[:n]) for r, n in zip(out.tolist(), lengths.tolist(), strict=True)]
+        # What is left of characters without a piece becomes bytes.
+        for k in np.flatnonzero((out >= vocabulary) & (column[None, :] < lengths[:, None])) // width:
+            rows[k] = tuple(chain.from_iterable((i,) if i < vocabulary else map(self.bytes.__getitem__, chr(i - vocabulary).encode("utf-8")) for i in rows[k]))
+        return rows
 
-    def _merge_long(self, word: str) -> tuple[int, ...]:
+    def merge(self, word: str) -> tuple[int, ...]:
+        """Ids of one word of any length, by a heap of the merges."""
         order, n = self.order, len(word)
         ends = list(range(1, n + 1))  # by start: end of the part, 0 once joined to the one before
         before = list(range(-1, n - 1))
@@ -259,31 +312,42 @@ class Pieces:
             i = ends[i]
         return self._coded(parts)
 
-    def _find(self, words: list[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of all ``words``, from the cache where it has them; the dictionary is valid until the next call."""
+    def _learn(self, words: set[str]) -> None:
+        """Put the ids of all ``words`` into the young generation of the cache."""
         if len(self.young) > CACHE:
             self.old, self.young = self.young, {}
-        young, long = self.young, {}
-        for word in set(words):
-            if word not in young:
-                ids = self.old.get(word)
-                if ids is None:
-                    ids = self.merge(word)
-                (young if len(word) <= LONGEST else long)[word] = ids
-        return {**young, **long} if long else young
-
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of a text, and of each the first byte of its source and the byte after the last."""
-        normal, origin = self.normalise(text)
-        words = self.words.findall(normal)
-        ids = np.array(list(chain.from_iterable(map(self._find(words).__getitem__, words))), dtype=np.int32)
-        octets = self.octet[ids]
-        lengths = self.chars[ids]
-        # The last byte of a character is one that no continuation byte follows; it stands for the whole character.
-        follows = np.append((octets[1:] & 0xC0) == 0x80, False) & (np.append(octets[1:], -1) >= 0)
-        lengths[(octets >= 0) & ~follows[: len(ids)]] = 1
-        ends = np.cumsum(lengths)
-        return ids, origin[ends - lengths], origin[ends]
+        young, old = self.young, self.old
+        unknown = [w for w in words if w not in young]
+        young.update((w, old[w]) for w in unknown if w in old)
+        new = sorted((w for w in unknown if w not in young), key=len)
+        for size in SIZES:
+            group = [w for w in new if len(w) <= size]
+            new = new[len(group) :]
+            for i in range(0, len(group), SIDE):
+                part = group[i : i + SIDE]
+                young.update(zip(part, self.merge_all(part), strict=True))
+        young.update((w, self.merge(w)) for w in new)
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of each text the ids of its pieces, and of each the first byte of its source and the byte after the last."""
+        normal, origins = [], []
+        for text in texts:
+            cut, origin = self.normalise(text)
+            normal.append(self.words.findall(cut))
+            origins.append(origin)
+        self._learn(set(chain.from_iterable(normal)))
+        find, out = self.young.__getitem__, []
+        for words, origin in zip(normal, origins, strict=True):
+            ids = np.array(list(chain.from_iterable(map(find, words))), dtype=np.int32)
+            octets, lengths = self.octet[ids], self.chars[ids]
+            # The last byte of a character is one that no continuation byte follows; it stands for the whole character.
+            following = np.append(octets[1:], np.int16(-1))[: len(ids)]
+            lengths[(octets >= 0) & ((following < 0) | ((following & 0xC0) != 0x80))] = 1
+            ends = np.cumsum(lengths)
+            out.append((ids, origin[ends - lengths], origin[ends]))
+        for word in [w for w in chain.from_iterable(normal) if len(w) > SIZES[-1]]:
+            self.young.pop(word, None)
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids; a byte that is no part of a character counts as a replacement character."""
@@ -330,7 +394,7 @@ def _encode(batches: Iterable[pa.RecordBatch], at: int, keep: list[int], path: s
     for batch in batches:
         for i, j in _grouped(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist(), SLICE):
             part = batch.slice(i, j - i)
-            coded = [model.encode(t or "") for t in part.column(at).to_pylist()]
+            coded = model.encode([t or "" for t in part.column(at).to_pylist()])
             columns = [*(part.column(k) for k in keep), *(_lists([row[k] for row in coded]) for k in range(3))]
             yield pa.RecordBatch.from_arrays(columns, names=[*(batch.schema.names[k] for k in keep), "ids", "begins", "ends"])
 

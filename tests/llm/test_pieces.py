@@ -24,9 +24,8 @@ def library():
 
 
 def test_same_ids_spans_and_texts_as_the_library(library):
-    model = pieces.pieces(PATH)
-    for text in _texts():
-        ids, begins, ends = model.encode(text)
+    model, texts = pieces.pieces(PATH), _texts()
+    for text, (ids, begins, ends) in zip(texts, model.encode(texts), strict=True):
         found = library.encode(text, return_type="proto").pieces
         assert ids.tolist() == [p.id for p in found], text
         assert list(zip(begins.tolist(), ends.tolist(), strict=True)) == [(p.begin, p.end) for p in found], text
@@ -36,7 +35,7 @@ def test_same_ids_spans_and_texts_as_the_library(library):
 def test_spans_cover_the_text():
     text = "Ünïcode ①② 😀 and\n\n  words▁ "
     data = text.encode()
-    ids, begins, ends = pieces.pieces(PATH).encode(text)
+    ids, begins, ends = pieces.pieces(PATH).encode([text])[0]
     assert b"".join(data[b:e] for b, e in zip(begins, ends, strict=True)) == data and len(ids) == len(begins)
 
 
@@ -72,10 +71,12 @@ def test_compiled_character_maps(rule, collapse):
 
 def test_cache_and_long_words_change_nothing(monkeypatch, library):
     monkeypatch.setattr(pieces, "CACHE", 3)
-    monkeypatch.setattr(pieces, "LONGEST", 4)
-    model = pieces.Pieces(open(PATH, "rb").read())
+    monkeypatch.setattr(pieces, "SIZES", (2, 4))
+    monkeypatch.setattr(pieces, "SIDE", 3)
+    with open(PATH, "rb") as file:
+        model = pieces.Pieces(file.read())
     for text in _texts(300):
-        assert model.encode(text)[0].tolist() == library.encode(text)
+        assert model.encode([text])[0][0].tolist() == library.encode(text)
 
 
 def test_other_models_are_refused():
