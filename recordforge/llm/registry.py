@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ("quality", "chat", "html_text", "bpe", "decontaminate", "archives", "language", "lines", "simhash", "topk", "pieces", "negatives")
+MODULES = ("quality", "chat", "html_text", "bpe", "decontaminate", "archives", "language", "lines", "simhash", "topk", "pieces", "negatives", "repair")
 
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
