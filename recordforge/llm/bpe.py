@@ -349,12 +349,25 @@ def decode(df: DataFrame, path: str) -> DataFrame:
     return df.mapInArrow(partial(_decode, at=(df.columns.index("ids"), df.columns.index("ends")), path=path), schema)
 
 
+def both_ways(df: DataFrame, path: str, text: str = "text", drop_text: bool = False) -> DataFrame:
+    """``decode`` of ``encode``, in one Python worker."""
+    df = df.select(*(c for c in df.columns if c.lower() not in ("ids", "ends", "decoded")))
+    keep = [i for i, c in enumerate(df.columns) if not (drop_text and c == text)]
+    source, at = df.columns.index(text), (len(keep), len(keep) + 1)
+    numbers = T.ArrayType(T.IntegerType())
+    new = [T.StructField("ids", numbers), T.StructField("ends", numbers), T.StructField("decoded", T.BinaryType())]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _decode(_encode(batches, source, keep, path), at, path)
+
+    return df.mapInArrow(run, T.StructType([*(df.schema.fields[i] for i in keep), *new]))
+
+
 @query("op4_byte_bpe")
 def op4_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Token count and digests of ids and decoded bytes of every document."""
     path = path or public_tokenizers.path(RANKS)
-    ids = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, drop_text=True)
-    return decode(ids, path).select(
+    return both_ways(table(spark, sf_dir, "documents").select("doc_id", "text"), path, drop_text=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -20,7 +20,6 @@ pieces of one slice of it.
 from __future__ import annotations
 
 import heapq
-import re
 import struct
 from array import array
 from collections.abc import Iterable, Iterator
@@ -35,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordforge.llm.bpe import _grouped, _lists
+from recordforge.llm.bpe import _grouped
 from recordforge.llm.common import table
 from recordforge.llm.registry import query
 
@@ -206,7 +205,7 @@ class Pieces:
             for i, (piece, _, kind) in enumerate(pieces)
         ]
         crossing = any(MARK in piece.lstrip(MARK) for piece in self.ids)
-        self.words = re.compile("(?s).+" if crossing else f"{MARK}*[^{MARK}]+|{MARK}+")
+        self.cuts = not crossing
         self.young: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
 
@@ -244,48 +243,63 @@ class Pieces:
                 symbols[ord(piece)] = i
         return symbols
 
-    def _orders(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _lookup(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of pairs of symbols the order of their merge, ``NONE`` without one, and their place in ``pairs``."""
         keys = left.astype(np.int64) << 21 | right
-        known, order, made = self.pairs
-        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-        return np.where(known[at] == keys, order[at], NONE), made[at]
-
-    def merge_all(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Ids of words: join the adjacent pair whose piece scores highest, the leftmost of equals, until none is a piece."""
+        known, order, _ = self.pairs
+        at = np.searchsorted(known, keys)
+        at[at == len(known)] = 0
+        return np.where(known[at] == keys, order[at], NONE), at
+
+    def merge_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of words, one after the other, and how many each has: join the adjacent pair whose piece scores highest, the
+        leftmost of equals, until none is a piece.  One merge of each word in a step; symbols joined to the one before are
+        unlinked, not moved.
+        """
         lengths = np.array([len(w) for w in words])
         width = int(lengths.max()) + 1
         codes = np.frombuffer("".join(w.ljust(width, "\0") for w in words).encode("utf-32-le"), dtype=np.uint32)
-        ids = self.symbols[codes].reshape(len(words), width)
-        column, out, live = np.arange(width), ids.copy(), np.arange(len(words))
-        order = np.full(ids.shape, NONE, dtype=np.int32)
-        made = np.zeros(ids.shape, dtype=np.int32)
-        order[:, :-1], made[:, :-1] = self._orders(ids[:, :-1], ids[:, 1:])
-        order[column[None, :] >= lengths[:, None] - 1] = NONE
+        symbols = self.symbols[codes]
+        inside = (np.arange(width)[None, :] < lengths[:, None]).ravel()
+        after = np.arange(1, len(symbols) + 1)
+        before = np.arange(-1, len(symbols) - 1)
+        pair = inside[:-1] & inside[1:]
+        order = np.full(len(symbols), NONE, dtype=np.int32)
+        some = np.flatnonzero(pair)
+        order[some] = self._lookup(symbols[some], symbols[some + 1])[0]
+        table, live, made = order.reshape(-1, width), np.arange(len(words)), self.pairs[2]
         while len(live):
-            row, at = np.arange(len(live)), order.argmin(axis=1)
-            over = order[row, at] == NONE
-            if over.any():
-                out[live[over]] = ids[over]
-                live, ids, order, made, at = live[~over], ids[~over], order[~over], made[~over], at[~over]
-                row = np.arange(len(live))
-            if not len(live):
-                break
-            new = made[row, at]
-            later = column[None, :-1] > at[:, None]
-            for values in (ids, order, made):
-                values[:, :-1] = np.where(later, values[:, 1:], values[:, :-1])
-            lengths[live] -= 1
-            ids[row, at] = new
-            after, made[row, at] = self._orders(new, ids[row, np.minimum(at + 1, width - 1)])
-            order[row, at] = np.where(at < lengths[live] - 1, after, NONE)
-            inner = np.flatnonzero(at > 0)
-            order[inner, at[inner] - 1], made[inner, at[inner] - 1] = self._orders(ids[inner, at[inner] - 1], new[inner])
-        vocabulary = len(self.out)
-        rows = [tuple(r[:n]) for r, n in zip(out.tolist(), lengths.tolist(), strict=True)]
-        # What is left of characters without a piece becomes bytes.
-        for k in np.flatnonzero((out >= vocabulary) & (column[None, :] < lengths[:, None])) // width:
-            rows[k] = tuple(chain.from_iterable((i,) if i < vocabulary else map(self.bytes.__getitem__, chr(i - vocabulary).encode("utf-8")) for i in rows[k]))
-        return rows
+            rows = table if len(live) == len(table) else table[live]
+            column = rows.argmin(axis=1)
+            going = rows[np.arange(len(live)), column] != NONE
+            live = live[going]
+            at = live * width + column[going]
+            gone = after[at]
+            symbols[at] = made[self._lookup(symbols[at], symbols[gone])[1]]
+            inside[gone], order[gone] = False, NONE
+            following = after[gone]
+            after[at] = following
+            # The place after a word is unlinked too, as the padding of the word; it has no symbol.
+            has = inside[np.minimum(following, len(inside) - 1)] & (following < (live + 1) * width)
+            before[following[has]] = at[has]
+            order[at] = NONE
+            order[at[has]] = self._lookup(symbols[at[has]], symbols[following[has]])[0]
+            left = before[at]
+            has = left >= live * width
+            order[left[has]] = self._lookup(symbols[left[has]], symbols[at[has]])[0]
+        return symbols[inside], inside.reshape(-1, width).sum(axis=1)
+
+    def _coded_all(self, words: list[str]) -> Iterator[tuple[int, ...]]:
+        """Ids of words; symbols without a piece become bytes."""
+        symbols, sizes = self.merge_all(words)
+        vocabulary, values, at = len(self.out), symbols.tolist(), 0
+        strange = np.add.reduceat(symbols >= vocabulary, np.cumsum(sizes) - sizes).tolist()
+        for size, odd in zip(sizes.tolist(), strange, strict=True):
+            ids = values[at : at + size]
+            at += size
+            if odd:
+                ids = chain.from_iterable((i,) if i < vocabulary else map(self.bytes.__getitem__, chr(i - vocabulary).encode("utf-8")) for i in ids)
+            yield tuple(ids)
 
     def merge(self, word: str) -> tuple[int, ...]:
         """Ids of one word of any length, by a heap of the merges."""
@@ -312,8 +326,8 @@ class Pieces:
             i = ends[i]
         return self._coded(parts)
 
-    def _learn(self, words: set[str]) -> None:
-        """Put the ids of all ``words`` into the young generation of the cache."""
+    def _learn(self, words: list[str]) -> list[tuple[int, ...]]:
+        """Ids of ``words``, all different, through the cache."""
         if len(self.young) > CACHE:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
@@ -325,29 +339,54 @@ class Pieces:
             new = new[len(group) :]
             for i in range(0, len(group), SIDE):
                 part = group[i : i + SIDE]
-                young.update(zip(part, self.merge_all(part), strict=True))
+                young.update(zip(part, self._coded_all(part), strict=True))
         young.update((w, self.merge(w)) for w in new)
-
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Of each text the ids of its pieces, and of each the first byte of its source and the byte after the last."""
-        normal, origins = [], []
-        for text in texts:
-            cut, origin = self.normalise(text)
-            normal.append(self.words.findall(cut))
-            origins.append(origin)
-        self._learn(set(chain.from_iterable(normal)))
-        find, out = self.young.__getitem__, []
-        for words, origin in zip(normal, origins, strict=True):
-            ids = np.array(list(chain.from_iterable(map(find, words))), dtype=np.int32)
-            octets, lengths = self.octet[ids], self.chars[ids]
-            # The last byte of a character is one that no continuation byte follows; it stands for the whole character.
-            following = np.append(octets[1:], np.int16(-1))[: len(ids)]
-            lengths[(octets >= 0) & ((following < 0) | ((following & 0xC0) != 0x80))] = 1
-            ends = np.cumsum(lengths)
-            out.append((ids, origin[ends - lengths], origin[ends]))
-        for word in [w for w in chain.from_iterable(normal) if len(w) > SIZES[-1]]:
-            self.young.pop(word, None)
-        return out
+        ids = list(map(young.__getitem__, words))
+        for word in new:
+            del young[word]
+        return ids
+
+    def _words(self, normal: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+        """The words of normalised texts, and how many each has."""
+        data = b"".join(normal)
+        octets = np.frombuffer(data, dtype=np.uint8)
+        ends = np.cumsum([len(n) for n in normal], dtype=np.int64)
+        start = np.zeros(len(octets) + 1, dtype=bool)
+        if self.cuts and len(octets) >= 3:
+            mark = np.zeros(len(octets) + 3, dtype=bool)
+            np.logical_and.reduce([octets[k : len(octets) - 2 + k] == b for k, b in enumerate(MARK.encode("utf-8"))], out=mark[3:-2])
+            start[:-1] = mark[3:] & ~mark[:-3]
+        start[ends] = True
+        start[0] = True
+        offsets = np.flatnonzero(start)
+        if not len(octets):
+            offsets = np.zeros(1, dtype=np.int64)
+        words = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data))
+        return words, np.diff(np.searchsorted(offsets, ends), prepend=0)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the pieces of texts, one text after the other, of each piece the first byte of its source and the byte after the
+        last, and how many pieces each text has."""
+        normal, origins = zip(*map(self.normalise, texts), strict=True) if texts else ((), ())
+        words, counts = self._words([n.encode("utf-8") for n in normal])
+        coded = words.dictionary_encode()
+        place = coded.indices.to_numpy(zero_copy_only=False)
+        known = self._learn(coded.dictionary.to_pylist())
+        flat = np.array(list(chain.from_iterable(known)), dtype=np.int32)
+        sizes = np.array(list(map(len, known)), dtype=np.int64)
+        each = sizes[place]
+        first = (np.cumsum(sizes) - sizes)[place]
+        ids = flat[np.repeat(first - (np.cumsum(each) - each), each) + np.arange(each.sum())]
+        words_end = np.concatenate(([0], np.cumsum(counts)))
+        sizes = np.diff(np.concatenate(([0], np.cumsum(each)))[words_end])
+        octets, lengths = self.octet[ids], self.chars[ids]
+        # The last byte of a character is one that no continuation byte follows; it stands for the whole character.
+        following = np.append(octets[1:], np.int16(-1))[: len(ids)]
+        lengths[(octets >= 0) & ((following < 0) | ((following & 0xC0) != 0x80))] = 1
+        # Each text's alignment has one place more than characters.
+        ends = np.cumsum(lengths) + np.repeat(np.arange(len(texts)), sizes)
+        origin = np.concatenate([np.zeros(0, dtype=np.int64), *origins])
+        return ids, origin[ends - lengths], origin[ends], sizes
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids; a byte that is no part of a character counts as a replacement character."""
@@ -394,18 +433,24 @@ def _encode(batches: Iterable[pa.RecordBatch], at: int, keep: list[int], path: s
     for batch in batches:
         for i, j in _grouped(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist(), SLICE):
             part = batch.slice(i, j - i)
-            coded = model.encode([t or "" for t in part.column(at).to_pylist()])
-            columns = [*(part.column(k) for k in keep), *(_lists([row[k] for row in coded]) for k in range(3))]
+            *arrays, sizes = model.encode([t or "" for t in part.column(at).to_pylist()])
+            offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
+            columns = [*(part.column(k) for k in keep), *(pa.ListArray.from_arrays(offsets, pa.array(a.astype(np.int32))) for a in arrays)]
             yield pa.RecordBatch.from_arrays(columns, names=[*(batch.schema.names[k] for k in keep), "ids", "begins", "ends"])
 
 
+NEW = ("ids", "begins", "ends")
+
+
+def _coded_schema(df: DataFrame, keep: list[int]) -> list[T.StructField]:
+    return [*(df.schema.fields[i] for i in keep), *(T.StructField(c, T.ArrayType(T.IntegerType())) for c in NEW)]
+
+
 def encode(df: DataFrame, path: str, text: str = "text", drop_text: bool = False) -> DataFrame:
     """``df`` with ``ids``, ``begins`` and ``ends``, array<int>: of each piece its id and its span in bytes of the text."""
-    new = ("ids", "begins", "ends")
-    df = df.select(*(c for c in df.columns if c.lower() not in new))
+    df = df.select(*(c for c in df.columns if c.lower() not in NEW))
     keep = [i for i, c in enumerate(df.columns) if not (drop_text and c == text)]
-    schema = T.StructType([*(df.schema.fields[i] for i in keep), *(T.StructField(c, T.ArrayType(T.IntegerType())) for c in new)])
-    return df.mapInArrow(partial(_encode, at=df.columns.index(text), keep=keep, path=path), schema)
+    return df.mapInArrow(partial(_encode, at=df.columns.index(text), keep=keep, path=path), T.StructType(_coded_schema(df, keep)))
 
 
 def _decode(batches: Iterable[pa.RecordBatch], at: int, path: str) -> Iterator[pa.RecordBatch]:
@@ -425,12 +470,23 @@ def decode(df: DataFrame, path: str) -> DataFrame:
     return df.mapInArrow(partial(_decode, at=df.columns.index("ids"), path=path), schema)
 
 
+def both_ways(df: DataFrame, path: str, text: str = "text", drop_text: bool = False) -> DataFrame:
+    """``decode`` of ``encode``, in one Python worker."""
+    df = df.select(*(c for c in df.columns if c.lower() not in (*NEW, "decoded")))
+    keep = [i for i, c in enumerate(df.columns) if not (drop_text and c == text)]
+    source, ids = df.columns.index(text), len(keep)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _decode(_encode(batches, source, keep, path), ids, path)
+
+    return df.mapInArrow(run, T.StructType([*_coded_schema(df, keep), T.StructField("decoded", T.StringType())]))
+
+
 @query("op13_sentencepiece")
 def op13_sentencepiece(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """Piece count and digests of ids and decoded text of every document."""
     path = path or public_tokenizers.path(MODEL)
-    coded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, drop_text=True).drop("begins", "ends")
-    return decode(coded, path).select(
+    return both_ways(table(spark, sf_dir, "documents").select("doc_id", "text"), path, drop_text=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

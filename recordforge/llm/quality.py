@@ -2,9 +2,9 @@
 
 Each whole text becomes a vector of transformed statistics (logarithms of sizes and of smoothed shares).  The statistics
 of the labelled documents give both classes a mean and a covariance, shrunk towards the pooled covariance and its diagonal;
-counts, sums and products are one distributed aggregate, so the fit uses every labelled row and only sums reach the driver.  A score
-is the logistic of the difference of the two Gaussian log-densities: Mahalanobis distances by triangular solves with the
-Cholesky factors, which are computed once and kept in the model, plus log-determinants and log-priors.
+counts, means and central moments are one distributed aggregate, so the fit uses every labelled row and only moments reach the driver.
+A score is the logistic of the difference of the two Gaussian log-densities: Mahalanobis distances with the inverted Cholesky
+factors, which are computed once and kept in the model, plus log-determinants and log-priors.
 
 Nulls: a null or empty text has the statistics of zero words and is scored like any other.  Rows with a null doc_id are
 scored and never used for the fit.  Repeated label rows count once (contradicting ones not at all), repeated documents each.
@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordforge.llm.common import free_name, saved, table
+from recordforge.llm.common import saved, table
 from recordforge.llm.registry import query
 
 STATISTICS = (
@@ -92,57 +92,55 @@ def measured(df: DataFrame, text: str = "text", out: str = "x") -> DataFrame:
 
 @dataclass(frozen=True)
 class Discriminant:
-    """Means, cached inverse-ready Cholesky factors and constants of class 0 and class 1."""
+    """Means, inverses of the Cholesky factors and constants of class 0 and class 1."""
 
     means: np.ndarray
-    factors: np.ndarray
+    inverses: np.ndarray
     constants: np.ndarray
 
     @classmethod
-    def fit(cls, counts: np.ndarray, sums: np.ndarray, products: np.ndarray, pooled_share: float = 0.3, diagonal_share: float = 0.1) -> Discriminant | None:
-        """From counts, sums and sums of outer products of both classes; None unless both have rows."""
+    def fit(cls, counts: np.ndarray, means: np.ndarray, scatter: np.ndarray, pooled_share: float = 0.3, diagonal_share: float = 0.1) -> Discriminant | None:
+        """From counts, means and sums of outer products about the means of both classes; None unless both have rows."""
         if (counts < 1).any():
             return None
-        width = sums.shape[1]
-        means = sums / counts[:, None]
-        scatter = np.stack([p - n * np.outer(m, m) for p, n, m in zip(products, counts, means, strict=True)])
+        width = means.shape[1]
         pooled = scatter.sum(axis=0) / max(counts.sum() - 2, 1)
         floor = 1e-4 * np.eye(width)
-        factors, constants = [], []
+        inverses, constants = [], []
         for n, s in zip(counts, scatter, strict=True):
             # Small classes lean on the pooled covariance; both lean a little on their diagonal.
             alpha = (pooled_share * 50 + width) / (pooled_share * 50 + width + n)
             covariance = (1 - alpha) * s / max(n - 1, 1) + alpha * pooled
             covariance = (1 - diagonal_share) * covariance + diagonal_share * np.diag(np.diag(covariance)) + floor
             factor = np.linalg.cholesky(covariance)
-            factors.append(factor)
+            inverses.append(np.linalg.inv(factor))
             constants.append(math.log((n + 1) / (counts.sum() + 2)) - np.log(np.diag(factor)).sum())
-        return cls(means, np.stack(factors), np.array(constants))
+        return cls(means, np.stack(inverses), np.array(constants))
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """Probability of class 1 of each row."""
         logs = []
-        for mean, factor, constant in zip(self.means, self.factors, self.constants, strict=True):
-            z = np.linalg.solve(factor, (x - mean).T)
+        for mean, inverse, constant in zip(self.means, self.inverses, self.constants, strict=True):
+            z = inverse @ (x - mean).T
             logs.append(constant - 0.5 * (z**2).sum(axis=0))
         return 1 / (1 + np.exp(-np.clip(logs[1] - logs[0], -500, 500)))
 
 
 def train(rows: DataFrame, x: str = "x", label: str = "label") -> Discriminant | None:
-    """Fit on rows (x array<double>, label 0 or 1): one aggregate of counts, sums and products."""
+    """Fit on rows (x array<double>, label 0 or 1): one aggregate of counts, means and central moments."""
     width = len(STATISTICS)
     items = [F.col(x)[i] for i in range(width)]
-    sums = [F.sum(v).alias(f"s{i}") for i, v in enumerate(items)]
+    means = [F.avg(v).alias(f"m{i}") for i, v in enumerate(items)]
     pairs = [(i, j) for i in range(width) for j in range(i + 1)]
-    products = [F.sum(items[i] * items[j]).alias(f"p{i}_{j}") for i, j in pairs]
-    found = {r["label"]: r for r in rows.where(F.col(label).isin(0, 1)).groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n"), *sums, *products).collect()}
+    moments = [F.covar_pop(items[i], items[j]).alias(f"c{i}_{j}") for i, j in pairs]
+    found = {r["label"]: r for r in rows.where(F.col(label).isin(0, 1)).groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n"), *means, *moments).collect()}
     if len(found) < 2:
         return None
-    outer = np.zeros((2, width, width))
+    scatter = np.zeros((2, width, width))
     for c in (0, 1):
         for i, j in pairs:
-            outer[c, i, j] = outer[c, j, i] = found[c][f"p{i}_{j}"]
-    return Discriminant.fit(np.array([found[c]["n"] for c in (0, 1)], dtype=float), np.array([[found[c][f"s{i}"] for i in range(width)] for c in (0, 1)]), outer)
+            scatter[c, i, j] = scatter[c, j, i] = found[c]["n"] * found[c][f"c{i}_{j}"]
+    return Discriminant.fit(np.array([found[c]["n"] for c in (0, 1)], dtype=float), np.array([[found[c][f"m{i}"] for i in range(width)] for c in (0, 1)]), scatter)
 
 
 def scored(rows: DataFrame, model: Discriminant | None, x: str = "x") -> DataFrame:
@@ -187,8 +185,14 @@ def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
     Texts are measured twice, for the fit and for the decision: they then need neither be moved nor written.
     """
     model = fit(measured(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).select("doc_id", "x"), labels)
-    x = free_name(docs, "statistics")
-    return measured(docs, text, x).where(quality_score(model, x) >= 0.5).select(*docs.columns)
+
+    @F.pandas_udf("boolean")
+    def good(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        # Measured and scored in one worker.
+        for batch in texts:
+            yield pd.Series(model.score(np.array([statistics(t) for t in batch])) >= 0.5 if len(batch) else [], dtype=bool)
+
+    return docs.where(good(F.col(text))) if model is not None else docs
 
 
 @query("op1_quality_qda")

@@ -49,4 +49,6 @@ def test_round_trip_keeps_rows_and_columns(spark):
     for r in found:
         assert bytes(r["decoded"]) == (r["text"] or "").encode()
         assert len(r["ids"]) == len(r["ends"]) and (not r["ends"] or r["ends"][-1] == len((r["text"] or "").encode()))
+    both = bpe.both_ways(df, PATH)
+    assert both.columns == out.columns and sorted(map(str, both.collect())) == sorted(map(str, found))
     assert bpe.encode(df.limit(0), PATH).count() == 0

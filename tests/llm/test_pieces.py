@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -18,6 +19,12 @@ def _texts(n=4000):
     return [*texts, "", " " * 999, "▁" * 77, "a" * 5000, "nospaceatall" * 400, "①" * 300, "x " * 3000]
 
 
+def _each(model, texts):
+    *arrays, sizes = model.encode(texts)
+    cuts = np.cumsum(sizes)[:-1]
+    return list(zip(*(np.split(a, cuts) for a in arrays), strict=True))
+
+
 @pytest.fixture(scope="module")
 def library():
     return sentencepiece.SentencePieceProcessor(model_file=PATH)
@@ -25,7 +32,7 @@ def library():
 
 def test_same_ids_spans_and_texts_as_the_library(library):
     model, texts = pieces.pieces(PATH), _texts()
-    for text, (ids, begins, ends) in zip(texts, model.encode(texts), strict=True):
+    for text, (ids, begins, ends) in zip(texts, _each(model, texts), strict=True):
         found = library.encode(text, return_type="proto").pieces
         assert ids.tolist() == [p.id for p in found], text
         assert list(zip(begins.tolist(), ends.tolist(), strict=True)) == [(p.begin, p.end) for p in found], text
@@ -35,7 +42,7 @@ def test_same_ids_spans_and_texts_as_the_library(library):
 def test_spans_cover_the_text():
     text = "Ünïcode ①② 😀 and\n\n  words▁ "
     data = text.encode()
-    ids, begins, ends = pieces.pieces(PATH).encode([text])[0]
+    ids, begins, ends = _each(pieces.pieces(PATH), [text])[0]
     assert b"".join(data[b:e] for b, e in zip(begins, ends, strict=True)) == data and len(ids) == len(begins)
 
 
@@ -76,7 +83,7 @@ def test_cache_and_long_words_change_nothing(monkeypatch, library):
     with open(PATH, "rb") as file:
         model = pieces.Pieces(file.read())
     for text in _texts(300):
-        assert model.encode([text])[0][0].tolist() == library.encode(text)
+        assert model.encode([text])[0].tolist() == library.encode(text)
 
 
 def test_other_models_are_refused():
@@ -95,6 +102,9 @@ def test_rows_and_columns(spark):
         assert r["decoded"] == (r["text"] or "")
         assert len(r["ids"]) == len(r["begins"]) == len(r["ends"])
         assert not r["ends"] or r["ends"][-1] == len((r["text"] or "").encode())
+    both = pieces.both_ways(df, PATH)
+    assert both.columns == out.columns and sorted(map(str, both.collect())) == sorted(map(str, found))
+    assert pieces.both_ways(df, PATH, drop_text=True).columns == ["doc_id", "ids", "begins", "ends", "decoded"]
     assert pieces.encode(df.limit(0), PATH).count() == 0
 
 

@@ -47,12 +47,27 @@ def test_fit_equals_direct_moments(spark):
     x[y == 1] += 1
     model = quality.train(spark.createDataFrame([(r.tolist(), int(c)) for r, c in zip(x, y)], "x array<double>, label int"))
     assert np.allclose(model.means, [x[y == 0].mean(axis=0), x[y == 1].mean(axis=0)])
+    # The shrunk covariances and the scores, computed plainly.
+    n, width = 30, x.shape[1]
+    within = [np.cov(x[y == c].T) for c in (0, 1)]
+    pooled = ((n - 1) * within[0] + (n - 1) * within[1]) / (2 * n - 2)
+    alpha = (15 + width) / (15 + width + n)
+    logs = []
     for c in (0, 1):
-        # The cached factor gives the same log-density as an explicit inverse and determinant.
-        cov = model.factors[c] @ model.factors[c].T
-        d = x - model.means[c]
-        assert np.isclose(np.log(np.diag(model.factors[c])).sum() * 2, np.linalg.slogdet(cov)[1])
-        assert np.allclose((np.linalg.solve(model.factors[c], d.T) ** 2).sum(axis=0), np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d))
+        cov = (1 - alpha) * within[c] + alpha * pooled
+        cov = 0.9 * cov + 0.1 * np.diag(np.diag(cov)) + 1e-4 * np.eye(width)
+        assert np.allclose(np.linalg.inv(model.inverses[c].T @ model.inverses[c]), cov)
+        d = x - x[y == c].mean(axis=0)
+        logs.append(np.log(31 / 62) - 0.5 * np.linalg.slogdet(cov)[1] - 0.5 * np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d))
+    assert np.allclose(model.score(x), 1 / (1 + np.exp(logs[0] - logs[1])))
+
+
+def test_moments_of_far_values_keep_their_digits(spark):
+    x = np.random.default_rng(2).normal(size=(40, len(quality.STATISTICS)))
+    y = np.arange(40) % 2
+    rows = lambda shift: spark.createDataFrame([((r + shift).tolist(), int(c)) for r, c in zip(x, y)], "x array<double>, label int")
+    near, far = quality.train(rows(0.0)), quality.train(rows(1e6))
+    assert np.allclose(near.inverses, far.inverses, rtol=1e-4)
 
 
 def test_without_classes_and_without_rows(spark):
