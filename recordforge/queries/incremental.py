@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,18 +38,33 @@ def s1_incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{work}/out").select("event_id", "event_type", "user_id")
 
 
+def _drops(rows: DataFrame, work: str, deal: str, repeated: str) -> Iterator[DataFrame]:
+    """Write ``rows`` to a landing folder in three drops, dealt regardless of their order; some come again with the last one.
+
+    Yields the stream over the folder after each drop.
+    """
+    for k in range(3):
+        due = F.pmod(F.col(deal), F.lit(3)) == k
+        if k == 2:
+            due = due | (F.pmod(F.col(repeated), F.lit(7)) == 0)
+        rows.where(due).write.mode("append").parquet(f"{work}/in")
+        yield S.incremental_files(rows.sparkSession, f"{work}/in", rows.schema)
+
+
 @query(
     "s2_upsert_stream",
-    "select o_custkey as source_file, o_orderpriority as source_record, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) as status, arg_max(o_orderkey, (o_orderdate, o_orderkey)) as o_orderkey from orders group by 1, 2",
+    "select o_custkey as source_file, o_orderpriority as source_record, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) as status, arg_max(o_orderkey, (o_orderdate, o_orderkey)) as o_orderkey, min(o_orderdate) as created_at from orders group by 1, 2",
 )
 def s2_upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    work = _work(spark, "s2")
-    stream = _stream(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("source_file"), F.col("o_orderpriority").alias("source_record"), F.col("o_orderstatus").alias("status"), "o_orderkey", "o_orderdate"
+    work, keys = _work(spark, "s2"), ["source_file", "source_record"]
+    orders = fixtures.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("source_file"), F.col("o_orderpriority").alias("source_record"), F.col("o_orderstatus").alias("status"), "o_orderkey", "o_orderdate",
+        F.col("o_orderdate").alias("created_at"),
     )
-    sink = S.upsert_sink(f"{work}/out", ["source_file", "source_record"], ["o_orderdate", "o_orderkey"], created="none")
-    S.run_available(stream, sink, f"{work}/checkpoint")
-    return S.latest_version(spark, f"{work}/out", stream.schema).drop("o_orderdate")
+    # Each run is a restart from the checkpoint.
+    for stream in _drops(orders, work, "o_orderkey", "o_orderkey"):
+        S.run_keyed(S.newest_rows(stream, keys, ["o_orderdate", "o_orderkey"], "created_at"), f"{work}/out", keys, f"{work}/checkpoint")
+    return S.read_table(spark, f"{work}/out", orders.schema).drop("o_orderdate")
 
 
 @query("s3_isolate_failures", "select rec, case when rec%6=5 or rec%24=0 then 'bad' else 'good' end as side from fx_responses")
@@ -74,12 +90,12 @@ def s3_failure_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def s4_status_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = _work(spark, "s4")
-    status = F.when(F.col("event_type").isin("purchase", "signup"), "OK").when(F.col("event_type") == "error", "FAILED").otherwise("REVIEW")
-    stream = _stream(spark, sf_dir, "events").select(
-        F.col("user_id").alias("rec_key"), "event_id", "ts", (F.col("user_id") % 10).cast("int").alias("batch_id"), status.alias("status")
-    )
-    S.run_available(stream, S.status_sink(f"{work}/out", ["rec_key"], ["ts", "event_id"]), f"{work}/checkpoint")
-    return S.status_counters(S.latest_version(spark, f"{work}/out", stream.schema), ["batch_id"])
+    events = fixtures.view(spark, sf_dir, "fx_status_events").withColumn("ts", F.col("ts").cast("timestamp"))
+    for stream in _drops(events, work, "event_id", "event_id"):
+        # The drops cross each other in time: an event may be as late as the table is long, a month.
+        fresh = S.once(stream, ["event_id"], "ts", "40 days")
+        S.run_keyed(S.newest_rows(fresh, ["rec_key"], ["ts", "event_id"]), f"{work}/out", ["rec_key"], f"{work}/checkpoint")
+    return S.status_counters(S.read_table(spark, f"{work}/out", events.schema), ["batch_id"])
 
 
 # ---------------------------------------------------------------- sinks, read back from the shared folder

@@ -1,4 +1,9 @@
-"""Restartable runs: new files only, keyed upserts per micro-batch, rolling status counters, failure isolation."""
+"""Restartable runs: new files only, keyed upserts, rolling status counters, failure isolation.
+
+Keyed state is Spark's: a streaming aggregation holds the newest row of every key in the state store, versioned by the
+checkpoint, so a run that starts again goes on where the last one stopped.  The store grows with the keys; a cluster sets
+``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider, so that it lies on disk.
+"""
 
 from __future__ import annotations
 
@@ -10,18 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from recordforge.functions.scan import latest
-from recordforge.operators.store import upsert
-
 
 def incremental_files(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet", **options: str) -> DataFrame:
     """File stream; together with a checkpoint each file is read once, also over restarts."""
     return spark.readStream.format(fmt).schema(schema).options(**options).load(path)
 
 
-def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Process everything that is there now through ``sink`` and stop."""
-    query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = stream.writeStream.foreachBatch(sink).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
@@ -35,92 +37,70 @@ def append_sink(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], N
     return sink
 
 
-# ---------------------------------------------------------------- versioned state
-#
-# State is kept in buckets of the key's hash.  Micro-batch n reads the buckets it touches as batch n-1 left them, writes them
-# to version=n, and commits by writing a manifest: which version holds each bucket.  A batch that is run again after a
-# failure reads the same manifest and leaves the same result.  A manifest or a file that a manifest names and that is
-# missing is an error, never an older state.
-
-BUCKETS = 64
+# ---------------------------------------------------------------- keyed state
 
 
-def _manifest_path(path: str, number: int) -> str:
-    return f"{path}/manifest/batch={number}"
+def once(stream: DataFrame, event_id: Sequence[str], event_time: str, delay: str) -> DataFrame:
+    """Drop events whose id was seen within ``delay`` of event time, and events later than that.
 
-
-def _manifest(spark: SparkSession, path: str, number: int) -> dict[int, int]:
-    """Bucket -> version after a micro-batch, at most ``BUCKETS`` entries; before the first batch there are none."""
-    if number < 0:
-        return {}
-    try:
-        rows = spark.read.schema("bucket int, version long").parquet(_manifest_path(path, number)).collect()
-    except AnalysisException as error:
-        raise RuntimeError(f"the state of micro-batch {number} below {path} was never committed or is lost") from error
-    return {r["bucket"]: r["version"] for r in rows}
-
-
-def _buckets(spark: SparkSession, path: str, held: dict[int, int], schema: T.StructType) -> DataFrame:
-    if not held:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*(f"{path}/version={v}/bucket={b}" for b, v in sorted(held.items())))
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def _update(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str], change: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-    """Rewrite the buckets that ``batch`` touches with ``change(state, batch)`` and commit; drop what only older batches need."""
-    spark, schema = batch.sparkSession, batch.schema
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
-    before = _manifest(spark, path, batch_id - 1)
-    touched = {r[0] for r in batch.select(bucket).distinct().collect()}
-    state = _buckets(spark, path, {b: v for b, v in before.items() if b in touched}, schema)
-    after = change(state, batch).select(*schema.names).withColumn("bucket", bucket)
-    after.repartition("bucket", *keys).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/version={batch_id}")
-    held = before | dict.fromkeys(touched, batch_id)
-    spark.createDataFrame(sorted(held.items()), "bucket int, version long").coalesce(1).write.mode("overwrite").parquet(_manifest_path(path, batch_id))
-    if batch_id >= 2:
-        # Batch n-1 may be read by a rerun of n; what neither n nor n-1 names can go.  A rerun finds it gone already.
-        try:
-            oldest = _manifest(spark, path, batch_id - 2)
-        except RuntimeError:
-            oldest = {}
-        for b, v in oldest.items():
-            if before.get(b) != v and held.get(b) != v:
-                _remove(spark, f"{path}/version={v}/bucket={b}")
-        _remove(spark, _manifest_path(path, batch_id - 2))
+    The watermark bounds the ids that are held.  Choose the longest delay with which an event may arrive.
+    """
+    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(event_id))
 
 
-def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str], created: str = "created_at") -> Callable[[DataFrame, int], None]:
-    """Upsert every micro-batch into a versioned table of hash buckets; only touched buckets are rewritten."""
+def newest_rows(stream: DataFrame, keys: Sequence[str], order: Sequence[str], created: str | None = None) -> DataFrame:
+    """Newest row of every key by the order columns, held by Spark's state; in update mode each micro-batch gives the changed keys.
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        _update(batch, batch_id, path, keys, lambda state, new: upsert(state, new, keys, order, created))
+    Late and repeated rows lose by their order columns, which are total within a key.  ``created`` keeps the value of the
+    key's first row in that order.
+    """
+    place = F.struct(*order)
+    rest = [c for c in stream.columns if c not in keys]
+    row = F.max_by(F.struct(*rest), place).alias("__row")
+    first = [F.min_by(F.struct(created), place).alias("__first")] if created else []
+    held = stream.groupBy(*keys).agg(row, *first)
+    value = lambda c: F.col("__first")[c] if c == created else F.col("__row")[c]
+    return held.select(*[F.col(c) if c in keys else value(c).alias(c) for c in stream.columns])
 
-    return sink
 
+def table_sink(path: str, keys: Sequence[str], buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """Replace the rows of the keys of a micro-batch in a table of hash buckets; only touched buckets are read and rewritten.
 
-def status_sink(path: str, key: Sequence[str], order: Sequence[str], status: str = "status") -> Callable[[DataFrame, int], None]:
-    """Keep the newest status per key; late and repeated events lose by their order columns."""
+    A micro-batch holds the whole newest row of each key it has, so a repeated one replaces rows by themselves.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        _update(batch, batch_id, path, key, lambda state, new: latest(state.unionByName(latest(new, key, order)), key, order))
+        spark = batch.sparkSession
+        # Read three times; a lost block is computed again from the state.
+        new = batch.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).persist()
+        try:
+            touched = [r[0] for r in new.select("bucket").distinct().collect()]
+            held = read_table(spark, path, batch.schema, partitions=True).where(F.col("bucket").isin(touched))
+            same = [F.col(f"__old.{k}").eqNullSafe(F.col(f"__new.{k}")) for k in ("bucket", *keys)]
+            kept = held.alias("__old").join(new.select("bucket", *keys).alias("__new"), same, "left_anti")
+            after = kept.select(*new.columns).unionByName(new).repartition("bucket", *keys)
+            after.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+        finally:
+            new.unpersist()
 
     return sink
 
 
-def latest_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Table after the last committed micro-batch; empty only if no batch was ever committed."""
+def read_table(spark: SparkSession, path: str, schema: T.StructType, partitions: bool = False) -> DataFrame:
+    """The table that ``table_sink`` writes; empty before its first micro-batch."""
+    whole = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
     try:
-        number = spark.read.schema("bucket int, version long, batch long").parquet(f"{path}/manifest").agg(F.max("batch")).first()[0]
+        rows = spark.read.schema(whole).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        number = None
-    return _buckets(spark, path, _manifest(spark, path, -1 if number is None else number), schema)
+        rows = spark.createDataFrame([], whole)
+    return rows if partitions else rows.drop("bucket")
+
+
+def run_keyed(changes: DataFrame, path: str, keys: Sequence[str], checkpoint: str, buckets: int = 64) -> StreamingQuery:
+    """Bring the table at ``path`` up to date with what ``newest_rows`` gives for everything that is there now, and stop."""
+    return run_available(changes, table_sink(path, keys, buckets), checkpoint, mode="update")
 
 
 def status_counters(state: DataFrame, batch: Sequence[str], status: str = "status") -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import shutil
-
+import datetime as dt
 import glob
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,53 +86,100 @@ def test_polygons_and_legacy_lines(spark):
     assert annotations.explode_parallel_arrays(df.withColumn("rec_texts", F.array().cast("array<string>")), ["k"]).count() == 0
 
 
-def test_only_new_files_and_idempotent_upserts(spark, tmp_path):
-    src, out = str(tmp_path / "in"), str(tmp_path / "out")
-    schema = "k int, v string, created_at string, o int"
-    seen = []
+ROWS = "k int, v string, created_at string, o int"
 
-    def run():
-        stream = S.incremental_files(spark, src, schema)
-        sink = S.upsert_sink(out, ["k"], ["o"])
 
-        def both(batch, number):
-            seen.append(batch.count())
-            sink(batch, number)
-            sink(batch, number)
+def _upsert(spark, tmp_path, sink=None):
+    out = str(tmp_path / "out")
+    stream = S.newest_rows(S.incremental_files(spark, str(tmp_path / "in"), ROWS), ["k"], ["o"], "created_at")
+    return S.run_available(stream, sink or S.table_sink(out, ["k"], 4), str(tmp_path / "ckpt"), mode="update")
 
-        return S.run_available(stream, both, str(tmp_path / "ckpt"))
 
-    spark.createDataFrame([(1, "a", "t0", 1), (2, "b", "t0", 1)], schema).coalesce(1).write.mode("append").parquet(src)
-    run()
-    spark.createDataFrame([(2, "c", "t1", 2), (3, "d", "t1", 2)], schema).coalesce(1).write.mode("append").parquet(src)
-    run()
-    run()
-    rows = S.latest_version(spark, out, spark.createDataFrame([], schema).schema).collect()
-    assert sum(seen) == 4 and sorted((r["k"], r["v"], r["created_at"]) for r in rows) == [(1, "a", "t0"), (2, "c", "t0"), (3, "d", "t1")]
+def _land(spark, tmp_path, rows):
+    spark.createDataFrame(rows, ROWS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
 
 
-def test_lost_state_is_an_error(spark, tmp_path):
-    out = str(tmp_path / "out")
-    schema = "k int, v string, created_at string, o int"
-    empty = spark.createDataFrame([], schema).schema
-    assert S.latest_version(spark, out, empty).count() == 0
-    sink = S.upsert_sink(out, ["k"], ["o"])
-    for n in range(4):
-        batch = spark.createDataFrame([(n, "first", "t", n), (0, f"v{n}", "t", n)], schema)
-        sink(batch, n)
-        sink(batch, n)
-    rows = {r["k"]: r["v"] for r in S.latest_version(spark, out, empty).collect()}
-    assert rows == {0: "v3", 1: "first", 2: "first", 3: "first"}
-    # Only the last two manifests and the files they name are left.
-    assert sorted(p.name for p in (tmp_path / "out/manifest").iterdir()) == ["batch=2", "batch=3"]
-    with pytest.raises(RuntimeError):
-        sink(spark.createDataFrame([(9, "x", "t", 9)], schema), 6)
-    for version in (tmp_path / "out").glob("version=*"):
-        shutil.rmtree(version)
-    with pytest.raises(Exception):
-        S.latest_version(spark, out, empty).collect()
-    with pytest.raises(Exception):
-        sink(spark.createDataFrame([(0, "x", "t", 9)], schema), 4)
+def _table(spark, tmp_path):
+    rows = S.read_table(spark, str(tmp_path / "out"), spark.createDataFrame([], ROWS).schema).collect()
+    return sorted(((r["k"], r["v"], r["created_at"], r["o"]) for r in rows), key=str)
+
+
+def test_newest_row_of_each_key_over_restarts(spark, tmp_path):
+    assert _table(spark, tmp_path) == []
+    _land(spark, tmp_path, [(1, "a", "t0", 1), (2, "b", "t0", 1), (None, "n", "t0", 1)])
+    _upsert(spark, tmp_path)
+    # A newer row, a late one, a repeated one, a new key.
+    _land(spark, tmp_path, [(2, "c", "t1", 2), (1, "late", "t9", 0), (2, "b", "t0", 1), (3, "d", "t1", 2), (None, "m", "t2", 5)])
+    _upsert(spark, tmp_path)
+    expected = [(1, "a", "t9", 1), (2, "c", "t0", 2), (3, "d", "t1", 2), (None, "m", "t0", 5)]
+    assert _table(spark, tmp_path) == sorted(expected, key=str)
+    _upsert(spark, tmp_path)
+    assert _table(spark, tmp_path) == sorted(expected, key=str)
+
+
+def test_a_micro_batch_that_fails_after_its_write_is_repeated(spark, tmp_path):
+    sink = S.table_sink(str(tmp_path / "out"), ["k"], 4)
+    seen = []
+
+    def dies(batch, number):
+        seen.append(number)
+        sink(batch, number)
+        raise RuntimeError("lost after the write")
+
+    _land(spark, tmp_path, [(k, f"v{k}", "t0", 1) for k in range(20)])
+    _upsert(spark, tmp_path)
+    _land(spark, tmp_path, [(k, f"w{k}", "t1", 2) for k in range(10, 30)])
+    with pytest.raises(Exception, match="lost after the write"):
+        _upsert(spark, tmp_path, dies)
+    _land(spark, tmp_path, [(0, "x", "t2", 3)])
+    _upsert(spark, tmp_path)
+    expected = [(k, f"v{k}", "t0", 1) for k in range(1, 10)] + [(k, f"w{k}", "t0" if k < 20 else "t1", 2) for k in range(10, 30)] + [(0, "x", "t0", 3)]
+    assert seen == [1] and _table(spark, tmp_path) == sorted(expected, key=str)
+
+
+def test_only_touched_buckets_are_rewritten(spark, tmp_path):
+    _land(spark, tmp_path, [(k, f"v{k}", "t0", 1) for k in range(40)])
+    _upsert(spark, tmp_path)
+    files = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "out").glob("bucket=*/*.parquet")}
+    before = files()
+    _land(spark, tmp_path, [(7, "new", "t1", 2)])
+    _upsert(spark, tmp_path)
+    after = files()
+    assert len(before) >= 3 and len({p.parent for p in before if p not in after}) == 1
+    assert len(_table(spark, tmp_path)) == 40
+
+
+def test_status_counters_with_late_and_repeated_events(spark, tmp_path):
+    from recordforge.operators import store
+
+    random.seed(3)
+    schema = "rec_key long, event_id long, ts timestamp, batch_id int, status string"
+    start = dt.datetime(2024, 1, 1)
+    events = [(k % 9, k, start + dt.timedelta(minutes=random.randint(0, 5000)), k % 9 % 3, random.choice(["OK", "REVIEW", "FAILED"])) for k in range(200)]
+    for drop in (events[:80], events[60:150], events[140:] + events[:10]):
+        spark.createDataFrame(drop, schema).coalesce(2).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = S.once(S.incremental_files(spark, str(tmp_path / "in"), schema), ["event_id"], "ts", "10 days")
+        S.run_keyed(S.newest_rows(stream, ["rec_key"], ["ts", "event_id"]), str(tmp_path / "out"), ["rec_key"], str(tmp_path / "ckpt"))
+    whole = spark.createDataFrame(events, schema)
+    expected = store.status_transitions(whole, ["rec_key"], ["ts", "event_id"], ["batch_id"], [F.lit(0)])
+    found = S.status_counters(S.read_table(spark, str(tmp_path / "out"), whole.schema), ["batch_id"])
+    key = lambda df: sorted((r["batch_id"], r["ok_records"], r["review_records"]) for r in df.collect())
+    assert key(found) == key(expected)
+
+
+def test_events_beyond_the_watermark_are_dropped(spark, tmp_path):
+    schema = "id long, ts timestamp"
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    got = []
+
+    def run(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = S.once(S.incremental_files(spark, str(tmp_path / "in"), schema), ["id"], "ts", "5 days")
+        S.run_available(stream, lambda batch, n: got.extend(r["id"] for r in batch.collect()), str(tmp_path / "ckpt"), mode="update")
+
+    run([(1, day(0)), (1, day(0)), (2, day(30))])
+    run([(2, day(30)), (3, day(10)), (4, day(27))])
+    assert sorted(got) == [1, 2, 4]
 
 
 def test_failures_are_isolated(spark):
