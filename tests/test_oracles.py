@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import shutil
+import subprocess
 import sys
 
 import duckdb
@@ -31,6 +33,21 @@ def test_query(name, spark, duck, sf_dir):
     assert ok, message
 
 
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_without_the_optional_subpackage(tmp_path, pipeline):
+    """A copy without the folders of the optional subpackage still has all other queries."""
+    ignored = shutil.ignore_patterns("llm", "__pycache__", ".git")
+    shutil.copytree(os.path.join(ROOT, "recordforge"), tmp_path / "recordforge", ignore=ignored)
+    (tmp_path / "recordforge/llm/__pycache__").mkdir(parents=True)
+    for name in ("__spark_entry__.py", "corpus_pipeline.py") if pipeline else ("__spark_entry__.py",):
+        if os.path.exists(os.path.join(ROOT, name)):
+            shutil.copy(os.path.join(ROOT, name), tmp_path)
+    code = "import __spark_entry__ as e; print(len(e.queries()), e.EXTRA_QUERIES, len(e.oracle_sql()))"
+    found = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True, timeout=300)
+    plain = len(entry.queries()) - len(entry.EXTRA_QUERIES)
+    assert found.stdout.split() == [str(plain), "{}", str(len(entry.oracle_sql()) - len(entry.EXTRA_ORACLES))]
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["status", "records"]
     assert entry.entry(spark).count() > 0
