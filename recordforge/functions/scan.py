@@ -134,8 +134,9 @@ def band_segments(
     width: float,
     low: str,
     high: str,
-    slack: str | None = None,
+    slack: Column | None = None,
     touch: bool = False,
+    keep_slack: str | None = None,
 ) -> DataFrame:
     """Cut every group into segments that cannot influence each other.
 
@@ -143,12 +144,11 @@ def band_segments(
     windows run over as many rows as a page has occupied bands, not over its rows.  A band
     starts a segment when its smallest ``low`` lies beyond the largest ``high`` of all bands
     before it (by more than ``slack``; with ``touch`` also when they meet).  Adds ``segment``
-    and ``segment_low``/``segment_high``, the extent of the segment.
+    and ``segment_low``/``segment_high``, the extent of the segment.  ``slack`` is an aggregate of
+    the rows of a band, or a window over such aggregates; ``keep_slack`` adds it under a name.
     """
     banded = df.withColumn("__band", steps(position, width))
-    bands = banded.groupBy(*keys, "__band").agg(
-        F.min(low).alias("__low"), F.max(high).alias("__high"), F.max(slack).alias("__slack") if slack else F.lit(0.0).alias("__slack")
-    )
+    bands = banded.groupBy(*keys, "__band").agg(F.min(low).alias("__low"), F.max(high).alias("__high"), (slack if slack is not None else F.lit(0.0)).alias("__slack"))
     by_band = Window.partitionBy(*keys).orderBy("__band")
     reach = F.max("__high").over(by_band.rowsBetween(Window.unboundedPreceding, -1))
     beyond = F.col("__low") - F.col("__reach")
@@ -157,7 +157,8 @@ def band_segments(
     numbered = bands.withColumn("__reach", reach).withColumn("segment", F.sum(cut).over(by_band))
     whole = Window.partitionBy(*keys, "segment")
     extents = numbered.select(
-        *keys, "__band", "segment", F.min("__low").over(whole).alias("segment_low"), F.max("__high").over(whole).alias("segment_high")
+        *keys, "__band", "segment", F.min("__low").over(whole).alias("segment_low"), F.max("__high").over(whole).alias("segment_high"),
+        *([F.col("__slack").alias(keep_slack)] if keep_slack else []),
     )
     return banded.join(extents, [*keys, "__band"]).drop("__band")
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import math
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordforge.functions.scan import band_segments, ordered_scan, steps
 
@@ -21,6 +25,10 @@ REGION_TOLERANCE = 0.01
 
 # Side of the tiles that split a page in spatial joins, in pixels.
 TILE = 256.0
+# A box that touches more tiles moves up a level, where tiles are this much larger; on the last level a page is one tile.
+MOST_TILES = 64
+LEVEL_FACTOR = 32.0
+LAST_LEVEL = 2
 
 
 @dataclass(frozen=True)
@@ -67,22 +75,46 @@ def _box(prefix: str = "") -> dict[str, Column]:
     return {c: F.col(prefix + c) for c in ("x1", "y1", "x2", "y2")}
 
 
-def _tiles(axis: str, prefix: str = "", size: float = TILE) -> Column:
-    low = F.floor(F.col(f"{prefix}{axis}1") / F.lit(size))
-    high = F.floor(F.col(f"{prefix}{axis}2") / F.lit(size))
-    return F.sequence(low, F.greatest(low, high))
+def _spread(prefix: str, size: float) -> Column:
+    """About how many tiles of a size a box touches."""
+    side = lambda axis: F.greatest(F.lit(0.0), (F.col(f"{prefix}{axis}2") - F.col(f"{prefix}{axis}1")).cast("double") / F.lit(size)) + 1.0
+    return side("x") * side("y")
 
 
-def _tiled(df: DataFrame, prefix: str = "", size: float = TILE) -> DataFrame:
-    """One row per tile a box touches, with the number of its first tile on both axes."""
+def _level(prefix: str, size: float) -> Column:
+    """Level of the grid at which a box touches few tiles; on the last one a page is one tile."""
+    few = lambda side: _spread(prefix, side) <= F.lit(float(MOST_TILES))
+    return F.when(few(size), F.lit(0)).when(few(size * LEVEL_FACTOR), F.lit(1)).otherwise(F.lit(LAST_LEVEL))
+
+
+def _tiled(df: DataFrame, owner: str, other: str, prefix: str = "", size: float = TILE) -> DataFrame:
+    """Rows (grid, tx, ty) of a box for a join of two sides, with the first tile of the box on both axes.
+
+    Of two boxes the one of the higher level, at equal levels that of the side ``left``, owns the tiles in which they meet:
+    a box has rows of its own at its level, and rows that look for owners of the other side at the levels above (and, on
+    the right side, at its own).  So a box over a whole page is one row, and no box is many.
+    """
+    level = F.col(f"{prefix}level")
+    lowest = level if owner == "right" else level + 1
+    above = F.when(lowest <= LAST_LEVEL, F.transform(F.sequence(lowest, F.lit(LAST_LEVEL)), lambda l: F.struct(F.lit(other).alias("owner"), l.alias("level"))))
+    own = F.array(F.struct(F.lit(owner).alias("owner"), level.alias("level")))
+    rows = df.withColumn(f"{prefix}level", _level(prefix, size)).withColumn("grid", F.explode(F.concat(own, F.coalesce(above, F.expr("array()").cast("array<struct<owner: string, level: int>>")))))
+    side = F.when(F.col("grid.level") == 0, F.lit(size)).otherwise(F.lit(size * LEVEL_FACTOR))
+    tile = lambda c: F.when(F.col("grid.level") == LAST_LEVEL, F.lit(0).cast("long")).otherwise(F.floor(F.col(prefix + c) / side).cast("long"))
     return (
-        df.withColumn(f"{prefix}first_tx", F.floor(F.col(f"{prefix}x1") / F.lit(size)))
-        .withColumn(f"{prefix}first_ty", F.floor(F.col(f"{prefix}y1") / F.lit(size)))
-        .withColumn("tx", F.explode(_tiles("x", prefix, size)))
-        .withColumn("ty", F.explode(_tiles("y", prefix, size)))
+        rows.withColumns({f"{prefix}first_tx": tile("x1"), f"{prefix}first_ty": tile("y1")})
+        .withColumn("tx", F.explode(F.sequence(F.col(f"{prefix}first_tx"), F.greatest(F.col(f"{prefix}first_tx"), tile("x2")))))
+        .withColumn("ty", F.explode(F.sequence(F.col(f"{prefix}first_ty"), F.greatest(F.col(f"{prefix}first_ty"), tile("y2")))))
     )
 
 
+def _meeting(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix_left: str = "", prefix_right: str = "", size: float = TILE) -> DataFrame:
+    """Pairs of boxes of both sides that touch a common tile, each pair once."""
+    a, b = _tiled(left, "left", "right", prefix_left, size), _tiled(right, "right", "left", prefix_right, size)
+    first = (F.col("tx") == F.greatest(f"{prefix_left}first_tx", f"{prefix_right}first_tx")) & (F.col("ty") == F.greatest(f"{prefix_left}first_ty", f"{prefix_right}first_ty"))
+    return a.join(b, [*keys, "grid", "tx", "ty"]).where(first)
+
+
 # ---------------------------------------------------------------- duplicates
 
 
@@ -102,13 +134,11 @@ def duplicate_pairs(words: DataFrame, keys: Sequence[str] = ("doc_id", "page_no"
     slim = placed.groupBy(*spot).agg(F.min("word_ix").alias("word_ix"))
     copies = placed.withColumnRenamed("word_ix", "duplicate_ix").join(slim, spot).where(F.col("duplicate_ix") > F.col("word_ix"))
     copies = copies.withColumn("iou", _iou(_box(), _box())).where(F.col("iou") >= iou).select(*keys, "text_key", "word_ix", "duplicate_ix", "iou")
-    left = _tiled(slim.select(*keys, "text_key", *[F.col(c).alias("a_" + c) for c in ("word_ix", "x1", "y1", "x2", "y2")]), "a_")
-    right = _tiled(slim.select(*keys, "text_key", *[F.col(c).alias("b_" + c) for c in ("word_ix", "x1", "y1", "x2", "y2")]), "b_")
-    first = (F.col("tx") == F.greatest("a_first_tx", "b_first_tx")) & (F.col("ty") == F.greatest("a_first_ty", "b_first_ty"))
+    left, right = (slim.select(*keys, "text_key", *[F.col(c).alias(p + c) for c in ("word_ix", "x1", "y1", "x2", "y2")]) for p in ("a_", "b_"))
     overlap = _iou(_box("a_"), _box("b_"))
     apart = (
-        left.join(right, [*keys, "text_key", "tx", "ty"])
-        .where((F.col("a_word_ix") < F.col("b_word_ix")) & first & (overlap >= iou))
+        _meeting(left, right, [*keys, "text_key"], "a_", "b_")
+        .where((F.col("a_word_ix") < F.col("b_word_ix")) & (overlap >= iou))
         .select(*keys, "text_key", F.col("a_word_ix").alias("word_ix"), F.col("b_word_ix").alias("duplicate_ix"), overlap.alias("iou"))
     )
     return apart.unionByName(copies)
@@ -119,7 +149,7 @@ def dedupe_words(words: DataFrame, keys: Sequence[str] = ("doc_id", "page_no"),
 
     1. Exact copies (same text and box) collapse to the first one by an aggregate.
     2. Words are cut into islands of touching y ranges; words of different islands cannot overlap.
-    3. Islands of one word are kept as they are; only the others go through the greedy fold.
+    3. Islands of one word are kept as they are; the others stream in word order past the kept words around them.
     """
     boxed = _with_text_key(words.where(F.col("x1").isNotNull()))
     loose = words.where(F.col("x1").isNull())
@@ -134,32 +164,65 @@ def dedupe_words(words: DataFrame, keys: Sequence[str] = ("doc_id", "page_no"),
     sizes = islands.groupBy(*island_key).agg(F.count(F.lit(1)).alias("island_size"))
     sized = islands.join(sizes, island_key)
     alone = sized.where("island_size = 1").select(*keys, "word_ix")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sized.select(*keys, "word_ix").schema.fields)
-    out_columns = [*keys, "word_ix"]
-
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _greedy_keep(pdf, iou)[out_columns]
-
-    crowded = sized.where("island_size > 1").groupBy(*island_key).applyInPandas(keep, schema)
-    kept = alone.unionByName(crowded)
+    crowded = sized.where("island_size > 1").select(*island_key, "word_ix", *(F.col(c).cast("double") for c in box))
+    ordered = crowded.repartition(*island_key).sortWithinPartitions(*island_key, "word_ix")
+    kept = alone.unionByName(ordered.mapInArrow(partial(_keep_first, group=len(island_key), iou=iou), crowded.schema).select(*keys, "word_ix"))
     return words.join(kept, [*keys, "word_ix"], "left_semi").unionByName(loose)
 
 
-def _greedy_keep(pdf: pd.DataFrame, iou: float) -> pd.DataFrame:
-    """Keep words of one island in word order unless a kept one overlaps enough."""
-    import numpy as np
+class KeptBoxes:
+    """Boxes kept so far in one island, by size and place, so that a new one is compared with those around it only.
+
+    An overlap of at least ``iou`` bounds the ratio of two widths or heights by ``iou`` and the shift of their corners by 1 - ``iou``
+    of the larger one, and kept boxes overlap each other less than that: a handful share a place.
+    """
 
-    pdf = pdf.sort_values("word_ix", kind="stable")
-    boxes = pdf[["x1", "y1", "x2", "y2"]].to_numpy(dtype=float)
-    areas = np.maximum(1.0, (boxes[:, 2] - boxes[:, 0]) * (boxes[:, 3] - boxes[:, 1]))
-    kept = np.zeros(len(boxes), dtype=bool)
-    for i in range(len(boxes)):
-        rivals = np.flatnonzero(kept[:i])
-        width = np.minimum(boxes[rivals, 2], boxes[i, 2]) - np.maximum(boxes[rivals, 0], boxes[i, 0])
-        height = np.minimum(boxes[rivals, 3], boxes[i, 3]) - np.maximum(boxes[rivals, 1], boxes[i, 1])
-        shared = np.where((width > 0) & (height > 0), width * height, 0.0)
-        kept[i] = not np.any(shared / (areas[rivals] + areas[i] - shared) >= iou)
-    return pdf[kept]
+    def __init__(self, iou: float):
+        if iou <= 0:
+            raise ValueError("an overlap of nothing makes no duplicates")
+        self.iou = iou
+        self.steps = max(1, math.ceil(-math.log2(iou)))
+        self.cells: dict[tuple[int, int, int, int], list[tuple[float, float, float, float, float]]] = {}
+
+    @staticmethod
+    def _level(length: float) -> int:
+        return math.frexp(length)[1]
+
+    def add(self, x1: float, y1: float, x2: float, y2: float) -> bool:
+        """Keep the box unless a kept one overlaps it enough; whether it was kept."""
+        width, height = x2 - x1, y2 - y1
+        if not (width > 0 and height > 0 and math.isfinite(width) and math.isfinite(height)):
+            # Overlaps nothing.
+            return True
+        area, cells = max(1.0, width * height), self.cells
+        far_x, far_y = width / self.iou, height / self.iou
+        at_x, at_y = self._level(width), self._level(height)
+        for lx in range(at_x - self.steps, at_x + self.steps + 1):
+            size_x = 2.0**lx
+            columns = range(math.floor((x1 - far_x) / size_x), math.floor((x1 + far_x) / size_x) + 1)
+            for ly in range(at_y - self.steps, at_y + self.steps + 1):
+                size_y = 2.0**ly
+                for ty in range(math.floor((y1 - far_y) / size_y), math.floor((y1 + far_y) / size_y) + 1):
+                    for tx in columns:
+                        for a1, b1, a2, b2, other in cells.get((lx, ly, tx, ty), ()):
+                            w, h = min(a2, x2) - max(a1, x1), min(b2, y2) - max(b1, y1)
+                            if w > 0 and h > 0 and w * h / (area + other - w * h) >= self.iou:
+                                return False
+        place = (at_x, at_y, math.floor(x1 / 2.0**at_x), math.floor(y1 / 2.0**at_y))
+        cells.setdefault(place, []).append((x1, y1, x2, y2, area))
+        return True
+
+
+def _keep_first(batches: Iterable[pa.RecordBatch], group: int, iou: float) -> Iterator[pa.RecordBatch]:
+    """Rows (island key, word_ix, x1, y1, x2, y2) in word order -> those that no kept row before them in their island overlaps."""
+    island, kept = None, KeptBoxes(iou)
+    for batch in batches:
+        keep = []
+        for key, *box in zip(zip(*(batch.column(i).to_pylist() for i in range(group)), strict=True), *(batch.column(group + 1 + i).to_pylist() for i in range(4)), strict=True):
+            if key != island:
+                island, kept = key, KeptBoxes(iou)
+            keep.append(kept.add(*box))
+        yield batch.filter(pa.array(keep, pa.bool_()))
 
 
 # ---------------------------------------------------------------- words to cells
@@ -175,23 +238,20 @@ def assign_words(
 ) -> DataFrame:
     """Words whose centre lies in a cell, or that lie in it by at least 45 percent of their area.
 
-    The page key is joined together with a tile number, so that one huge page is spread
-    over tasks; a pair is emitted only in its first shared tile.
+    The page key is joined together with a tile of a grid of three levels, so that one huge page is spread over
+    tasks and a box of any size is a few rows; a pair is emitted only in its first shared tile.
     """
     own = [c for c in words.columns if c not in keys]
     boxes = cells.select(*keys, *cell_cols, *[F.col(c).alias("c_" + c) for c in ("x1", "y1", "x2", "y2")])
     if skip_cells:
         boxes = boxes.where(~F.col("cell").isin(list(skip_cells)))
-    left = _tiled(words.where(F.col("x1").isNotNull()), "", tile)
-    right = _tiled(boxes, "c_", tile)
     centre_x = (F.col("x1") + F.col("x2")) / F.lit(2.0)
     centre_y = (F.col("y1") + F.col("y2")) / F.lit(2.0)
     inside = centre_x.between(F.col("c_x1"), F.col("c_x2")) & centre_y.between(F.col("c_y1"), F.col("c_y2"))
     shared = _overlap(_box(), _box("c_")) / _area(_box())
-    first = (F.col("tx") == F.greatest("first_tx", "c_first_tx")) & (F.col("ty") == F.greatest("first_ty", "c_first_ty"))
     return (
-        left.join(right, [*keys, "tx", "ty"])
-        .where(first & (inside | (shared >= CELL_OVERLAP)))
+        _meeting(words.where(F.col("x1").isNotNull()), boxes, keys, "", "c_", tile)
+        .where(inside | (shared >= CELL_OVERLAP))
         .select(*keys, *cell_cols, *own)
     )
 
@@ -209,59 +269,62 @@ def _no_cut(df: DataFrame) -> DataFrame:
 def group_lines_px(words: DataFrame, keys: Sequence[str], cut: Cut = _no_cut) -> DataFrame:
     """Reading order in pixel units: adds ``segment`` and ``part``; the pair numbers the line.
 
-    ``cut`` may materialise the segmented words (for example ``lambda d: d.checkpoint()``),
-    which several branches read; by default the plan stays lazy.
+    ``cut`` may materialise the words (for example ``lambda d: d.checkpoint()``), which are read twice: for the
+    bands of their pages, which carry the mean heights, too, and for the lines.
 
     Words run by (y1, x1); a word joins the last line while its centre is within
     max(10, 0.75 mean height) of the mean centre of that line.
     """
     filled = words.withColumns({f"__{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in ("x1", "y1", "y2")})
-    filled = filled.withColumn("__cy", (F.col("__y1") + F.col("__y2")) / F.lit(2.0))
-    height = F.greatest(F.lit(1.0), F.col("__y2") - F.col("__y1"))
-    gaps = filled.groupBy(*keys).agg(
-        F.greatest(F.lit(MIN_LINE_GAP_PX), F.avg(height) * F.lit(LINE_GAP_OF_HEIGHT)).alias("__tol")
-    )
-    lines = _group_lines(filled.drop("__y2").join(gaps, list(keys)), keys, ["__y1", "__x1", "word_ix"], MIN_LINE_GAP_PX / 8, cut)
-    return lines.select(*words.columns, "segment", "part")
+    filled = filled.withColumns({"__cy": (F.col("__y1") + F.col("__y2")) / F.lit(2.0), "__height": F.greatest(F.lit(1.0), F.col("__y2") - F.col("__y1"))})
+    # The mean height of a page from its bands: no scan of its own.
+    whole = Window.partitionBy(*keys)
+    mean = F.sum(F.sum("__height")).over(whole) / F.sum(F.count("__height")).over(whole)
+    tolerance = F.greatest(F.lit(MIN_LINE_GAP_PX), mean * F.lit(LINE_GAP_OF_HEIGHT))
+    return _group_lines(cut(filled.drop("__y2")), words.columns, keys, ["__y1", "__x1", "word_ix"], MIN_LINE_GAP_PX / 8, tolerance)
 
 
 def group_lines_unit(words: DataFrame, keys: Sequence[str], tolerance: float = LINE_TOLERANCE_UNIT, cut: Cut = _no_cut) -> DataFrame:
     """Reading order in page units: words run by (centre y, x1) with a fixed tolerance."""
-    prepared = words.withColumns(
-        {"__x1": F.col("x1"), "__cy": (F.col("y1") + F.col("y2")) / F.lit(2.0), "__tol": F.lit(float(tolerance))}
-    )
-    lines = _group_lines(prepared, keys, ["__cy", "__x1", "word_ix"], tolerance / 8, cut)
-    return lines.select(*words.columns, "segment", "part")
+    prepared = words.withColumns({"__x1": F.col("x1"), "__cy": (F.col("y1") + F.col("y2")) / F.lit(2.0)})
+    return _group_lines(cut(prepared), words.columns, keys, ["__cy", "__x1", "word_ix"], tolerance / 8, F.lit(float(tolerance)))
 
 
-def _group_lines(words: DataFrame, keys: Sequence[str], order: Sequence[str], band: float, cut: Cut) -> DataFrame:
+def _group_lines(words: DataFrame, columns: Sequence[str], keys: Sequence[str], order: Sequence[str], band: float, tolerance: Column) -> DataFrame:
     """Exact fold without folding whole cells.
 
     Words whose centres lie more than the tolerance below every centre before them start a
     line whatever the last line is, so the cell falls into independent segments.  A segment
-    no taller than the tolerance is one line.  Only taller segments are folded word by word.
+    no taller than the tolerance is one line.  Taller segments stream in order past a fold that holds one line.
     """
-    segment_key = [*keys, "segment"]
-    segments = cut(band_segments(words, keys, order[0], band, "__cy", "__cy", "__tol"))
+    segments = band_segments(words, keys, order[0], band, "__cy", "__cy", tolerance, keep_slack="__tol")
     is_tall = F.col("segment_high") - F.col("segment_low") > F.col("__tol")
-    short = segments.where(~is_tall).withColumn("part", F.lit(0))
-    tall = segments.where(is_tall)
-    out = [c for c in tall.columns if not c.startswith("segment_")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tall.select(*out).schema.fields) + ", `part` int"
-    by = list(order)
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(by, kind="stable")
-        tolerance = float(pdf["__tol"].iloc[0])
-        numbers, line, total, count = [], 0, 0.0, 0
-        for centre in pdf["__cy"]:
-            if count and abs(centre - total / count) > tolerance:
-                line, total, count = line + 1, 0.0, 0
-            total, count = total + centre, count + 1
-            numbers.append(line)
-        return pdf[out].assign(part=numbers)
-
-    return short.select(*out, "part").unionByName(tall.groupBy(*segment_key).applyInPandas(fold, schema))
+    rows = segments.select(*columns, *(c for c in (*order, "__cy", "__tol") if c not in columns), "segment", is_tall.alias("__tall"))
+    segment_key = [*keys, "segment"]
+    ordered = rows.repartition(*segment_key).sortWithinPartitions(*segment_key, *order)
+    out = [*columns, "segment"]
+    at = {c: rows.columns.index(c) for c in (*segment_key, "__cy", "__tol", "__tall")}
+    schema = T.StructType([*(rows.schema[c] for c in out), T.StructField("part", T.IntegerType())])
+    return ordered.mapInArrow(partial(_fold_lines, keys=[at[c] for c in segment_key], centre=at["__cy"], tolerance=at["__tol"], tall=at["__tall"], out=[rows.columns.index(c) for c in out]), schema)
+
+
+def _fold_lines(batches: Iterable[pa.RecordBatch], keys: list[int], centre: int, tolerance: int, tall: int, out: list[int]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows with the number of their line in the segment; only rows of tall segments are looked at."""
+    segment, line, total, count = None, 0, 0.0, 0
+    for batch in batches:
+        parts = np.zeros(batch.num_rows, dtype=np.int32)
+        some = np.flatnonzero(batch.column(tall).to_numpy(zero_copy_only=False).astype(bool))
+        if len(some):
+            picked = pa.array(some)
+            columns = [batch.column(k).take(picked).to_pylist() for k in (centre, tolerance, *keys)]
+            for row, y, most, *key in zip(some.tolist(), *columns, strict=True):
+                if key != segment:
+                    segment, line, total, count = key, 0, 0.0, 0
+                if count and abs(y - total / count) > most:
+                    line, total, count = line + 1, 0.0, 0
+                total, count = total + y, count + 1
+                parts[row] = line
+        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in out), pa.array(parts)], names=[*(batch.schema.names[k] for k in out), "part"])
 
 
 def group_lines_gap(words: DataFrame, keys: Sequence[str], tolerance: float) -> DataFrame:
@@ -270,7 +333,7 @@ def group_lines_gap(words: DataFrame, keys: Sequence[str], tolerance: float) ->
     Adds ``segment`` and ``part``; windows run only inside segments taller than the tolerance.
     """
     prepared = words.withColumns({"__cy": (F.col("y1") + F.col("y2")) / F.lit(2.0), "__tol": F.lit(float(tolerance))})
-    segments = band_segments(prepared, keys, "y1", tolerance / 8, "__cy", "__cy", "__tol")
+    segments = band_segments(prepared, keys, "y1", tolerance / 8, "__cy", "__cy", F.max("__tol"))
     is_tall = F.col("segment_high") - F.col("segment_low") > F.col("__tol")
     out = [*words.columns, "segment"]
     by_place = Window.partitionBy(*keys, "segment").orderBy("y1", "x1", "word_ix")

@@ -88,6 +88,79 @@ def test_assignment_over_tiles(spark):
     assert len(got) == len(expected) and {(r["record_ix"], r["word_ix"]) for r in got} == expected
 
 
+def _greedy(rows, threshold):
+    kept = []
+    for r in rows:
+        if not any(iou(k, r) >= threshold for k in kept):
+            kept.append(r)
+    return [r[2] for r in kept]
+
+
+@pytest.mark.parametrize("threshold", [0.2, 0.5, 0.9])
+def test_kept_boxes_by_place_equal_all_kept_boxes(threshold):
+    rng = random.Random(11)
+    rows = []
+    for i in range(700):
+        size = rng.choice([0.3, 1.0, 7.0, 60.0, 900.0])
+        x, y = rng.uniform(-80, 80), rng.uniform(-80, 80)
+        rows.append(("d", 1, i, "a", 1.0, x, y, x + size * rng.uniform(0.5, 1.5), y + size * rng.uniform(0.2, 1.0)))
+    rows += [("d", 1, 800, "a", 1.0, 5.0, 5.0, 5.0, 9.0), ("d", 1, 801, "a", 1.0, 5.0, 5.0, 4.0, 9.0), ("d", 1, 802, "a", 1.0, 0.0, 0.0, float("inf"), 9.0)]
+    kept = W.KeptBoxes(threshold)
+    assert [r[2] for r in rows if kept.add(*r[5:])] == _greedy(rows, threshold)
+
+
+def test_one_island_of_many_words(spark):
+    """Near copies of one word all over one place of a page: no pairs, no page in one frame."""
+    n = 100_000
+    df = spark.range(n).selectExpr(
+        "'d' as doc_id", "1 as page_no", "id as word_ix", "'same' as text", "1.0D as confidence",
+        "(id * 37 % 101) / 50.0D as x1", "(id * 53 % 97) / 50.0D as y1", "40 + (id * 37 % 101) / 50.0D as x2", "12 + (id * 53 % 97) / 50.0D as y2",
+    )
+    got = sorted(r["word_ix"] for r in W.dedupe_words(df.coalesce(2)).collect())
+    rows = [("d", 1, i, "same", 1.0, (x := i * 37 % 101 / 50), (y := i * 53 % 97 / 50), 40 + x, 12 + y) for i in range(2000)]
+    # The first word overlaps all others enough.
+    assert got == _greedy(rows, 0.5) == [0]
+    stairs = df.selectExpr("doc_id", "page_no", "word_ix", "text", "confidence", "word_ix * 10.0D as x1", "word_ix * 3.0D as y1", "word_ix * 10.0D + 40 as x2", "word_ix * 3.0D + 12 as y2")
+    rows = [("d", 1, i, "same", 1.0, i * 10.0, i * 3.0, i * 10.0 + 40, i * 3.0 + 12) for i in range(400)]
+    got = sorted(r["word_ix"] for r in W.dedupe_words(stairs).collect())
+    assert got[:50] == _greedy(rows, 0.5)[:50] and len(got) > n / 3
+
+
+def test_touching_lines_of_a_long_page_stream(spark):
+    n = 60_000
+    df = spark.range(n).selectExpr(
+        "'d' as doc_id", "1 as page_no", "id as word_ix", "'w' as text", "1.0D as confidence", "id % 7 * 50.0D as x1", "id * 0.9D as y1", "id % 7 * 50.0D + 40 as x2", "id * 0.9D + 12 as y2"
+    )
+    line, total, count, expected = 0, 0.0, 0, []
+    for i in range(n):
+        y = i * 0.9 + 6
+        if count and abs(y - total / count) > 10.0:
+            line, total, count = line + 1, 0.0, 0
+        total, count = total + y, count + 1
+        expected.append(line)
+    got = W.group_lines_px(df, ["doc_id"]).select("word_ix", "segment", "part").orderBy("word_ix").collect()
+    assert [r["part"] for r in got] == expected and len({r["segment"] for r in got}) == 1
+
+
+def test_boxes_of_any_size_are_a_handful_of_rows(spark):
+    words = pages(4, n=60, docs=1, spread=3000) + [("d0", 1, 900, "wild", 1.0, -1e12, -1e12, 1e12, 1e12), ("d0", 1, 901, "long", 1.0, 0.0, 10.0, 9e6, 30.0)]
+    cells = [("d0", 1, 0, "page", 0.0, 0.0, 3000.0, 4000.0), ("d0", 1, 1, "wild", -1e15, -1e15, 1e15, 1e15), ("d0", 1, 2, "row", 0.0, 500.0, 250_000.0, 900.0), ("d0", 1, 3, "small", 100.0, 100.0, 400.0, 900.0)]
+    schema = "doc_id string, page_no int, record_ix int, cell string, x1 double, y1 double, x2 double, y2 double"
+    left, right = spark.createDataFrame(words, SCHEMA), spark.createDataFrame(cells, schema)
+    assert W._tiled(right, "right", "left").where("cell in ('page', 'wild', 'row')").count() < 250
+    assert W._tiled(left, "left", "right").where("word_ix >= 900").count() < 12
+    expected = set()
+    for w in words:
+        for c in cells:
+            cx, cy = (w[5] + w[7]) / 2, (w[6] + w[8]) / 2
+            iw, ih = min(w[7], c[6]) - max(w[5], c[4]), min(w[8], c[7]) - max(w[6], c[5])
+            part = iw * ih / max(1.0, (w[7] - w[5]) * (w[8] - w[6])) if iw > 0 and ih > 0 else 0
+            if (c[4] <= cx <= c[6] and c[5] <= cy <= c[7]) or part >= 0.45:
+                expected.add((c[2], w[2]))
+    got = [(r["record_ix"], r["word_ix"]) for r in W.assign_words(left, right).collect()]
+    assert len(got) == len(expected) and set(got) == expected
+
+
 def test_transform_without_words(spark):
     sheets = spark.createDataFrame([("a", 1, 0), ("b", 1, 3)], "doc_id string, page_no int, n_words int")
     words = spark.createDataFrame([("b", 1, 0, "FORM", 1.0, 0.11, 0.21, 0.2, 0.22), ("b", 1, 1, "end", 1.0, 0.11, 0.81, 0.2, 0.82)], SCHEMA)
