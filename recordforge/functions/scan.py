@@ -19,8 +19,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _GROUP = "__scan_group"
+# Chunk numbers in a block of a global scan.
+BLOCK = 4096
 
 
 def steps(column: str | Column, width: float) -> Column:
@@ -54,6 +57,8 @@ def ordered_scan(
     ``order`` must be total within a group (ascending, nulls first) and ``chunk`` must not
     decrease along it.  Pass narrow tables: all branches then read one shared exchange.
     """
+    if not keys and index and not (size or lag or lead or total or peak or peak_before or runs):
+        return global_index(df, order, chunk, index)
     lag, lead, total = dict(lag or {}), dict(lead or {}), dict(total or {})
     peak, peak_before = dict(peak or {}), dict(peak_before or {})
     group = F.struct(
@@ -127,6 +132,36 @@ def ordered_scan(
     return rows.select(*df.columns, *result)
 
 
+def global_index(df: DataFrame, order: Sequence[str], chunk: Sequence[Column], index: str) -> DataFrame:
+    """1-based position of every row in the whole table.
+
+    Counts of chunks are summed up in blocks of ``BLOCK`` chunk numbers, those of blocks in blocks of blocks, and only the few
+    that are left are listed in one row.  So no task holds the summaries of the whole table.
+    """
+    group = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)])
+    work = df.withColumn(_GROUP, group).repartition(F.col(_GROUP))
+    place = F.row_number().over(Window.partitionBy(_GROUP).orderBy(*[F.col(c) for c in order]))
+    first = F.col(f"{_GROUP}.c0")
+    numeric = isinstance(work.schema[_GROUP].dataType.fields[0].dataType, T.NumericType)
+    # Chunks that are no numbers are their own blocks.
+    level = lambda size: F.floor(first / F.lit(float(size))) if numeric else first
+    counts = work.groupBy(_GROUP).agg(F.count(F.lit(1)).alias("__n")).withColumns({"__block": level(BLOCK), "__super": level(BLOCK**2)})
+    before = lambda part, by: F.coalesce(F.sum("__n").over(Window.partitionBy(*part).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inner = counts.select(_GROUP, "__block", "__super", before(["__super", "__block"], _GROUP).alias("__inner"))
+    blocks = counts.groupBy("__super", "__block").agg(F.sum("__n").alias("__n"))
+    middle = blocks.select("__super", "__block", before(["__super"], "__block").alias("__middle"))
+    supers = blocks.groupBy("__super").agg(F.sum("__n").alias("__n")).agg(F.array_sort(F.collect_list(F.struct(F.col("__super").isNotNull().alias("known"), "__super", "__n"))).alias("__list"))
+    entry = lambda total, x: F.struct(x["__super"].alias("__super"), total.alias("__outer"))
+    start = F.struct(F.lit(0).cast("long").alias("total"), F.filter(F.transform("__list", lambda x: entry(x["__n"], x)), lambda x: F.lit(False)).alias("out"))
+    summed = F.aggregate("__list", start, lambda acc, x: F.struct((acc["total"] + x["__n"]).alias("total"), F.array_append(acc["out"], entry(acc["total"], x)).alias("out")))
+    outer = supers.select(F.inline(summed["out"]))
+    same = lambda a, b, *on: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in on]
+    carry = inner.alias("i").join(middle.alias("m"), same("i", "m", "__super", "__block")).join(outer.alias("o"), same("i", "o", "__super"))
+    carry = carry.select(F.col(f"i.{_GROUP}").alias(_GROUP), (F.col("__inner") + F.col("__middle") + F.col("__outer")).alias("__carried"))
+    # The struct of chunk numbers is never null itself, so this is a plain equality.
+    return work.withColumn("__place", place).join(carry, _GROUP).withColumn(index, (F.col("__place") + F.col("__carried")).cast("long")).select(*df.columns, index)
+
+
 def band_segments(
     df: DataFrame,
     keys: Sequence[str],

@@ -191,6 +191,30 @@ def test_ordered_scan_equals_plain_scan(spark):
             assert g["q"] == (mine[i + 1][2] if i + 1 < len(mine) else None)
 
 
+def test_global_index(spark):
+    rng = random.Random(6)
+    rows = [(i if i % 50 else None, rng.randrange(9)) for i in rng.sample(range(-40_000_000, 40_000_000), 3000)]
+    rows = list({r[0]: r for r in rows}.values())
+    df = spark.createDataFrame(rows, "o long, v int")
+    for chunk in ([steps("o", 3)], [steps("o", 1000)], [steps("o", 1e9)], [F.col("o").cast("string").isNotNull()]):
+        got = {r["o"]: r["ix"] for r in ordered_scan(df, [], ["o"], chunk, index="ix").collect()}
+        expected = sorted((r[0] for r in rows), key=lambda o: (o is not None, o or 0))
+        assert got == {o: i + 1 for i, o in enumerate(expected)}
+    assert ordered_scan(df.limit(0), [], ["o"], [steps("o", 3)], index="ix").count() == 0
+
+
+def test_global_index_over_a_million_chunks(spark):
+    n = 1_000_000
+    df = spark.range(n).select((F.col("id") * 7).alias("o"))
+    numbered = ordered_scan(df, [], ["o"], [steps("o", 7)], index="ix")
+    found = numbered.agg(F.count("*").alias("n"), F.count_if(F.col("ix") != F.col("o") / 7 + 1).alias("wrong")).first()
+    assert (found["n"], found["wrong"]) == (n, 0)
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all(line.count("[") >= 3 and not line.rstrip().endswith("[], []") for line in windows)
+    assert "SinglePartition" not in numbered._jdf.queryExecution().executedPlan().toString().split("Window")[0]
+
+
 def test_record_starts_and_boxes(spark):
     markers = spark.createDataFrame([("p", 5, 100, 40, 25), ("p", 5, 300, 40, 25), ("p", 5, 310, 90, 25)], "page string, x int, y int, width int, height int")
     merged = G.merge_close(markers, ["page"], 80)
