@@ -31,6 +31,8 @@ from recordforge.llm.components import components
 SEED = 42
 SHINGLE = 5
 TILE = 512
+#: Pairs of two tiles compared by their sketches, and links given out, at a time.
+PAIRS = 65_536
 #: One text in ``SAMPLE`` is sampled for frequent shingles, those seen ``OFTEN`` times count, ``HOT`` of them at most. They only order the shingles.
 SAMPLE, OFTEN, HOT = 8, 4, 200_000
 BROADCAST_ROWS = 300_000
@@ -132,6 +134,9 @@ def _by_token(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarr
         parts.append([c[:end] for c in columns])
         done = _distinct(parts)
         parts = [[c[end:] for c in columns]]
+        if not len(done[0]):
+            # The partition starts with a batch of one token.
+            continue
         if first:
             cut = np.searchsorted(done[0], done[0][0], side="right")
             yield [c[:cut] for c in done], True
@@ -222,18 +227,27 @@ def _within(batches: Iterable[pa.RecordBatch], tile: int) -> Iterator[pa.RecordB
 
 
 def _tile_pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of tiles (x, y) of one token -> (a, b)."""
+    """Pairs of tiles (x, y) of one token -> (a, b), ``PAIRS`` at a time."""
     for batch in batches:
-        left, right = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
-        for x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            x, y = np.frombuffer(x, dtype=ROW)[:, None], np.frombuffer(y, dtype=ROW)[None, :]
-            near = (x["fp"] != y["fp"]) & (x["root"] != y["root"]) & _possible(x["n"], x["pos"], y["n"], y["pos"])
-            i, j = np.nonzero(near)
-            x, y = x[i, 0], y[0, j]
-            near = 9 * _apart(x["sketch"], y["sketch"]) <= x["n"].astype(np.int64) + y["n"]
-            left.append(np.minimum(x["fp"], y["fp"])[near])
-            right.append(np.maximum(x["fp"], y["fp"])[near])
-        yield _batch("a b", [np.concatenate(left), np.concatenate(right)])
+        left: list[np.ndarray] = []
+        right: list[np.ndarray] = []
+        held = 0
+        for k in range(batch.num_rows):
+            x, y = (np.frombuffer(batch.column(c)[k].as_buffer(), dtype=ROW) for c in range(2))
+            near = (x["fp"][:, None] != y["fp"]) & (x["root"][:, None] != y["root"]) & _possible(x["n"][:, None], x["pos"][:, None], y["n"], y["pos"])
+            rows, cols = np.nonzero(near)
+            for first in range(0, len(rows), PAIRS):
+                i, j = rows[first : first + PAIRS], cols[first : first + PAIRS]
+                alike = 9 * _apart(x["sketch"][i], y["sketch"][j]) <= x["n"][i].astype(np.int64) + y["n"][j]
+                a, b = x["fp"][i[alike]], y["fp"][j[alike]]
+                left.append(np.minimum(a, b))
+                right.append(np.maximum(a, b))
+                held += len(a)
+                if held >= PAIRS:
+                    yield _batch("a b", [np.concatenate(left), np.concatenate(right)])
+                    left, right, held = [], [], 0
+        if held:
+            yield _batch("a b", [np.concatenate(left), np.concatenate(right)])
 
 
 def _sorted(df: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from recordforge.llm import similar, simhash
 
 
@@ -71,6 +74,28 @@ def test_tiles_of_frequent_shingles_give_the_same(spark, monkeypatch):
     assert _found(spark, rows) == _kept(rows)
 
 
+def test_batches_of_one_token_and_few_pairs_at_a_time(monkeypatch):
+    row = lambda token, fp: (token, fp)
+    batches = [[row(1, 1), row(1, 2)], [row(1, 2), row(1, 3)], [row(1, 4), row(2, 1)], [row(3, 1)], [row(3, 2), row(3, 2)], []]
+    tables = [pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(2)], names=["token", "fp"]) for rows in batches]
+    for some in (tables, tables[3:], tables[:1], tables[1:3], []):
+        found = [(int(t), int(f)) for columns, _ in similar._by_token(some) for t, f in zip(*columns, strict=True)]
+        expected = sorted({tuple(r.values()) for table in some for r in table.to_pylist()})
+        assert found == expected
+    rng = np.random.default_rng(1)
+    tiles = []
+    for k in range(2):
+        rows = np.zeros(40, dtype=similar.ROW)
+        rows["fp"] = rows["root"] = np.arange(40) + 100 * k
+        rows["n"], rows["sketch"] = 50, rng.integers(0, 1 << 2, (40, 8)).astype(np.uint64)
+        tiles.append(rows.tobytes())
+    pairs = pa.RecordBatch.from_arrays([pa.array([tiles[0], tiles[0]]), pa.array([tiles[1], tiles[0]])], names=["x", "y"])
+    links = lambda: [tuple(r.values()) for b in similar._tile_pairs([pairs]) for r in b.to_pylist()]
+    whole = links()
+    monkeypatch.setattr(similar, "PAIRS", 7)
+    assert sorted(links()) == sorted(whole) and len(whole) > 100
+
+
 def test_isolated_pairs_just_above_the_similarity_are_found(spark):
     random.seed(12)
     rows = []
