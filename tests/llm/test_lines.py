@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from recordforge.llm import lines
 
+from .tools_check import compare
+
 BOILER = "Please accept the terms of this site"
 BORDER = "This line is on nine sites only"
 
@@ -19,18 +21,25 @@ def _rows():
 
 
 def _brute(rows, sites=10):
-    seen = {}
+    page = lambda text: tuple(x.strip() for x in text.split("\n"))
+    where = {}
+    for _, text, site, _ in rows:
+        if text is not None and site is not None:
+            where.setdefault(page(text), set()).add(site)
+    copied = {p: min(s) for p, s in where.items() if len(s) > 1}
+    seen, own = {}, {}
     for _, text, site, _ in rows:
         for line in (text or "").split("\n"):
             if len(line.split()) >= 3 and site is not None:
                 seen.setdefault(line.strip(), set()).add(site)
-    bad = {line for line, s in seen.items() if len(s) >= sites}
+                if copied.get(page(text), site) == site:
+                    own.setdefault(line.strip(), set()).add(site)
     out = []
     for doc, text, site, tag in rows:
-        flagged = [x.strip() in bad for x in (text or "").split("\n")]
-        chars = sum(len(x.strip()) for x, f in zip((text or "").split("\n"), flagged) if f)
-        if text and chars <= 0.5 * len(text):
-            text = "\n".join(x for x, f in zip(text.split("\n"), flagged) if not f)
+        if text:
+            spread = own if page(text) in copied else seen
+            kept = [x for x in text.split("\n") if len(x.split()) < 3 or len(seen.get(x.strip(), ())) < sites or len(spread.get(x.strip(), ())) < sites]
+            text = "\n".join(kept)
         out.append((doc, text, site, tag))
     return sorted(out, key=str)
 
@@ -43,7 +52,7 @@ def test_against_brute_force(spark):
     assert sorted(map(tuple, found.collect()), key=str) == _brute(rows)
     texts = {r["doc_id"]: r["text"] for r in found.collect()}
     assert BOILER not in texts[3] and BORDER in texts[3] and "The" in texts[3].split("\n")
-    assert texts[105].startswith(BOILER)
+    assert texts[105] == "A copied page about the same old thing as ever\nwhose lines are on every site there is"
 
 
 def test_exact_counts_settle_what_sketches_cannot(spark, monkeypatch):
@@ -68,13 +77,25 @@ def test_long_lines_and_empty_table(spark):
 
 
 def test_flagged_lines_go_whatever_their_share(spark):
-    rows = [*_rows(), (300, f"{BOILER}\n{BOILER}\nShort page", "site2", "z")]
+    rows = [*_rows(), (300, f"{BOILER}\n{BOILER}\nShort page", "site2", "z"), (301, f"{BOILER}\n{BOILER}", "site2", "z")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, flagged string")
-    texts = {r["doc_id"]: r["text"] for r in lines.dedup_lines(df, max_share=None).collect()}
-    assert texts[300] == "Short page"
-    # A page on many sites keeps its own lines, not those that other pages have, too.
-    assert texts[105] == "A copied page about the same old thing as ever\nwhose lines are on every site there is"
-    assert BOILER not in texts[3] and BORDER in texts[3] and texts[200] is None and texts[201] == ""
+    found = lines.dedup_lines(df, details=True).collect()
+    texts = {r["doc_id"]: r["text"] for r in found}
+    assert texts[300] == "Short page" and texts[301] == ""
+    assert {(r["n_lines"], r["n_removed"]) for r in found if r["doc_id"] in (300, 301, 200)} == {(3, 2), (2, 2), (0, 0)}
+    assert sorted((tuple(r)[:4] for r in found), key=str) == _brute(rows)
+
+
+def test_query_against_sql(spark, sf_dir, tmp_path):
+    import duckdb
+
+    own = str(tmp_path / "own")
+    rows = [r[:3] for r in _rows()] + [(300, f"{BOILER}\n{BOILER}", "site2")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{own}/documents.parquet")
+    for folder, pattern in ((sf_dir, ""), (own, "/*.parquet")):
+        duck = duckdb.connect()
+        duck.execute(f"create view documents as select * from '{folder}/documents.parquet{pattern}'")
+        compare(spark, duck, "op8_line_dedup", folder)
 
 
 def test_the_pipeline_keeps_no_boilerplate_in_short_pages(spark):
