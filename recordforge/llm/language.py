@@ -6,8 +6,9 @@ weights by language; learned transitions score neighbouring words.  Training max
 by gradients from forward-backward.  ``word_languages`` labels each word of code-switched text by its marginal,
 ``text_languages`` gives a text the language with the largest sum of marginals and its share as score.
 
-Fit: on a bounded sample of labelled texts, ``SAMPLE`` of each language with at most ``SAMPLE_CHARS`` characters (the smallest
-hashes of the id), cut into spans that are strung together in mixed order, so that switches between languages are seen.
+Fit: on a bounded sample of labelled texts, ``SAMPLE`` of each language (the smallest hashes of the id), of a text longer than
+``SAMPLE_CHARS`` characters as many from ``SLICES`` places all over it.  They are cut into spans that are strung together in mixed
+order, so that switches between languages are seen.
 
 Scale: the model is a fixed-size array that travels with the task; texts are scored where they lie, without a shuffle.  A
 sub-batch keeps its texts sorted by length, and one numpy step advances all chains that are still running.
@@ -20,6 +21,7 @@ and any other columns pass through; result columns of clashing names are replace
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -33,10 +35,25 @@ from recordforge.llm.registry import query
 
 SAMPLE = 150
 SAMPLE_CHARS = 20_000
+SLICES = 20
 BUCKETS = 1 << 17
 CHARS = 8_000_000
 CACHE = 300_000
-WORD = re.compile(r"[^\W\d_]+")
+
+
+def _ranges(codes: Iterable[int]) -> str:
+    """Code points as the inside of a character class."""
+    runs: list[list[int]] = []
+    for code in codes:
+        if runs and runs[-1][1] == code - 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "".join(f"{re.escape(chr(i))}-{re.escape(chr(j))}" for i, j in runs)
+
+
+#: Letters with the combining marks that follow them.
+WORD = re.compile(rf"[^\W\d_]+(?:[{_ranges(c for c in range(0x300, 0x20000) if unicodedata.category(chr(c))[0] == 'M')}]+[^\W\d_]*)*")
 OPEN, CLOSE = 1, 2  # code points that no word holds
 
 
@@ -73,8 +90,11 @@ def _summed(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.bincount(rows, weights=values[:, k], minlength=n) for k in range(values.shape[1])], axis=1)
 
 
-def forward_backward(emission: np.ndarray, transition: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Marginals of every position; chains of ``lengths`` lie one after the other in ``emission``.  Scores are logarithms."""
+def chains(emission: np.ndarray, transition: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Forward and backward messages of every position, and the emission and transition potentials they come from.
+
+    Chains of ``lengths`` lie one after the other in ``emission``.  Scores are logarithms; messages and potentials are scaled.
+    """
     total, k = emission.shape
     e = np.exp(emission - emission.max(axis=1, keepdims=True)) if total else emission
     m = np.exp(transition - transition.max())
@@ -93,8 +113,26 @@ def forward_backward(emission: np.ndarray, transition: np.ndarray, lengths: np.n
         at = starts[:n] + t
         b = (e[at + 1] * beta[at + 1]) @ m.T
         beta[at] = b / b.sum(axis=1, keepdims=True)
+    return alpha, beta, e, m
+
+
+def forward_backward(emission: np.ndarray, transition: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Marginals of every position."""
+    alpha, beta, _, _ = chains(emission, transition, lengths)
     both = alpha * beta
-    return both / both.sum(axis=1, keepdims=True) if total else both
+    return both / both.sum(axis=1, keepdims=True) if len(both) else both
+
+
+def expectations(emission: np.ndarray, transition: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals of every position and the expected number of transitions between each two labels."""
+    alpha, beta, e, m = chains(emission, transition, lengths)
+    inner = np.ones(len(emission), dtype=bool)
+    inner[(np.cumsum(lengths) - lengths)[lengths > 0]] = False
+    after = np.flatnonzero(inner)
+    joint = alpha[after - 1][:, :, None] * m[None] * (e[after] * beta[after])[:, None, :]
+    joint /= joint.sum(axis=(1, 2), keepdims=True)
+    both = alpha * beta
+    return both / both.sum(axis=1, keepdims=True), joint.sum(axis=0)
 
 
 @dataclass
@@ -164,13 +202,9 @@ def fit(texts: Iterable[tuple[str, str]], rounds: int = 30, span: int = 64, l2:
     speed, speed_t = np.full(weights.shape, 1e-8), np.full(transition.shape, 1e-8)
     for _ in range(rounds):
         emission = _summed(rows, weights[bucket], len(types))[token]
-        p = forward_backward(emission, transition, lengths)
+        p, expected = expectations(emission, transition, lengths)
         step = _summed(bucket, _summed(token, one - p, len(types))[rows], len(used)) / len(words) - l2 * weights / len(used)
-        # Expected transitions from neighbouring marginals and the pair potential.
-        pair = np.exp(transition - transition.max())
-        joint = p[after - 1][:, :, None] * pair[None] * p[after][:, None, :]
-        joint /= joint.sum(axis=(1, 2), keepdims=True)
-        step_t = (seen - joint.sum(axis=0)) / len(words) - l2 * transition
+        step_t = (seen - expected) / len(words) - l2 * transition
         speed, speed_t = 0.9 * speed + 0.1 * step**2, 0.9 * speed_t + 0.1 * step_t**2
         weights += 0.05 * step / np.sqrt(speed + 1e-12)
         transition += 0.05 * step_t / np.sqrt(speed_t + 1e-12)
@@ -179,10 +213,18 @@ def fit(texts: Iterable[tuple[str, str]], rounds: int = 30, span: int = 64, l2:
     return Field(languages, full, transition)
 
 
+def _spans(text: str) -> F.Column:
+    """A text of at most ``SAMPLE_CHARS`` characters, of a longer one so many from places all over it, without cut words."""
+    size = SAMPLE_CHARS // SLICES
+    first = lambda i: (i * (F.length(text) - size) / (SLICES - 1)).cast("int") + 1
+    parts = F.transform(F.sequence(F.lit(0), F.lit(SLICES - 1)), lambda i: F.regexp_replace(F.substring(F.col(text), first(i), F.lit(size)), r"^\S*\s|\s\S*$", " "))
+    return F.when(F.length(text) <= SAMPLE_CHARS, F.col(text)).otherwise(F.array_join(parts, " "))
+
+
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Field | None:
     """Fit on ``sample`` texts of each language, those with the smallest hashes of the id."""
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.length("text").between(1, SAMPLE_CHARS))
+    rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") > 0)).withColumn("text", _spans("text"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", F.xxhash64("text"))
     chosen = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample)
     return fit((r["lang"], r["text"]) for r in chosen.select("lang", "text").toLocalIterator())

@@ -41,6 +41,62 @@ def test_forward_backward_is_exact():
         at += n
 
 
+def _log_likelihood(emission, transition, lengths, gold):
+    total, at = 0.0, 0
+    for n in lengths:
+        score = lambda path: sum(emission[at + t, k] for t, k in enumerate(path)) + sum(transition[a, b] for a, b in zip(path, path[1:]))  # noqa: B023, E731
+        total += score(gold[at : at + n]) - np.log(sum(np.exp(score(path)) for path in itertools.product(range(emission.shape[1]), repeat=int(n))))
+        at += n
+    return total
+
+
+def test_gradients_equal_finite_differences():
+    rng = np.random.default_rng(3)
+    lengths, gold = np.array([4, 1, 5]), rng.integers(0, 3, 10)
+    emission, transition = rng.normal(size=(10, 3)), rng.normal(size=(3, 3))
+    p, expected = language.expectations(emission, transition, lengths)
+    seen, at = np.zeros((3, 3)), 0
+    for n in lengths:
+        for t in range(1, n):
+            seen[gold[at + t - 1], gold[at + t]] += 1
+        at += n
+    step = 1e-5
+    for array, gradient in ((transition, seen - expected), (emission, np.eye(3)[gold] - p)):
+        for place in np.ndindex(array.shape):
+            before = array[place]
+            array[place] = before + step
+            up = _log_likelihood(emission, transition, lengths, gold)
+            array[place] = before - step
+            down = _log_likelihood(emission, transition, lengths, gold)
+            array[place] = before
+            assert abs((up - down) / (2 * step) - gradient[place]) < 1e-6
+
+
+def test_a_language_of_long_texts_only_is_learned(spark):
+    random.seed(4)
+    long = lambda lang: " ".join(random.choice(WORDS[lang]) for _ in range(9000))
+    rows = [(i, long("de") if i % 2 else " ".join(random.choice(WORDS["en"]) for _ in range(30)), "de" if i % 2 else "en") for i in range(12)]
+    rows.append((99, "wasser der straße", None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert min(len(r[1]) for r in rows if r[2] == "de") > language.SAMPLE_CHARS
+    model = language.train(docs)
+    assert model.languages == ["de", "en"]
+    assert {r["doc_id"]: r["lang_pred"] for r in language.text_languages(docs, model).collect()} == {i: r[2] or "de" for i, r in zip([*range(12), 99], rows)}
+    spans = docs.select(language._spans("text").alias("t"), "text").collect()
+    for r in spans:
+        assert len(r["t"]) <= language.SAMPLE_CHARS + 100 and set(r["t"].split()) <= set(r["text"].split())
+
+
+def test_combining_marks_belong_to_words():
+    assert language.words_of("e\u0301te\u0301 \u0928\u092e\u0938\u094d\u0924\u0947 x") == ["e\u0301te\u0301", "\u0928\u092e\u0938\u094d\u0924\u0947", "x"]
+
+
+def test_clashing_columns(spark):
+    docs = _docs(spark).withColumn("score", language.F.lit("own"))
+    found = language.text_languages(docs, language.train(docs))
+    assert found.columns.count("score") == 1 and dict(found.dtypes)["score"] == "double"
+
+
 def test_documents_and_odd_rows(spark):
     docs = _docs(spark)
     model = language.train(docs)
