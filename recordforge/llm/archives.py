@@ -7,8 +7,10 @@ synthesises for each record a WARC-Record-ID (name-based, so a repeated task wri
 date, the type and Content-Type, and the payload digest.
 
 ``write_arc``, ``convert`` and ``write_warc`` write with Spark's text writer, whose line separator is the end of a record, and
-read with its binary reader, so archives may lie in any store that Spark reaches.  Archives hold about ``ARCHIVE_BYTES``; a task
-holds one of them.  Readers rely on declared lengths, never on separators, since payloads may contain those.
+read with its binary reader, so archives may lie in any store that Spark reaches.  Archives hold at most ``ARCHIVE_BYTES`` or one
+record; a task holds one of them.  The writer starts a new file after a number of rows; an archive that is full before that is
+filled up with empty rows, blank lines that compress to nothing.  Readers rely on declared lengths, never on separators, since
+payloads may contain those.
 
 Equal payloads are found by SHA-1: one maximum by digest and one join of digests, whose copies AQE may split.  The record of
 the largest page_id is the response, the others refer to it; smaller ones than ``min_bytes`` are all responses.
@@ -78,22 +80,47 @@ def arc_version_block(version: int, name: str, date: str = DATE) -> bytes:
     return arc_header(version, f"filedesc://{name}", date, "text/plain", len(body), 0, name) + body
 
 
+class Filling:
+    """Rows written to the files of a task, ``per_file`` rows each, and the bytes of the file that is open."""
+
+    def __init__(self, per_file: int):
+        self.per_file, self.rows, self.held = per_file, 0, 0
+
+    def full(self, size: int) -> int:
+        """Empty rows that end the open file before a record of ``size`` bytes."""
+        used = self.rows % self.per_file
+        if not used or not self.held or self.held + size <= ARCHIVE_BYTES:
+            return 0
+        self.rows += self.per_file - used
+        return self.per_file - used
+
+    def fresh(self) -> bool:
+        """Whether the next row is the first of a file."""
+        return self.rows % self.per_file == 0
+
+    def add(self, size: int) -> None:
+        self.held = size if self.fresh() else self.held + size
+        self.rows += 1
+
+
 def _arc_rows(batches: Iterable[pa.RecordBatch], date: str, per_file: int) -> Iterator[pa.RecordBatch]:
     """Rows (page_id, url, html) -> lines of ARC files of ``per_file`` lines at most; odd partitions are written in version 2."""
     part = TaskContext.get().partitionId()
-    version, offset, written = 1 + part % 2, 0, 0
+    version, offset, files = 1 + part % 2, 0, Filling(per_file)
     for batch in batches:
-        lines = []
+        lines: list[str] = []
         for page_id, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if written % per_file == 0:
-                name = f"pages-{part:05d}-{written // per_file:05d}.arc"
-                lines.append(arc_version_block(version, name, date).decode())
-                offset, written = len(lines[-1]) + 1, written + 1
             block = _http(page_id, (html or "").encode("utf-8", "surrogatepass"))
+            lines += [""] * files.full(len(block) + 400)
+            name = f"pages-{part:05d}-{files.rows // per_file:05d}.arc"
+            if files.fresh():
+                lines.append(arc_version_block(version, name, date).decode())
+                offset = len(lines[-1]) + 1
+                files.add(offset)
             head = arc_header(version, _address(url, page_id), date, "text/html", len(block), offset, name)
             offset += len(head) + len(block) + 1
             lines.append((head + block).decode("utf-8", "surrogatepass"))
-            written += 1
+            files.add(len(head) + len(block) + 1)
         yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
 
 
@@ -178,19 +205,23 @@ def _converted(batches: Iterable[pa.RecordBatch], blocks: bool) -> Iterator[pa.R
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
 
-def _warc_rows(batches: Iterable[pa.RecordBatch], min_bytes: int) -> Iterator[pa.RecordBatch]:
+def _warc_rows(batches: Iterable[pa.RecordBatch], min_bytes: int, per_file: int) -> Iterator[pa.RecordBatch]:
     """(page_id, uri, date, digest, size, block, first) -> WARC records as text; ``first`` is the page_id of the response."""
+    files = Filling(per_file)
     for batch in batches:
-        out = []
+        out: list[bytes] = []
         for page_id, uri, date, digest, size, block, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             block = zlib.decompress(block)
             ident = record_id(page_id, uri, date)
             if size < min_bytes or first is None or first == page_id:
-                out.append(warc_record("response", uri, date, ident, digest, block))
+                record = warc_record("response", uri, date, ident, digest, block)
             else:
                 http = _split_http(block)[0]
                 ident = f"<urn:uuid:{uuid.uuid5(SPACE, f'revisit {page_id} {date} {uri}')}>"
-                out.append(warc_record("revisit", uri, date, ident, digest, http, record_id(first, uri, date)))
+                record = warc_record("revisit", uri, date, ident, digest, http, record_id(first, uri, date))
+            out += [b""] * files.full(len(record))
+            out.append(record)
+            files.add(len(record))
         yield pa.RecordBatch.from_arrays([pa.array([r.decode("utf-8", "surrogatepass") for r in out], pa.string())], names=["value"])
 
 
@@ -233,7 +264,7 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _per_file(records: DataFrame, size: F.Column) -> int:
-    """Records to a file, so that files hold about ``ARCHIVE_BYTES`` of average records."""
+    """Rows to a file, so that files of average records hold about ``ARCHIVE_BYTES``."""
     mean = records.agg(F.avg(size)).first()[0] or 0
     return max(2, int(ARCHIVE_BYTES // (mean + 400)))
 
@@ -263,9 +294,9 @@ def write_warc(records: DataFrame, path: str, min_bytes: int = 0, facts: DataFra
     facts = saved((records if facts is None else facts).select("page_id", "digest", "size"))
     first = facts.where(F.col("size") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("first"))
     rows = records.join(first, "digest", "left").select("page_id", "uri", "date", "digest", "size", "block", "first")
-    rows.mapInArrow(partial(_warc_rows, min_bytes=min_bytes), "value string").write.mode("overwrite").options(
-        lineSep=END, maxRecordsPerFile=_per_file(facts, F.col("size")), **FAST
-    ).text(path)
+    per_file = _per_file(facts, F.col("size"))
+    lines = rows.mapInArrow(partial(_warc_rows, min_bytes=min_bytes, per_file=per_file), "value string")
+    lines.write.mode("overwrite").options(lineSep=END, maxRecordsPerFile=per_file, **FAST).text(path)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 
 import pytest
@@ -45,6 +46,27 @@ def test_round_trip(spark, tmp_path, monkeypatch, min_bytes, size):
     assert sorted(rows, key=str) == _expected(PAGES, min_bytes)
 
 
+def test_files_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    """Two tasks with many pages, some far above the mean; each file starts with its version block."""
+    limit, largest = 60_000, 400_000
+    monkeypatch.setattr(archives, "ARCHIVE_BYTES", limit)
+    rows = [(i, f"http://x.example/{i}", "y" * (largest if i % 97 == 5 else 30_000 if i % 41 < 3 else i % 300), 0) for i in range(600)]
+    archives.write_arc(spark.createDataFrame(rows, SCHEMA).repartition(2), f"{tmp_path}/arc")
+    records = archives.read_arc(spark, f"{tmp_path}/arc")
+    archives.write_warc(records.coalesce(2), f"{tmp_path}/warc")
+    for kind in ("arc", "warc"):
+        files = [gzip.decompress(p.read_bytes()) for p in (tmp_path / kind).glob("part-*")]
+        assert len(files) > 10
+        for data in files:
+            records_in = list(archives.parse_arc(data) if kind == "arc" else archives.parse_warc(data))
+            # Padding of the bound for one header line and the blank lines.
+            assert len(data) < limit + 20_000 or len(records_in) == 1 and len(data) < largest + 20_000
+            assert kind == "warc" or data.startswith(b"filedesc://")
+    found = archives.resolved(archives.read_warc(spark, f"{tmp_path}/warc"))
+    got = [(r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in found.collect()]
+    assert sorted(got, key=str) == _expected(rows)
+
+
 def test_both_versions_are_read_by_declared_lengths():
     for version in (1, 2):
         block = b"HTTP/1.1 200 OK\r\n\r\nbody\nhttp://x 0.0.0.0 20000101000000 text/html 3\n\n"
