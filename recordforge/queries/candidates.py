@@ -131,16 +131,22 @@ def c7_select_best(spark: SparkSession, sf_dir: str) -> DataFrame:
 FIELDS = """select rec, 'tarikh_nikah' as field, case when rec%6=0 then '30/02/1990' when rec%11=0 then ' ' else date_text end as value from fx_strings
  union all select rec, 'ic_lama_suami', case when rec%5=0 then 'X9' else id_text end from fx_strings
  union all select rec, 'nama_suami', case rec%4 when 0 then 'AB B1N CD' when 1 then 'AB 4 CD' when 2 then null else 'AB BIN CD' end from fx_strings"""
+# The same in Spark, in one projection.
+FIELDS_SPARK = """select rec, inline(array(
+ struct('tarikh_nikah' as field, case when rec%6=0 then '30/02/1990' when rec%11=0 then ' ' else date_text end as value),
+ struct('ic_lama_suami' as field, case when rec%5=0 then 'X9' else id_text end as value),
+ struct('nama_suami' as field, case rec%4 when 0 then 'AB B1N CD' when 1 then 'AB 4 CD' when 2 then null else 'AB BIN CD' end as value))) from fx_strings"""
 RETRIES = """select rec, field, a as attempt, 'v'||cast(a as {s}) as variant, case field when 'tarikh_nikah' then '28-02-199'||cast(a as {s}) when 'ic_lama_suami' then 'A123456'||cast(a as {s}) else 'AB BIN CD' end as text,
  cast(rec%10 as double)/10 as confidence from (select distinct rec, field from ({f}) t where rec%3<>0) q {explode}"""
 FACTS = "select rec, field, rec%13<>0 as has_crop, case when rec%3<>0 then 3 else 0 end as retry_count, case when rec%3=0 and rec%2=0 then 3 else 0 end as retry_errors from ({f}) t"
 
 
 def _refined(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    fields = fixtures.sql(spark, sf_dir, FIELDS)
-    retries = fixtures.sql(spark, sf_dir, RETRIES.format(s="string", f=FIELDS, explode="lateral view explode(array(1, 2, 3, 4)) e as a"))
-    facts = fixtures.sql(spark, sf_dir, FACTS.format(f=FIELDS))
-    return fields, C.refine_candidates(fields, retries, ["rec"]), facts
+    """Fields, second readings and facts of the second reading; a field has one row, so nothing has to be made distinct."""
+    fields = fixtures.sql(spark, sf_dir, FIELDS_SPARK)
+    text = RETRIES.replace("select distinct rec, field", "select rec, field")
+    retries = fixtures.sql(spark, sf_dir, text.format(s="string", f=FIELDS_SPARK, explode="lateral view explode(array(1, 2, 3, 4)) e as a"))
+    return fields, retries, fixtures.sql(spark, sf_dir, FACTS.format(f=FIELDS_SPARK))
 
 
 @query(
@@ -157,17 +163,81 @@ def c8_retry_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.retry_queue(fields, C.select_best(typo, ["rec", "field"]), ["rec"]).select("rec", "field", "value")
 
 
+# Dates as day, month, year (texts) of a date text with digits repaired; the first row of a value that is a real day.
+DAYS = """{n}_g as (select *, list_filter(regexp_split_to_array(trim(regexp_replace(translate(upper(text), 'OQIL|ZSGB', '001112568'), '[^0-9./\\-\\s]', ' ', 'g')), '[-./\\s]+'), lambda x: x<>'') as g from {t}),
+ {n}_d as (select *, unnest(case when len(g)=3 and length(g[1])=4 then [[g[3], g[2], g[1]]] when len(g)=3 then [g] when len(g)=2 and length(g[2])=3 then [[g[1], g[2][1:1], g[2][2:3]]] else [] end) as d from {n}_g),
+ {n}_y as (select *, case when length(d[3])=2 then case when d[3]::int<=30 then 2000+d[3]::int else 1900+d[3]::int end else d[3]::int end as y from {n}_d),
+ {n} as (select text, lpad(d[1]::int::varchar, 2, '0')||'-'||lpad(d[2]::int::varchar, 2, '0')||'-'||y::varchar as value from {n}_y
+  where try_cast(lpad(y::varchar, 4, '0')||'-'||lpad(d[2]::int::varchar, 2, '0')||'-'||lpad(d[1]::int::varchar, 2, '0') as date) is not null)"""
+CONFUSED = "length({c})-length(translate({c}, 'OQIL|ZSGB', ''))"
+BIRTH = "(try_cast('19'||{c}[1:2]||'-'||{c}[3:4]||'-'||{c}[5:6] as date) is not null or try_cast('20'||{c}[1:2]||'-'||{c}[3:4]||'-'||{c}[5:6] as date) is not null)"
+RETRIED = RETRIES.format(s="varchar", f=FIELDS, explode=", (select unnest([1, 2, 3, 4]) as a) e")
+DECIDED = f"""fields as ({FIELDS}), retries as ({RETRIED}), facts as ({FACTS.format(f="fields")}),
+ texts as (select rec, field, value as base, value as text, null::double as conf, null::varchar as variant from fields
+  union all select r.rec, r.field, f.value, r.text, r.confidence, 'retry_'||r.variant from retries r join fields f on r.rec=f.rec and r.field=f.field where r.attempt<=3),
+ each as (select distinct field, text from texts where text is not null),
+ day_text as (select text from each where field='tarikh_nikah'), {DAYS.format(n="day", t="day_text")},
+ ip as (select text, trim(regexp_replace(regexp_replace(upper(text), '[^A-Z0-9|./\\-\\s]', ' ', 'g'), '\\s+', ' ', 'g')) as p from each where field='ic_lama_suami'),
+ ifo as (select *, regexp_replace(p, '[^A-Z0-9|]', '', 'g') as c, regexp_replace(p, '[\\s.-]+', '', 'g') as j from ip),
+ ig as (select *, translate(c, 'OQIL|ZSGB', '001112568') as m, regexp_extract(c, '^([A-Z])?([A-Z0-9|]{{5,8}})([A-Z])?$', 2) as b,
+  regexp_extract(c, '^([A-Z])?([A-Z0-9|]{{5,8}})([A-Z])?$', 1) as b1, regexp_extract(c, '^([A-Z])?([A-Z0-9|]{{5,8}})([A-Z])?$', 3) as b3 from ifo),
+ ih as (select *, length(c)=12 and regexp_matches(m, '^\\d{{12}}$') and {BIRTH.format(c="m")} as modern, length(c)<>12 and regexp_matches(j, '^[A-Z]{{1,3}}(?:/[A-Z]{{1,3}})?\\d{{5,8}}$') as lettered,
+  length(c)<>12 and regexp_matches(translate(b, 'OQIL|ZSGB', '001112568'), '^\\d+$') as plain from ig),
+ ids as (select text, case when modern then m when lettered then j else b1||translate(b, 'OQIL|ZSGB', '001112568')||b3 end as value,
+  case when modern then {CONFUSED.format(c="c")} when lettered then 0 else {CONFUSED.format(c="b")} end as n from ih where modern or lettered or plain),
+ np as (select text, trim(regexp_replace(regexp_replace(upper(text), '[^A-Z0-9\\s.''/()@-]', ' ', 'g'), '\\s+', ' ', 'g')) as p from each where field='nama_suami'),
+ nt as (select *, array_to_string(list_transform(string_split(p, ' '), lambda x: case when x in ('B1N', 'BJN', 'BLN') then 'BIN' else x end), ' ') as tok from np where p<>''),
+ listed as (select field, text, trim(text) as value, 'original_ocr' as source, 'original_ocr' as correction_type, 0 as n, false as review, 1.0::double as similarity from each where trim(text)<>''
+  union all select 'tarikh_nikah', text, value, case when {CONFUSED.format(c="upper(text)")}>0 then 'typo_rule' else 'safe_normalisation' end, case when {CONFUSED.format(c="upper(text)")}>0 then 'date_digit_confusion' else 'date_normalisation' end,
+   {CONFUSED.format(c="upper(text)")}, false, greatest(0.0::double, 0.99::double-({CONFUSED.format(c="upper(text)")})*0.05::double) from day
+  union all select 'ic_lama_suami', text, value, case when n>0 then 'typo_rule' else 'safe_normalisation' end, case when n>0 then 'digit_confusion' else 'safe_normalisation' end, n, false, greatest(0.0::double, 0.99::double-n*0.05::double) from ids
+  union all select 'nama_suami', text, p, 'safe_normalisation', 'safe_normalisation', 0, false, 0.99::double from nt
+  union all select 'nama_suami', text, tok, 'typo_rule', 'connector_typo', k, true, greatest(0.0::double, 0.99::double-k*0.05::double) from (select *, len(list_filter(list_zip(string_split(p, ' '), string_split(tok, ' ')), lambda z: z[1]<>z[2])) as k from nt where tok<>p)),
+ judged as (select distinct field, value as text from listed union select field, value from fields where value is not null),
+ good_text as (select text from judged where field='tarikh_nikah'), {DAYS.format(n="good_day", t="good_text")},
+ good as (select field, text, case field when 'tarikh_nikah' then text in (select text from good_day)
+   when 'ic_lama_suami' then case when regexp_matches(regexp_replace(upper(text), '[^A-Z0-9]', '', 'g'), '^\\d{{12}}$') then {BIRTH.format(c="regexp_replace(upper(text), '[^A-Z0-9]', '', 'g')")}
+    else regexp_matches(regexp_replace(upper(text), '[ .]', '', 'g'), '^[A-Z]{{1,3}}(/[A-Z]{{1,3}})?\\d{{5,8}}$') or regexp_matches(regexp_replace(upper(text), '[^A-Z0-9]', '', 'g'), '^\\d{{5,8}}$') end
+   else not regexp_matches(text, '[0-9]') end as ok from judged),
+ cands as (select t.rec, t.field, t.base, l.value, coalesce(t.variant, l.source) as source, l.correction_type, l.n, l.review, l.similarity, t.conf,
+   case when g.ok then 1.0 when t.field='nama_suami' then 0.25 else 0.0 end::double as validity, case when g.ok then 1.0 when t.field='nama_suami' then 0.35 else 0.0 end::double as plausibility,
+   1.0::double-levenshtein(trim(t.base), l.value)/greatest(length(trim(t.base)), length(l.value))::double as ratio
+  from texts t join listed l on t.field=l.field and t.text=l.text and (t.variant is null or l.source<>'original_ocr') join good g on g.field=l.field and g.text=l.value),
+ scored as (select *, case when conf is null then validity*0.475::double+plausibility*0.375::double+greatest(similarity, ratio)*0.15::double+0.0::double+bonus
+   else validity*0.35::double+plausibility*0.25::double+greatest(similarity, ratio)*0.15::double+conf*0.25::double+bonus end as score
+  from (select *, (case when source like 'retry_%' then 0.10 when source='typo_rule' then -0.05 when source='safe_normalisation' then -0.02 else 0.0 end)::double as bonus from cands)),
+ ranked as (select *, source like 'retry_%' as again, {{{{'score': score, 'value': value, 'source': source, 'kind': correction_type, 'review': review}}}} as pack,
+  row_number() over (partition by rec, field order by score desc, review, n, validity desc, source, value) as place from scored),
+ summed as (select rec, field, arg_min(pack, place) filter (not again) as initial, arg_min(pack, place) as overall, max(pack) filter (source='original_ocr') as original, count_if(again) as n_retry from ranked group by 1, 2),
+ joined as (select f.rec, f.field, f.value as original_value, initial, overall, original, coalesce(n_retry, 0) as n_retry, x.has_crop, x.retry_count, x.retry_errors,
+   trim(coalesce(f.value, ''))='' or not coalesce(g.ok, false) or coalesce(initial.source='typo_rule', false) as wanted
+  from fields f left join summed s on f.rec=s.rec and f.field=s.field left join facts x on f.rec=x.rec and f.field=x.field left join good g on f.field=g.field and f.value=g.text),
+ outcome as (select *, case when not wanted then 'accepted_without_retry' when not has_crop then 'missing_crop' when overall is null then 'no_valid_candidates'
+   when n_retry>0 and overall.source like 'retry_%' and overall.score>=0.75::double and (overall.score-coalesce(original.score, 0.0::double)>=0.12::double or original is null) then 'accepted_after_retry'
+   when n_retry>0 then 'retry_candidates_below_threshold' when retry_errors>0 then 'retry_ocr_failed' else 'accepted_without_retry' end as reason from joined),
+ picked as (select *, case when not wanted then initial when reason in ('missing_crop', 'no_valid_candidates') then null when reason in ('accepted_after_retry', 'accepted_without_retry') then overall else coalesce(original, overall) end as s from outcome),
+ decided as (select rec, field, original_value, coalesce(s.value, case when s is null then original_value end) as selected_value, coalesce(original.score, 0.0) as original_score, coalesce(s.score, 0.0) as selected_score,
+  coalesce(s.kind, 'none') as correction_type, coalesce(s.source, 'none') as candidate_source, reason,
+  s is null or reason in ('retry_candidates_below_threshold', 'retry_ocr_failed') or (wanted and reason='accepted_without_retry') or coalesce(s.review, false) as requires_review, retry_count from picked)"""
+ROUNDED_SQL = "replace (round(original_score, 6) as original_score, round(selected_score, 6) as selected_score)"
+
+
 def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields, cands, facts = _refined(spark, sf_dir)
-    return C.decide(fields, cands, ["rec"], facts)
+    fields, retries, facts = _refined(spark, sf_dir)
+    decided = C.decide_fields(fields, retries, ["rec"], facts)
+    return decided.withColumns({c: F.round(c, 6) for c in ("original_score", "selected_score")})
 
 
-@query("c9_decide")
+@query("c9_decide", f"with {DECIDED} select * {ROUNDED_SQL} from decided".replace("{{", "{").replace("}}", "}"))
 def c9_decide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decisions(spark, sf_dir)
 
 
-@query("c10_audit_rows")
+@query(
+    "c10_audit_rows",
+    f"""with {DECIDED} select 'batch_'||cast(rec%20 as varchar) as source_file, (rec%5+1)::int as page_number, rec as record_index, field as field_name, original_value, selected_value,
+ original_score, selected_score, correction_type, candidate_source, reason, requires_review, 'crops/'||cast(rec as varchar)||'/'||field as crop_path, retry_count from (select * {ROUNDED_SQL} from decided)""".replace("{{", "{").replace("}}", "}"),
+)
 def c10_audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = _decisions(spark, sf_dir).withColumns(
         {
