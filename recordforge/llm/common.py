@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +21,20 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "4m", rows: int = 2_000) -> Iterator[None]:
+    """Arrow batches of at most ``size`` and ``rows`` in the jobs run meanwhile: a task holds a batch several times over."""
+    keys = {"spark.sql.execution.arrow.maxBytesPerBatch": size, "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -29,7 +46,3 @@ def free_name(df: DataFrame, wanted: str) -> str:
         wanted += "_"
     return wanted
 
-
-def keyed_hash(column: F.Column) -> F.Column:
-    """The two 64-bit hashes of a text that stand for it in joins."""
-    return F.concat(F.hex(F.xxhash64(column)), F.hex(F.xxhash64(F.lit(1), column)))

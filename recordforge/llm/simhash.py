@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordforge.llm import similar
-from recordforge.llm.common import free_name, partitions, saved, table
+from recordforge.llm.common import free_name, partitions, saved, small_batches, table
 from recordforge.llm.components import components
 from recordforge.llm.registry import query
 from recordforge.llm.similar import shingle_hashes
@@ -202,11 +202,13 @@ def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     names = {n: free_name(df, n) for n in ("tag", "tag2")}
     tags = {names["tag"]: F.xxhash64(F.col(doc_id), F.col(text)), names["tag2"]: F.xxhash64(F.lit(1), F.col(text))}
     rows = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), *(c.alias(n) for n, c in zip(("tag", "tag2"), tags.values(), strict=True)))
-    light = saved(similar.marked(rows))
+    with small_batches(df.sparkSession):
+        light = saved(similar.marked(rows))
     # Copies collapse to their first row before they are dealt by class.
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "tag", "tag2")).alias("first")
     classes = saved(light.groupBy("fp").agg(first, F.first("n").alias("n"), F.first("sketch").alias("sketch")))
-    roots = similar.class_roots(light, classes, rows.drop("id")).withColumnRenamed("node", "fp")
+    with small_batches(df.sparkSession):
+        roots = similar.class_roots(light, classes, rows.drop("id")).withColumnRenamed("node", "fp")
     kept = classes.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
     stay = kept.select("first.tag", "first.tag2")
     stay = saved(light.join(stay, ["tag", "tag2"], "left_semi").groupBy("tag", "tag2").agg(F.count("*").alias("copies")))
