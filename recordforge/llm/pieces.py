@@ -40,9 +40,9 @@ from recordforge.llm.registry import query
 
 MODEL = "piece_bpe_32k.model"
 #: Bytes of text encoded at a time, texts kept whole.
-SLICE = 1_000_000
+SLICE = 4_000_000
 #: Words kept in each of the two generations of the cache.
-CACHE = 100_000
+CACHE = 400_000
 #: Words of up to so many characters are merged side by side, longer ones one by one and not kept.
 SIZES = (6, 9, 12, 16, 32)
 SIDE = 4_000
