@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from recordforge import fixtures
 from recordforge.operators import export as X
 from recordforge.queries import query
+from recordforge.session import ensure_checkpoint_dir
+from recordforge.sources import records
 
 
 @query("x1_project_columns", "select status as \"Status\", field_a as \"Bil\", source_file as \"Source File\", confidence as \"Confidence\" from fx_records")
@@ -73,6 +77,27 @@ def x5_export_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.export_counts(new, X.dedupe_by_row(new, None, ["a", "b", "c"], PLACE.split(", ")), None)
 
 
+COUNTED = "count(distinct coalesce(a, '')||'|'||b||'|'||c) + count_if(coalesce(a, '')='' and b is null)"
+
+
+@query(
+    "x5_write_summary",
+    f"""with n as ({LINES.format(s='varchar')}), h as (select * from n where l_orderkey%2=0), one as (select {COUNTED} as w, count(*) as n from h), whole as (select {COUNTED} as w, count(*) as n from n),
+ blank as (select count_if(coalesce(a, '')='' and b is null) as b from h)
+ select 1 as run, w as written_count, n-w as skipped_duplicates, w as total_rows from one
+ union all select 2, whole.w-one.w+b, whole.n-(whole.w-one.w+b), whole.w+b from one, whole, blank""",
+)
+def x5_write_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appends to one table, every second order and then all of them; the counts are those the writes observed."""
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/x5-{uuid.uuid4().hex}"
+    new = fixtures.sql(spark, sf_dir, LINES.format(s="string"))
+    runs = []
+    for run, rows in ((1, new.where("l_orderkey % 2 = 0")), (2, new)):
+        done = records.append_rows(rows.select("a", "b", "c"), out)
+        runs.append((run, done.written_count, done.skipped_duplicates, done.total_rows))
+    return spark.createDataFrame(runs, "run int, written_count long, skipped_duplicates long, total_rows long")
+
+
 @query(
     "x6_typed_rows",
     """with l as (select o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) as k, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) as p from orders group by 1)

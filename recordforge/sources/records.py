@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from recordforge.functions import text as T
 from recordforge.functions.scan import ordered_scan
 from recordforge.operators.export import dedupe_by_row
 from recordforge.schemas import EXPORT_FIELDS, RECORD, STATUS_ALIAS
+from recordforge.session import cut
 
 
 def parse_records(rows: DataFrame) -> DataFrame:
@@ -79,6 +81,55 @@ def write_records(
     writer.format(fmt).save(path)
 
 
+@dataclass(frozen=True)
+class WriteSummary:
+    """Rows of an append, counted by the jobs that read and wrote them."""
+
+    written_count: int
+    skipped_duplicates: int
+    total_rows: int
+
+
+def append_rows(df: DataFrame, path: str, columns: Sequence[str] | None = None, order: Sequence[str] | None = None, buckets: int = 64) -> WriteSummary:
+    """Append the rows that a table in buckets of the row hash does not hold yet; rows of blanks only are never skipped.
+
+    Only buckets that get a new row are read, and only files are added, which the commit of the writer makes visible at once.  What
+    was written is observed on the write itself.  One writer at a time: two that append the same row both write it.
+    """
+    spark, cols = df.sparkSession, list(columns or df.columns)
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]
+    key = F.to_json(F.array(*texts))
+    blank = F.concat(*texts) == ""
+    # Repeats within the new rows meet in one aggregate; blank rows keep their number and their NULLs.
+    kinds = F.when(blank, F.to_json(F.array(*[F.col(c).isNull() for c in cols]))).otherwise("")
+    dealt = df.withColumns({"__key": key, "__kind": kinds, "bucket": F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")})
+    place = F.struct(*(order or cols))
+    firsts = cut(dealt.groupBy("bucket", "__key", "__kind").agg(F.min_by(F.struct(*cols), place).alias("__row"), F.count(F.lit(1)).alias("__n")))
+    touched = {r["bucket"]: r["n"] for r in firsts.groupBy("bucket").agg(F.sum("__n").alias("n")).collect()}
+    there = _table(spark, path)
+    before, fresh = 0, firsts
+    if there is not None:
+        before = there.count()
+        known = there.where(F.col("bucket").isin(list(touched))).select("bucket", key.alias("__key"), F.lit("").alias("__kind"))
+        fresh = firsts.join(known, ["bucket", "__key", "__kind"], "left_anti")
+    copies = F.when(F.col("__kind") == "", F.lit(1).cast("long")).otherwise(F.col("__n"))
+    written = Observation("written")
+    rows = fresh.select("__row.*", "bucket", F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("__copy")).drop("__copy")
+    rows.repartition("bucket").observe(written, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy("bucket").parquet(path)
+    done, offered = written.get["rows"], sum(touched.values())
+    return WriteSummary(done, offered - done, before + done)
+
+
+def _table(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        # A folder without a file has no schema yet.
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
 def part_numbers(df: DataFrame, n: int, order: Sequence[str], chunk: Sequence[Column], prefix: str = "part") -> DataFrame:
     """Number of the file of exactly ``n`` rows each row belongs to."""
     if n <= 0:

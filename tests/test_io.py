@@ -36,6 +36,20 @@ def test_append_skips_what_is_there(spark, tmp_path):
         records.write_records(df, out, "other")
 
 
+def test_append_reads_touched_buckets_only(spark, tmp_path):
+    out, schema = str(tmp_path / "out"), "x string, y int"
+    rows = spark.createDataFrame([(f"r{i}", i) for i in range(200)] + [("r1", 1), (None, None)], schema)
+    assert records.append_rows(rows, out, buckets=8) == records.WriteSummary(201, 1, 201)
+    assert records.append_rows(rows, out, buckets=8) == records.WriteSummary(1, 201, 202)
+    before = {p for p in (tmp_path / "out").glob("bucket=*/*.parquet")}
+    assert records.append_rows(spark.createDataFrame([("r7", 7), ("new", 7)], schema), out, buckets=8) == records.WriteSummary(1, 1, 203)
+    added = {p for p in (tmp_path / "out").glob("bucket=*/*.parquet")} - before
+    assert len({p.parent for p in added}) == 1 and len({p.parent for p in before}) == 8
+    plan = records._table(spark, out).where(F.col("bucket").isin([1, 2]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan
+    assert records.append_rows(rows.limit(0), str(tmp_path / "empty")) == records.WriteSummary(0, 0, 0)
+
+
 def test_parts_have_exact_size(spark, tmp_path):
     df = spark.range(23).withColumn("v", F.col("id") * 2)
     records.write_parts(df, str(tmp_path / "parts"), 10, ["id"], [steps("id", 4)], "batch")
