@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-import difflib
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordforge.functions import fields as X
+from recordforge.functions import gestalt
 from recordforge.functions import text as T
 from recordforge.operators.normalize import NAME_TOKENS, OFFICE_PATTERNS, RELATIONS, SNAP_CUTOFF, best_line, snap_value
 
@@ -210,23 +209,7 @@ def levenshtein_snap(vocabulary: Sequence[str] = RELATIONS, cutoff: float = SNAP
 
 def gestalt_snap(vocabulary: Sequence[str] = RELATIONS, cutoff: float = SNAP_CUTOFF) -> Snap:
     """Ratio of matching blocks, in Arrow batches; for results that must not differ by the metric."""
-    words = list(vocabulary)
-
-    @F.pandas_udf("string")
-    def closest(texts: pd.Series) -> pd.Series:
-        known: dict[str, str | None] = {}
-
-        def one(text: str | None) -> str | None:
-            if not text:
-                return None
-            if text not in known:
-                hits = [text] if text in words else difflib.get_close_matches(text, words, n=1, cutoff=cutoff)
-                known[text] = hits[0] if hits else None
-            return known[text]
-
-        return texts.map(one)
-
-    return lambda text: closest(T.squeeze(F.regexp_replace(T.normalise_text(text), "[^A-Z ]", " ")))
+    return lambda text: gestalt.closest(T.squeeze(F.regexp_replace(T.normalise_text(text), "[^A-Z ]", " ")), vocabulary, cutoff)
 
 
 def extract_guardian(

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import difflib
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordforge.functions import gestalt
 from recordforge.functions import text as T
 
 # Relations the vocabulary snap knows, and its cutoff.
@@ -139,20 +138,8 @@ def snap_vocabulary(
         return df.withColumn("__letters", _letters(F.col(col))).withColumn(out, snap_value(F.col("__letters"), vocabulary, cutoff)).drop("__letters")
     if metric != "gestalt":
         raise ValueError(f"unknown metric: {metric}")
-    words = list(vocabulary)
-
-    @F.pandas_udf("string")
-    def closest(texts: pd.Series) -> pd.Series:
-        def one(text: str | None) -> str | None:
-            if not text:
-                return None
-            hits = [text] if text in words else difflib.get_close_matches(text, words, n=1, cutoff=cutoff)
-            return hits[0] if hits else None
-
-        return texts.map(one)
-
     keyed = df.withColumn("__letters", _letters(F.col(col)))
-    snapped = keyed.select("__letters").distinct().withColumn(out, closest("__letters"))
+    snapped = keyed.select("__letters").distinct().withColumn(out, gestalt.closest(F.col("__letters"), vocabulary, cutoff))
     return keyed.join(snapped, "__letters", "left").drop("__letters")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from recordforge import fixtures
 from recordforge.operators import candidates as C
 from recordforge.queries import query
+from recordforge.queries.normalize import RATIOS
 
 NAMES = """select rec, 'nama_suami' as field, case rec%5 when 0 then ' ab b1n '||n when 1 then 'CD BINT1 '||n||' BJN X.' when 2 then n||' HI. #Q' when 3 then 'AKMAL ALIAS.' else 'AHMAD B.' end as value
  from (select rec, replace(upper(substr(age_text, 4)), 'UN', 'XX') as n from fx_strings) t"""
@@ -109,6 +110,17 @@ def c5_score_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _readings(spark, sf_dir).select("rec", "value", "source", "substitutions", F.round("score", 6).alias("score"))
 
 
+@query(
+    "c5_score_gestalt",
+    f"""with recursive r as ({READINGS.format(s="varchar")}), pairs as (select distinct base as a, value as b from r), {RATIOS},
+ {SCORED.format(r="select r.* from r").replace("1.0::double-levenshtein(base, value)/greatest(length(base), length(value))::double as ratio", "(select ratio from ratios where a=base and b=value) as ratio")}
+ select rec, value, source, substitutions, round(score, 6) as score from sc""",
+)
+def c5_score_gestalt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = C.score_candidates(fixtures.sql(spark, sf_dir, READINGS.format(s="string")), "base", metric="gestalt")
+    return scored.select("rec", "value", "source", "substitutions", F.round("score", 6).alias("score"))
+
+
 @query(
     "c6_merge_candidates",
     f"with {DUCK_SCORED}, m as (select *, row_number() over (partition by rec, field, value order by {RANK}) as r from sc) select rec, field, value, source, substitutions, round(score, 6) as score from m where r=1",

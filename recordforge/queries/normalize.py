@@ -119,7 +119,22 @@ def n8_snap_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.snap_vocabulary(fixtures.sql(spark, sf_dir, MISREAD), "value", VOCABULARY)
 
 
-@query("n8_snap_vocabulary_gestalt")
+# The longest common block of two parts of texts, the first in the left text, then in the right one, and both sides of it again.
+BLOCK = """coalesce(list_max(flatten(list_transform(range(al, ah), lambda i: list_transform(range(bl, bh), lambda j:
+ {'k': coalesce(list_max(list_filter(range(1, least(ah-i, bh-j)+1), lambda k: a[i+1:i+k]=b[j+1:j+k])), 0), 'i': -i, 'j': -j})))), {'k': 0, 'i': 0, 'j': 0})"""
+RATIOS = f"""parts(a, b, al, ah, bl, bh) as (select a, b, 0::bigint, length(a)::bigint, 0::bigint, length(b)::bigint from pairs
+ union all select a, b, c.al, c.ah, c.bl, c.bh from (select a, b, unnest([{{'al': al, 'ah': -m.i, 'bl': bl, 'bh': -m.j}}, {{'al': -m.i+m.k, 'ah': ah, 'bl': -m.j+m.k, 'bh': bh}}]) as c
+  from (select *, {BLOCK} as m from parts where al<ah and bl<bh) where m.k>0)),
+ ratios as (select a, b, case when length(a)+length(b)=0 then 1.0::double else 2.0::double*sum(case when al<ah and bl<bh then {BLOCK}.k else 0 end)/(length(a)+length(b)) end as ratio from parts group by a, b)"""
+
+
+@query(
+    "n8_snap_vocabulary_gestalt",
+    f"""with recursive l as (select rec, value, trim(regexp_replace(regexp_replace(upper(value), '[^A-Z ]', ' ', 'g'), '\\s+', ' ', 'g')) as t from ({MISREAD})),
+ pairs as (select distinct v as a, t as b from l cross join (values {', '.join(f"('{v}')" for v in VOCABULARY)}) as vo(v)), {RATIOS},
+ best as (select b as t, max((ratio, a)) as m from ratios group by b)
+ select rec, value, case when l.t='' then null when l.t in {VOCABULARY} then l.t when m[1]>=0.72 then m[2] end as snapped from l join best on l.t=best.t""",
+)
 def n8_snap_vocabulary_gestalt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.snap_vocabulary(fixtures.sql(spark, sf_dir, MISREAD), "value", VOCABULARY, metric="gestalt")
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import difflib
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,3 +105,26 @@ def test_best_line(spark):
     assert got[0] == "ABU BIN ALI" and got[2] is None
     address = apply(spark, lambda c: N.best_line(c, "alamat_pendaftar"), ["ABU\nPEJABAT AGAMA 12\nTARIKH 1.1.90"])
     assert address == ["PEJABAT AGAMA 12"]
+
+
+def test_matching_blocks_within_bounds_equal_the_library(spark):
+    from recordforge.functions import gestalt
+
+    random.seed(10)
+    some = ["".join(random.choice("ABCD ") for _ in range(random.randint(0, 9))) for _ in range(60)]
+    rows = [(i, random.choice([*some, None]), random.choice([*some, None]), random.choice([0.0, 0.4, 0.8, None])) for i in range(800)]
+    df = spark.createDataFrame(rows, "i int, a string, b string, f double")
+    found = df.select("i", gestalt.ratio(F.col("a"), F.col("b")).alias("r"), gestalt.ratio_above(F.col("a"), F.col("b"), F.col("f")).alias("above")).collect()
+    words = ["ABCD", "ABC", "DAB C", "BB"]
+    for r, (_, a, b, f) in zip(sorted(found), rows):
+        expected = None if a is None or b is None else difflib.SequenceMatcher(None, a, b).ratio()
+        assert r["r"] == expected
+        if expected is not None and expected > (-1.0 if f is None else f):
+            assert r["above"] == expected
+        else:
+            assert r["above"] is None or r["above"] == expected
+    for cutoff in (0.6, 0.9):
+        got = df.select("a", gestalt.closest(F.col("a"), words, cutoff).alias("w")).collect()
+        for r in got:
+            hits = difflib.get_close_matches(r["a"], words, n=1, cutoff=cutoff) if r["a"] else []
+            assert r["w"] == (r["a"] if r["a"] in words else hits[0] if hits else None)
