@@ -19,6 +19,8 @@ EDGE_GAP_MIN, EDGE_GAP_SHARE = 18, 0.02
 CELL_INSET, FIRST_CELL_INSET, CROP_PADDING = 4, 3, 12
 
 # Rows of a page per chunk of an ordered scan, and height of the strips of range joins.
+# Choices of a start for each marker, and markers of a page whose starts are chosen together.
+START_CHOICES, MOST_OPTIMISED = 5, 8
 CHUNK = 1024
 STRIP = 256
 
@@ -136,6 +138,75 @@ def record_starts(
     return spaced.select(*keys, "record_ix", (F.col("__peak") + F.col("record_ix") * gap).alias("start"))
 
 
+def optimised_starts(
+    markers: DataFrame, lines: DataFrame, tables: DataFrame, keys: Sequence[str], min_height: int, max_height: int, most: int = MOST_OPTIMISED
+) -> DataFrame:
+    """``record_starts``, with the starts of pages of two to ``most`` markers chosen together.
+
+    A marker may start at one of the ``START_CHOICES`` lowest ruled lines in the window above it, else just above itself.  Of all
+    sequences of starts that lie above their markers and far enough apart the cheapest is taken, of equal ones the first in order:
+    a min-plus programme from the last marker up keeps for each choice its best continuation.  A page's markers
+    and choices are a few numbers; pages with more markers, and pages without a valid sequence, keep the starts of
+    ``record_starts``.  ``lines`` has ``coverage``, too.
+    """
+    window, gap = max(START_WINDOW_MIN, min_height), max(30, min_height // 2)
+    placed = ordered_scan(markers.select(*keys, "y"), keys, ["y"], [steps("y", CHUNK)], index="record_ix", size="__count")
+    small = placed.where(F.col("__count").between(2, most))
+    strip = F.floor(F.col("y") / F.lit(window))
+    probes = small.withColumn("__strip", F.explode(F.array(strip, strip - 1)))
+    ruled = lines.groupBy(*keys, F.col("y").alias("line_y")).agg(F.max("coverage").alias("coverage")).withColumn("__strip", F.floor(F.col("line_y") / F.lit(window)))
+    near = probes.join(ruled, [*keys, "__strip"]).where((F.col("line_y") < F.col("y")) & (F.col("y") - F.col("line_y") <= window))
+    # The lowest few lines above each marker.
+    best = F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("line_y", "coverage")))), 1, START_CHOICES)
+    near = near.groupBy(*keys, "record_ix").agg(best.alias("__near"))
+    framed = small.join(tables.select(*keys, "top", "bottom"), list(keys)).join(near, [*keys, "record_ix"], "left")
+    above = F.greatest(F.col("top"), F.col("y") - START_FALLBACK)
+    choice = lambda start, coverage: F.struct(start.cast("long").alias("start"), coverage.cast("double").alias("coverage"))
+    # A start that is no candidate itself may still lie on a ruled line.
+    on_line = lines.groupBy(*keys, F.col("y").alias("__at")).agg(F.max("coverage").alias("__cover"))
+    framed = framed.withColumn("__at", above).join(on_line, [*keys, "__at"], "left")
+    top_line = on_line.withColumnsRenamed({"__at": "top", "__cover": "__top_cover"})
+    framed = framed.join(top_line, [*keys, "top"], "left")
+    alone = F.when(F.col("record_ix") == 1, F.array_distinct(F.array(choice(F.col("top"), F.col("__top_cover")), choice(above, F.col("__cover"))))).otherwise(F.array(choice(above, F.col("__cover"))))
+    choices = F.coalesce(F.transform("__near", lambda c: choice(c["line_y"], c["coverage"])), alone)
+    rows = framed.select(*keys, "bottom", "top", F.struct("record_ix", F.col("y").alias("y"), F.array_sort(choices).alias("choices")).alias("m"))
+    pages = rows.groupBy(*keys, "top", "bottom").agg(F.reverse(F.array_sort(F.collect_list("m"))).alias("__m"))
+    expected = (F.col("bottom") - F.col("top")) / F.size("__m")
+    allowed = F.greatest(F.lit(max_height * 1.5), expected * 1.25)
+
+    def cost(marker: Column, start: Column, coverage: Column, end: Column) -> Column:
+        height = (end - start).cast("double")
+        return (
+            F.abs(marker["y"] - start - START_FALLBACK) * 2.0
+            + F.abs(height - expected) * 2.0
+            + F.when(height < min_height * 0.75, 250.0 + (F.lit(min_height) - height) * 4.0).otherwise(0.0)
+            + F.when(height > allowed, 120.0 + (height - allowed) * 2.5).otherwise(0.0)
+            + F.when(coverage.isNull(), F.lit(25.0)).otherwise(-coverage / 120.0)
+        )
+
+    way = lambda total, starts: F.struct(F.round(total, 6).alias("cost"), starts.alias("starts"))
+    none = F.filter(F.array(way(F.lit(0.0), F.array(F.lit(0).cast("long")))), lambda w: F.lit(False))
+
+    def step(after: Column, marker: Column) -> Column:
+        """Best ways from each choice of a marker on, given those of the marker below; below the last there is the table's end."""
+
+        def ways(c: Column) -> Column:
+            last = F.array(way(cost(marker, c["start"], c["coverage"], F.col("bottom")), F.array(c["start"])))
+            reachable = F.filter(after["ways"], lambda w: w["starts"][0] > c["start"] + gap)
+            going = F.transform(reachable, lambda w: way(w["cost"] + cost(marker, c["start"], c["coverage"], w["starts"][0]), F.concat(F.array(c["start"]), w["starts"])))
+            return F.array_min(F.when(after["first"], F.when(F.col("bottom") > c["start"], last)).otherwise(going))
+
+        above_marker = F.filter(marker["choices"], lambda c: c["start"] < marker["y"])
+        return F.struct(F.lit(False).alias("first"), F.array_compact(F.transform(above_marker, ways)).alias("ways"))
+
+    begin = F.struct(F.lit(True).alias("first"), none.alias("ways"))
+    found = pages.select(*keys, F.aggregate("__m", begin, step)["ways"].alias("__ways"))
+    chosen = found.select(*keys, F.posexplode(F.array_min("__ways")["starts"]).alias("__place", "__start"))
+    chosen = chosen.select(*keys, (F.col("__place") + 1).alias("record_ix"), "__start")
+    plain = record_starts(markers, lines, tables, keys, min_height)
+    return plain.join(chosen, [*keys, "record_ix"], "left").select(*keys, "record_ix", F.coalesce("__start", "start").alias("start"))
+
+
 def record_boxes(starts: DataFrame, tables: DataFrame, keys: Sequence[str], min_height: int) -> DataFrame:
     """Records end at the next start or at the table bottom; a page without records is one record."""
     ends = ordered_scan(starts.select(*keys, "record_ix", "start"), keys, ["record_ix"], [steps("record_ix", CHUNK)], lead={"__next": F.col("start")})

@@ -72,6 +72,41 @@ def g4_record_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _starts(spark, sf_dir)
 
 
+# Pages of one to seven markers, each with ruled lines above it.
+PLACED = "select l_orderkey as page, cast(l_linenumber*130+l_partkey%61 as int) as y from lineitem"
+RULED = "select l_orderkey as page, cast(l_linenumber*130+l_partkey%61-e.k*23-l_suppkey%19 as int) as y, cast((l_suppkey*7+e.k*131)%400 as int) as coverage from lineitem {explode} where l_partkey%11>0 and (l_suppkey+e.k)%3>0"
+SPANS = "select l_orderkey as page, 0 as \"left\", 40+cast(l_orderkey%50 as int) as top, 900 as \"right\", cast(max(l_linenumber)*130+200+l_orderkey%170 as int) as bottom from lineitem group by l_orderkey"
+BOTH_COSTS = """abs(m.y-c.start-20)*2.0::double + abs(({end}-c.start)::double-m.expected)*2.0::double + case when {end}-c.start<90 then 250.0+(120-({end}-c.start))*4.0 else 0 end::double
+ + case when {end}-c.start>m.allowed then 120.0+({end}-c.start-m.allowed)*2.5 else 0 end::double + case when c.coverage is null then 25.0 else -c.coverage::double/120.0 end::double"""
+
+
+@query(
+    "g4_optimised_starts",
+    f"""with recursive mk as ({PLACED}), ln as (select page, y, max(coverage) as coverage from ({RULED.format(explode='cross join (select unnest(range(8)) as k) e')}) group by 1, 2), t as ({SPANS}),
+ i as (select *, row_number() over (partition by page order by y) as ix, count(*) over (partition by page) as n from mk join t using (page)),
+ m as (select *, (bottom-top)/n::double as expected, greatest(200*1.5::double, (bottom-top)/n::double*1.25) as allowed from i),
+ e as (select page, ix, m.y, l.y as start, coverage, row_number() over (partition by page, ix order by l.y desc) as place from m join ln l using (page) where l.y<m.y and m.y-l.y<=140),
+ a as (select page, ix, greatest(top, y-20) as start from m union select page, ix, top from m where ix=1),
+ ch as (select page, ix, start, coverage from e where place<=5
+  union all select a.page, a.ix, a.start, l.coverage from a left join ln l on l.page=a.page and l.y=a.start where (a.page, a.ix) not in (select (page, ix) from e)),
+ w(page, ix, start, cost, starts) as (select m.page, m.ix, c.start, round({BOTH_COSTS.format(end='m.bottom')}, 6), [c.start] from m join ch c on c.page=m.page and c.ix=m.ix where m.ix=m.n and m.n between 2 and 8 and c.start<m.y and m.bottom>c.start
+  union all select page, ix, start, best.cost, best.starts from (select m.page, m.ix, c.start, min({{'cost': round(w.cost+{BOTH_COSTS.format(end='w.start')}, 6), 'starts': list_concat([c.start], w.starts)}}) as best
+   from w join m on m.page=w.page and m.ix=w.ix-1 join ch c on c.page=m.page and c.ix=m.ix where c.start<m.y and w.start>c.start+60 group by 1, 2, 3)),
+ whole as (select page, min({{'cost': cost, 'starts': starts}}).starts as starts from w where ix=1 group by 1),
+ near as (select page, ix, max(start) as line_y from e group by 1, 2),
+ s as (select m.page, m.ix, case when n=1 then greatest(top, m.y-20) when ix=1 and line_y is null and (m.page, top) in (select (page, y) from ln) then top else coalesce(line_y, greatest(top, m.y-20)) end as start
+  from m left join near using (page, ix)),
+ g as (select page, ix, ix*60+max(start-ix*60) over (partition by page order by ix) as start from s)
+ select g.page, g.ix as record_ix, coalesce(whole.starts[g.ix], g.start)::bigint as start from g left join whole using (page)""",
+)
+def g4_optimised_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    markers = fixtures.sql(spark, sf_dir, PLACED)
+    lines = fixtures.sql(spark, sf_dir, RULED.format(explode="lateral view explode(sequence(0, 7)) e as k"))
+    tables = fixtures.sql(spark, sf_dir, SPANS.replace('"', "`"))
+    found = G.optimised_starts(markers, lines, tables, PAGE, min_height=120, max_height=200)
+    return found.select("page", F.col("record_ix").cast("long").alias("record_ix"), F.col("start").cast("long").alias("start"))
+
+
 @query(
     "g5_record_boxes",
     f"""with {STARTS}, b as (select s.page, t."left", s.start as top, t."right", coalesce(lead(start) over (partition by s.page order by record_ix), t.bottom) as bottom

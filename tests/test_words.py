@@ -225,3 +225,47 @@ def test_record_starts_and_boxes(spark):
     assert [r["start"] for r in starts.orderBy("record_ix").collect()] == [90, 305]
     boxes = {(r["page"], r["top"], r["bottom"]) for r in G.record_boxes(starts, tables, ["page"], 100).collect()}
     assert boxes == {("p", 90, 305), ("p", 305, 550), ("q", 10, 500)}
+
+
+def test_starts_chosen_together_equal_trying_all(spark):
+    import itertools
+
+    rng = random.Random(12)
+    markers, lines, tables, expected = [], [], [], set()
+    least, most, gap = 80, 150, 40
+    for page in range(40):
+        n, top = rng.randint(1, 6), rng.randint(0, 90)
+        ys = sorted(rng.sample(range(60, 900), n))
+        bottom = ys[-1] + rng.randint(20, 300)
+        covered = {y: rng.randrange(1000) for y in rng.sample(range(0, 950), 14)} | ({top: 500} if page % 3 == 0 else {})
+        markers += [(page, y) for y in ys]
+        lines += [(page, y, c) for y, c in covered.items()]
+        tables.append((page, 0, top, 500, bottom))
+        choices = []
+        for i, y in enumerate(ys):
+            near = sorted(c for c in covered if c < y and y - c <= 140)[-5:]
+            choices.append(sorted(set(near or [max(top, y - 20)] + ([top] if i == 0 else []))))
+        tall = (bottom - top) / n
+        allowed, best = max(most * 1.5, tall * 1.25), None
+        for starts in itertools.product(*choices):
+            ends = [*starts[1:], bottom]
+            if any(s >= y for s, y in zip(starts, ys)) or any(b <= a + gap for a, b in zip(starts, starts[1:])) or any(e <= s for s, e in zip(starts, ends)):
+                continue
+            cost = 0.0
+            for y, s, e in zip(ys, starts, ends):
+                cost += abs(y - s - 20) * 2 + abs(e - s - tall) * 2 + (250 + (least - (e - s)) * 4 if e - s < least * 0.75 else 0) + (120 + (e - s - allowed) * 2.5 if e - s > allowed else 0)
+                cost += 25 if s not in covered else -covered[s] / 120
+            if best is None or cost < best[0] - 1e-6:
+                best = (cost, starts)
+        if n > 1 and best is not None:
+            expected |= {(page, i + 1, s) for i, s in enumerate(best[1])}
+    frames = (
+        spark.createDataFrame(markers, "page int, y int"), spark.createDataFrame(lines, "page int, y int, coverage int"),
+        spark.createDataFrame(tables, "page int, left int, top int, right int, bottom int"),
+    )
+    plain = {(r["page"], r["record_ix"]): r["start"] for r in G.record_starts(*frames, ["page"], least).collect()}
+    got = {(r["page"], r["record_ix"]): r["start"] for r in G.optimised_starts(*frames, ["page"], least, most).collect()}
+    chosen = {(p, i): s for p, i, s in expected}
+    assert len(chosen) > 60 and got == {k: chosen.get(k, s) for k, s in plain.items()}
+    few = G.optimised_starts(*frames, ["page"], least, most, most=1).collect()
+    assert {(r["page"], r["record_ix"]): r["start"] for r in few} == plain
