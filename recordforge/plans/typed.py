@@ -7,13 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordforge.operators import extract, validate, words
+from recordforge.operators import candidates, export, extract, validate, words
 from recordforge.operators.words import Anchor, Region
 from recordforge.session import cut
 
+KEY = ["doc_id"]
+
 
 def typed_results(
-    tokens: DataFrame, pages: DataFrame, regions: Sequence[Region], anchors: Sequence[Anchor], threshold: float = 0.5, expected_pages: int = 2
+    tokens: DataFrame,
+    pages: DataFrame,
+    regions: Sequence[Region],
+    anchors: Sequence[Anchor],
+    threshold: float = 0.5,
+    expected_pages: int = 2,
+    retries: DataFrame | None = None,
+    max_retry: int = 6,
 ) -> DataFrame:
     """One row per document: record, diagnostics, retry list and status.
 
@@ -24,15 +33,56 @@ def typed_results(
     transforms = cut(words.estimate_transform(pages, words.match_phrases(tokens, anchors)))
     fields = words.fields_from_regions(tokens, transforms, regions)
     raw = cut(fields.select("doc_id", "field", "raw_text", "confidence"))
-    records = extract.assemble_typed(raw, ["doc_id"])
-    checked = validate.validate_strict(records, raw, ["doc_id"], threshold)
+    return results_of_fields(raw, pages, threshold, expected_pages, retries, max_retry)
+
+
+def results_of_fields(
+    raw: DataFrame, pages: DataFrame, threshold: float = 0.5, expected_pages: int = 2, retries: DataFrame | None = None, max_retry: int = 6
+) -> DataFrame:
+    """``typed_results`` from the region texts (doc_id, field, raw_text, confidence).
+
+    ``retries`` are second readings of fields, in the same columns; those of fields on a document's retry list replace a
+    first reading that they improve, and the record is assembled and checked again.
+    """
+    checked = validate.validate_strict(extract.assemble_typed(raw, KEY), raw, KEY, threshold, max_retry=max_retry)
+    if retries is not None:
+        chosen, accepted = _retried(raw, checked, retries, threshold, max_retry)
+        checked = validate.validate_strict(extract.assemble_typed(chosen, KEY), chosen, KEY, threshold, max_retry=max_retry).join(accepted, KEY, "left")
+    else:
+        checked = checked.withColumn("retry_count", F.lit(0).cast("long"))
     complete = words.page_completeness(pages.select("doc_id", "page_no", (F.col("n_words") > 0).alias("has_ocr"), "error"), expected=expected_pages)
     joined = complete.select("doc_id", "document_error").join(checked, "doc_id", "left")
     filled = joined.withColumns(
         {
-            "retry_count": F.lit(0),
+            "retry_count": F.coalesce("retry_count", F.lit(0).cast("long")),
             "meaningful_field_count": F.coalesce("meaningful_field_count", F.lit(0)),
             "failed_fields": F.coalesce("failed_fields", F.array().cast("array<string>")),
         }
     )
     return validate.document_status(filled)
+
+
+def _retried(raw: DataFrame, checked: DataFrame, retries: DataFrame, threshold: float, max_retry: int) -> tuple[DataFrame, DataFrame]:
+    """Region texts after the second reading, and per document the number of those that were taken.
+
+    Whether a reading is valid depends on its own field only, so all second readings of a document are judged at once.
+    """
+    texts = raw.select(*KEY, "field", F.col("raw_text").alias("value"), "confidence")
+    # Every field has a diagnosis, also one without a word in its region.
+    first = cut(validate.diagnostics_long(checked, KEY).select(*KEY, "field", "valid").join(texts, [*KEY, "field"], "left").withColumn("confidence", F.coalesce("confidence", F.lit(0.0))))
+    wanted = checked.select(*KEY, F.explode("retry_fields").alias("field"))
+    second = cut(retries.join(wanted, [*KEY, "field"], "left_semi").select(*KEY, "field", "raw_text", "confidence"))
+    judged = validate.validate_strict(extract.assemble_typed(second, KEY), second, KEY, threshold, max_retry=max_retry)
+    read = second.join(validate.diagnostics_long(judged, KEY).select(*KEY, "field", "valid"), [*KEY, "field"])
+    kept = candidates.prefer_retry(first, read.withColumnRenamed("raw_text", "value"), KEY, validate.TYPED_FIELDS, max_retry)
+    kept = cut(kept)
+    chosen = kept.select(*KEY, "field", F.col("value").alias("raw_text"), "confidence")
+    return chosen, kept.groupBy(*KEY).agg(F.count_if("accepted_retry").alias("retry_count"))
+
+
+def typed_output(results: DataFrame, sources: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """The output rows of the form; ``sources`` gives each document its ``source_file`` and ``processed_at``."""
+    rows = results.join(sources.select(*KEY, "source_file", "processed_at"), KEY).withColumns(
+        {"processing_status": F.col("status"), "review_required": F.col("status") == "REVIEW_REQUIRED", "error_message": F.col("document_error")}
+    )
+    return export.typed_rows(rows, existing, ["processed_at", *KEY])
