@@ -40,13 +40,15 @@ from recordforge.llm.registry import query
 
 MODEL = "piece_bpe_32k.model"
 #: Bytes of text encoded at a time, texts kept whole.
-SLICE = 4_000_000
+SLICE = 3_000_000
 #: Words kept in each of the two generations of the cache.
-CACHE = 400_000
+CACHE = 300_000
 #: Words of up to so many characters are merged side by side, longer ones one by one and not kept.
 SIZES = (6, 9, 12, 16, 32)
 SIDE = 4_000
 NONE = np.int32(2**31 - 1)
+#: Ids are kept packed: a tuple of numbers takes four times the memory.
+ID = np.dtype("<i4")
 MARK = "▁"
 REPLACEMENT = "�"
 # Kinds of pieces and of models in the file format (fixed values).
@@ -206,8 +208,8 @@ class Pieces:
         ]
         crossing = any(MARK in piece.lstrip(MARK) for piece in self.ids)
         self.cuts = not crossing
-        self.young: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _coded(self, parts: Iterable[str]) -> tuple[int, ...]:
         ids, octets = self.ids, self.bytes
@@ -289,17 +291,18 @@ class Pieces:
             order[left[has]] = self._lookup(symbols[left[has]], symbols[at[has]])[0]
         return symbols[inside], inside.reshape(-1, width).sum(axis=1)
 
-    def _coded_all(self, words: list[str]) -> Iterator[tuple[int, ...]]:
-        """Ids of words; symbols without a piece become bytes."""
+    def _coded_all(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words, packed; symbols without a piece become bytes."""
         symbols, sizes = self.merge_all(words)
-        vocabulary, values, at = len(self.out), symbols.tolist(), 0
+        vocabulary, packed, at = len(self.out), symbols.astype(ID).tobytes(), 0
         strange = np.add.reduceat(symbols >= vocabulary, np.cumsum(sizes) - sizes).tolist()
-        for size, odd in zip(sizes.tolist(), strange, strict=True):
-            ids = values[at : at + size]
+        for size, odd in zip((sizes * ID.itemsize).tolist(), strange, strict=True):
+            ids = packed[at : at + size]
             at += size
             if odd:
-                ids = chain.from_iterable((i,) if i < vocabulary else map(self.bytes.__getitem__, chr(i - vocabulary).encode("utf-8")) for i in ids)
-            yield tuple(ids)
+                each = np.frombuffer(ids, dtype=ID).tolist()
+                ids = _packed(chain.from_iterable((i,) if i < vocabulary else map(self.bytes.__getitem__, chr(i - vocabulary).encode("utf-8")) for i in each))
+            yield ids
 
     def merge(self, word: str) -> tuple[int, ...]:
         """Ids of one word of any length, by a heap of the merges."""
@@ -326,8 +329,8 @@ class Pieces:
             i = ends[i]
         return self._coded(parts)
 
-    def _learn(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Ids of ``words``, all different, through the cache."""
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Packed ids of ``words``, all different, through the cache."""
         if len(self.young) > CACHE:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
@@ -340,7 +343,7 @@ class Pieces:
             for i in range(0, len(group), SIDE):
                 part = group[i : i + SIDE]
                 young.update(zip(part, self._coded_all(part), strict=True))
-        young.update((w, self.merge(w)) for w in new)
+        young.update((w, _packed(self.merge(w))) for w in new)
         ids = list(map(young.__getitem__, words))
         for word in new:
             del young[word]
@@ -372,8 +375,8 @@ class Pieces:
         coded = words.dictionary_encode()
         place = coded.indices.to_numpy(zero_copy_only=False)
         known = self._learn(coded.dictionary.to_pylist())
-        flat = np.array(list(chain.from_iterable(known)), dtype=np.int32)
-        sizes = np.array(list(map(len, known)), dtype=np.int64)
+        flat = np.frombuffer(b"".join(known), dtype=ID)
+        sizes = np.array(list(map(len, known)), dtype=np.int64) // ID.itemsize
         each = sizes[place]
         first = (np.cumsum(sizes) - sizes)[place]
         ids = flat[np.repeat(first - (np.cumsum(each) - each), each) + np.arange(each.sum())]
@@ -408,6 +411,10 @@ class Pieces:
             return _lenient(whole)
 
 
+def _packed(ids: Iterable[int]) -> bytes:
+    return np.fromiter(ids, dtype=ID).tobytes()
+
+
 def _lenient(data: bytes) -> str:
     """Text of bytes, with one replacement character for each byte that starts no character."""
     parts, at = [], 0
