@@ -233,7 +233,30 @@ def record_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.unpivot("rec", cells, "cell", "text").withColumn("avg_conf", 0.4 + (F.col("rec") % 60) / 100)
 
 
-@query("e10_assemble_records")
+# What the texts of ``record_cells`` stand for.  Where an identity number follows a name on its line (every seventh record), the last letter
+# of the name and the first six digits of a modern number read as a number with a letter. A leading 7 of an age is a misread 2.
+RECORDS_SQL = f"""raws as (select s.rec, p.text as raw_suami_isteri, o.text as raw_pendaftar, g.who as raw_wali, nullif(g.relation_text, '') as raw_hubungan_wali, w.text as raw_saksi from fx_strings s
+  join ({SPOUSES.format(n='chr(10)', s='varchar')}) p on s.rec=p.rec join ({OFFICES.format(n='chr(10)', s='varchar')}) o on s.rec=o.rec join ({GUARDIANS.format(s='varchar')}) g on s.rec=g.rec
+  join ({PEOPLE.format(n='chr(10)', s='varchar')}) w on s.rec=w.rec),
+ base as (select f.*, {NAME.format(k='f.rec', s='varchar')} as n1, {NAME.format(k='f.rec*3', s='varchar')} as n3, {NAME.format(k='f.rec*7', s='varchar')} as n7, f.rec%7=0 and f.rec%3=1 as clash,
+  'AB '||{NAME.format(k='f.rec', s='varchar')}||case when f.rec%5=0 then ' CD' else '' end as husband, replace(f.date_text, 'O', '0') as dated, regexp_extract(f.money_text, '[0-9]+', 0) as amount,
+  case f.rec%4 when 2 then f.date_text[9:10]||'-'||f.date_text[6:7]||'-'||f.date_text[1:4] when 0 then f.date_text[1:2]||'-'||f.date_text[4:5]||'-'||case when f.date_text[7:8]::int<=30 then '20' else '19' end||f.date_text[7:8]
+   else replace(f.date_text[1:2], 'O', '0')||'-'||f.date_text[4:5]||'-'||f.date_text[7:10] end as day from fx_strings f),
+ whole as (select b.rec, (b.rec%900+100)||'/94' as bil, case when b.rec%35=0 then 'AB '||n1 when clash then left(husband, length(husband)-1) else husband end as nama_suami,
+  case when clash then right(husband, 1)||id_text[1:6] when b.rec%3<>1 then replace(id_text, ' ', '') end as ic_lama_suami, case when b.rec%3=1 then replace(id_text, '-', '') end as ic_baru_suami,
+  case when clash then right(husband, 1)||' '||id_text[1:6]||' / '||id_text when b.rec%3=1 then id_text[1:6]||' / '||id_text else id_text end as id_suami_raw, (case when 15+b.rec%80 between 70 and 79 then b.rec%80-35 else 15+b.rec%80 end)::int as umur_suami,
+  'EF BINTI '||n3 as nama_isteri, (1000000+b.rec)::varchar as ic_lama_isteri, null::varchar as ic_baru_isteri, (1000000+b.rec)::varchar as id_isteri_raw, (20+b.rec%40)::int as umur_isteri,
+  'RM '||amount||case when b.rec%3=1 then '.50' else '.00' end as mas_kahwin, money_text as mas_kahwin_raw, 'HJ. '||n1 as nama_pendaftar,
+  case b.rec%3 when 1 then 'PEJABAT MASJID '||b.rec%9||chr(10)||'KAWASAN ISLAM' when 2 then 'PEJABAT MASJID '||b.rec%9 end as alamat_pendaftar, 'GH '||n1||case when b.rec%5=4 then ' NONE' else '' end as nama_wali,
+  case b.rec%5 when 0 then 'BAPA' when 1 then 'SAUDARA LELAKI' when 2 then 'WALI HAKIM' when 3 then 'ABANG' end as hubungan_wali, 'AA '||n1 as saksi_1,
+  case b.rec%4 when 2 then 'BB '||n7||' ZZ' when 3 then null else 'BB '||n7 end as saksi_2, day as tarikh_nikah, dated as tarikh_nikah_raw, case when b.rec%8<>0 then day end as tarikh_keluar,
+  case when b.rec%8<>0 then dated else 'UNKNOWN' end as tarikh_keluar_raw, 'Diambil oleh suami' as remarks, (b.rec%900+100)||'/94' as raw_bil, raw_suami_isteri, raw_pendaftar, raw_wali, raw_hubungan_wali, raw_saksi,
+  date_text as raw_tarikh_nikah, case when b.rec%8=0 then 'unknown' else date_text end as raw_tarikh_keluar, 'diambil oleh' as raw_remarks,
+  array_to_string(list_filter([case when b.rec%3=2 then 'mas_kahwin_missing_rm' end, case when b.rec%3=0 then 'pendaftar_address_missing' end, case when b.rec%5=4 then 'wali_relationship_missing' end,
+   case when b.rec%4=3 then 'saksi_2_missing' end, case when b.rec%8=0 then 'tarikh_keluar_unparsed' end], lambda x: x is not null), '; ') as review_reason from base b join raws using (rec))"""
+
+
+@query("e10_assemble_records", f"with {RECORDS_SQL} select *, case when review_reason='' then 'OK' else 'REVIEW' end as status_review from whole")
 def e10_assemble_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = E.assemble_records(record_cells(spark, sf_dir), ["rec"])
     return records.withColumn("review_reason", F.array_join("review_reason", "; "))
