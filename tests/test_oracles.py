@@ -48,6 +48,11 @@ def test_without_the_optional_subpackage(tmp_path, pipeline):
     assert found.stdout.split() == [str(plain), "{}", str(len(entry.oracle_sql()) - len(entry.EXTRA_ORACLES))]
 
 
+def test_queries_without_sql_are_known():
+    plain = set(entry.queries()) - set(entry.EXTRA_QUERIES)
+    assert plain - set(entry.oracle_sql()) == {"flow_ledger_records", "flow_typed_results"}
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["status", "records"]
     assert entry.entry(spark).count() > 0
