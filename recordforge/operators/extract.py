@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from recordforge.functions import fields as X
 from recordforge.functions import gestalt
 from recordforge.functions import text as T
+from recordforge.functions.rules import Rule, RuleTable
 from recordforge.operators.normalize import NAME_TOKENS, OFFICE_PATTERNS, RELATIONS, SNAP_CUTOFF, best_line, snap_value
 
 # Cells of a ledger record, markers of numbered people, misread relation and remark phrases.
@@ -18,25 +18,25 @@ CELLS = ("bil", "suami_isteri", "pendaftar", "wali", "hubungan_wali", "saksi", "
 NUMBER_MARKERS = {"①": "\n1) ", "②": "\n2) ", "③": "\n3) ", "④": "\n4) ", "❶": "\n1) ", "❷": "\n2) "}
 NUMBERED = "(?:^|\\n|\\s)(?:[\\[(]?[12][\\])\\-.]|[①②])\\s*"
 NUMBER_PREFIX = "^\\s*(?:[\\[(]?\\d+[\\])\\-.]?|[①②③④⑤⑥⑦⑧⑨])\\s*"
-RELATION_PHRASES = {
-    "SAUDARA LECAKI (CABANG)": "SAUDARA LELAKI (ABANG)",
-    "SAUDARA CECAKI": "SAUDARA LELAKI",
-    "BAPA SULONG": "SAUDARA LELAKI (ABANG)",
-    "SAUDARA SEBAPAK": "SAUDARA LELAKI",
-}
-REMARK_PHRASES = {
-    "DIAMBIL OLEH SUAM": "Diambil oleh suami",
-    "DIAMBIL OLEH": "Diambil oleh suami",
-    "DIAMBIL OLEH SUAMI": "Diambil oleh suami",
-}
+# Rules that hold unless the caller gives a table of its own.
+PHRASES = RuleTable(
+    Rule(place, field, "phrase", pattern, value)
+    for place, (field, pattern, value) in enumerate(
+        (
+            ("relation", "SAUDARA LECAKI (CABANG)", "SAUDARA LELAKI (ABANG)"),
+            ("relation", "SAUDARA CECAKI", "SAUDARA LELAKI"),
+            ("relation", "BAPA SULONG", "SAUDARA LELAKI (ABANG)"),
+            ("relation", "SAUDARA SEBAPAK", "SAUDARA LELAKI"),
+            ("remarks", "DIAMBIL OLEH SUAM", "Diambil oleh suami"),
+            ("remarks", "DIAMBIL OLEH", "Diambil oleh suami"),
+            ("remarks", "DIAMBIL OLEH SUAMI", "Diambil oleh suami"),
+        )
+    )
+)
 
 Snap = Callable[[Column], Column]
 
 
-def _lookup(table: Mapping[str, str], key: Column) -> Column:
-    return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key)
-
-
 def _with(df: DataFrame, name: str, value: Column, raw: Column, review: Column) -> DataFrame:
     return df.withColumns({name: value, f"{name}_raw": raw, f"{name}_needs_review": review})
 
@@ -213,7 +213,7 @@ def gestalt_snap(vocabulary: Sequence[str] = RELATIONS, cutoff: float = SNAP_CUT
 
 
 def extract_guardian(
-    df: DataFrame, name_col: str, relation_col: str, snap: Snap | None = None, name: str = "guardian", relation: str = "relation"
+    df: DataFrame, name_col: str, relation_col: str, snap: Snap | None = None, name: str = "guardian", relation: str = "relation", rules: RuleTable = PHRASES
 ) -> DataFrame:
     """Guardian name and relation: phrase table, then a bracketed relation, then the longest suffix that snaps."""
     snap = snap or levenshtein_snap()
@@ -222,7 +222,7 @@ def extract_guardian(
     bare = T.squeeze(F.regexp_replace(F.col("__text"), "\\([^)]*\\)", " "))
     base = base.withColumns(
         {
-            "__phrase": _lookup(RELATION_PHRASES, F.col("__text")),
+            "__phrase": rules.phrase("relation", F.col("__text")),
             "__bracket": snap(X.found(F.col("__text"), "\\(([^)]{2,})\\)", 1)),
             "__words": F.filter(F.split(bare, " "), lambda w: w != ""),
         }
@@ -298,8 +298,11 @@ def pivot_cells(cells: DataFrame, key: Sequence[str], names: Sequence[str] = CEL
     return cells.groupBy(*key).agg(*picks)
 
 
-def assemble_records(cells: DataFrame, key: Sequence[str], snap: Snap | None = None) -> DataFrame:
-    """Cells of a record to the typed record: fields, raw texts and issue codes."""
+def assemble_records(cells: DataFrame, key: Sequence[str], snap: Snap | None = None, rules: RuleTable = PHRASES) -> DataFrame:
+    """Cells of a record to the typed record: fields, raw texts and issue codes.
+
+    ``rules`` has the phrases of relations and remarks that stand for others.
+    """
     wide = pivot_cells(cells, key, CELLS[:-1])
     raw = lambda c: F.coalesce(F.col(f"raw_{c}"), F.lit(""))
     spouses = people(unpriced_lines(raw("suami_isteri")))
@@ -310,7 +313,7 @@ def assemble_records(cells: DataFrame, key: Sequence[str], snap: Snap | None = N
             "__people": F.transform(spouses, person_fields),
         }
     )
-    wide = extract_guardian(wide, "raw_wali", "raw_hubungan_wali", snap, "nama_wali", "hubungan_wali")
+    wide = extract_guardian(wide, "raw_wali", "raw_hubungan_wali", snap, "nama_wali", "hubungan_wali", rules)
     wide = wide.withColumns(
         {
             "__office": name_address(raw("pendaftar")),
@@ -343,7 +346,7 @@ def assemble_records(cells: DataFrame, key: Sequence[str], snap: Snap | None = N
         "tarikh_nikah_raw": F.col("__nikah.raw"),
         "tarikh_keluar": F.col("__keluar.value"),
         "tarikh_keluar_raw": F.col("__keluar.raw"),
-        "remarks": F.coalesce(_lookup(REMARK_PHRASES, remark), remark),
+        "remarks": F.coalesce(rules.phrase("remarks", remark), remark),
     }
     texts = {f"raw_{c}": T.blank_to_null(F.col(f"raw_{c}")) for c in CELLS[:-1]}
     full = wide.select(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from recordforge.functions import gestalt
 from recordforge.functions import text as T
+from recordforge.functions.rules import RuleTable
 
 # Relations the vocabulary snap knows, and its cutoff.
 RELATIONS = ("BAPA KANDUNG", "SAUDARA LELAKI", "WALI HAKIM", "BAPA", "ABANG", "SAUDARA", "LELAKI", "DATUK")
@@ -93,6 +94,11 @@ def apply_token_rules(
     return _each(df, cols, rule)
 
 
+def apply_rules(df: DataFrame, rules: RuleTable, fields: Mapping[str, str]) -> DataFrame:
+    """Rules of a table on columns; ``fields`` gives the field of each column."""
+    return df.withColumns({column: rules.apply(field, F.col(column)) for column, field in fields.items()})
+
+
 def apply_phrase_rules(df: DataFrame, rules: DataFrame, value: str = "value", field: str = "field") -> DataFrame:
     """Whole-value corrections from a table (field, phrase, replacement).
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordforge import fixtures
+from recordforge.functions.rules import RuleTable
 from recordforge.operators import normalize as N
 from recordforge.queries import query
 
@@ -103,6 +104,23 @@ def n7_apply_phrase_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.apply_phrase_rules(fixtures.sql(spark, sf_dir, VALUES), fixtures.sql(spark, sf_dir, PHRASES)).select("rec", "field", "value")
 
 
+@query(
+    "n6_rule_table",
+    """select p_partkey as rec, case when p_name='hot gear' then 'fixed' else regexp_replace(w[1]||' '||upper(w[2]), 'G[A-Z]+R', 'GxR', 'g') end as value
+ from (select p_partkey, p_name, string_split(p_name, ' ') as w from part)""",
+)
+def n6_rule_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of parts by a table of rules: the nouns in capitals, then a pattern, then one whole value."""
+    rules = fixtures.sql(
+        spark, sf_dir,
+        """select distinct 'name' as field, 'token' as kind, split(p_name, ' ')[1] as pattern, upper(split(p_name, ' ')[1]) as value, 1 as place from part
+ union all select 'name', 'pattern', 'G[A-Z]+R', 'GxR', 2 union all select 'name', 'phrase', 'hot GxR', 'fixed', 3
+ union all select 'name', 'phrase', 'hot GxR', 'never', 4 union all select 'brand', 'pattern', '[A-Z]', '', 1""",
+    )
+    values = fixtures.sql(spark, sf_dir, "select p_partkey as rec, p_name as value from part")
+    return N.apply_rules(values, RuleTable.read(rules), {"value": "name"})
+
+
 VOCABULARY = ("URGENT", "HIGH", "MEDIUM", "LOW", "NOT SPECIFIED")
 MISREAD = "select o_orderkey as rec, case o_orderkey%4 when 0 then replace(o_orderpriority, 'E', 'F') when 1 then replace(o_orderpriority, 'I', 'L') when 2 then lower(o_orderpriority) else o_orderpriority||'X' end as value from orders"
 

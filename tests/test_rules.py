@@ -128,3 +128,19 @@ def test_matching_blocks_within_bounds_equal_the_library(spark):
         for r in got:
             hits = difflib.get_close_matches(r["a"], words, n=1, cutoff=cutoff) if r["a"] else []
             assert r["w"] == (r["a"] if r["a"] in words else hits[0] if hits else None)
+
+
+def test_rule_tables(spark):
+    from recordforge.functions.rules import Rule, RuleTable
+
+    rules = [Rule(2, "f", "pattern", "a+", "A"), Rule(1, "f", "token", "x1", "aa"), Rule(3, "f", "pattern", "A b", "C"), Rule(5, "f", "phrase", "C d", "late"), Rule(4, "f", "phrase", "C d", "whole"), Rule(0, "g", "token", "d", "z")]
+    table = spark.createDataFrame([(r.field, r.kind, r.pattern, r.value, r.place) for r in [*rules, rules[0]]], "field string, kind string, pattern string, value string, place int")
+    df = spark.createDataFrame([("x1 b d",), ("x1 b",), ("d",), ("",), (None,)], "t string")
+    read = RuleTable.read(table)
+    assert [r[0] for r in N.apply_rules(df, read, {"t": "f"}).collect()] == ["whole", "C", "d", "", None]
+    assert [r[0] for r in N.apply_rules(df, read, {"t": "none"}).collect()] == [r[0] for r in df.collect()]
+    with pytest.raises(ValueError):
+        RuleTable([Rule(0, "f", "other", "a", "b")])
+    own = RuleTable([Rule(0, "relation", "phrase", "PAK LONG", "ABANG")])
+    got = E.extract_guardian(spark.createDataFrame([("pak long", "")], "a string, b string"), "a", "b", rules=own).first()
+    assert got["relation"] == "ABANG"
