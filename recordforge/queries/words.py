@@ -267,13 +267,13 @@ def w11_fields_from_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SECOND_READING = "select doc_id, record_ix, cell, case when record_ix%2=0 then text||' '||text else '' end as text, cast((doc_id*13+record_ix*29)%100 as double)/100 as avg_conf from fx_cells where (doc_id+record_ix)%5<>0"
-FIRST_READING = "select doc_id, record_ix, cell, case when doc_id%4=0 then ' ' else text end as text, avg_conf from fx_cells"
+FIRST_READING = "select doc_id, record_ix, cell, case doc_id%4 when 0 then ' ' when 1 then substr(text, 1, cast(1+(doc_id+record_ix)%5 as int)) else text end as text, avg_conf from fx_cells"
 
 
 @query(
     "w12_choose_cell_source",
     f"""with j as (select p.*, f.text as f_text, f.avg_conf as f_conf from ({FIRST_READING}) p left join ({SECOND_READING}) f using (doc_id, record_ix, cell)),
- k as (select *, coalesce(cell in ('user','assistant') and (trim(text)='' or avg_conf<0.60) and f_conf is not null and
+ k as (select *, coalesce(cell in ('user','assistant') and (trim(text)='' or avg_conf<0.60 or (cell='user' and length(trim(text))<4) or (cell='assistant' and length(trim(text))<2)) and f_conf is not null and
  ((trim(f_text)<>'' and trim(text)='') or f_conf>=avg_conf+0.10::double or (length(trim(f_text))>length(trim(text))*1.5 and f_conf>=0.50)), false) as take from j)
  select doc_id, record_ix, cell, case when take then f_text else text end as text, case when take then f_conf else avg_conf end as avg_conf,
  case when take then 'fallback' else 'primary' end as cell_source from k""",
@@ -281,7 +281,7 @@ FIRST_READING = "select doc_id, record_ix, cell, case when doc_id%4=0 then ' ' e
 def w12_choose_cell_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = fixtures.sql(spark, sf_dir, FIRST_READING)
     second = fixtures.sql(spark, sf_dir, SECOND_READING)
-    return W.choose_cell_source(first, second, important=["user", "assistant"], date_cells=[], serial_cells=[])
+    return W.choose_cell_source(first, second, important=["user", "assistant"], date_cells=["user"], serial_cells=["assistant"])
 
 
 PAGE_RESULTS = "select conv_id as doc_id, cast(turn as int) as page_no, role='user' as has_ocr, case when turn%7=3 then 'page '||cast(turn as {s})||' failed' end as error from conversations"
