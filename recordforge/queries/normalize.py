@@ -175,6 +175,34 @@ def n9_strip_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.strip_labels(fixtures.sql(spark, sf_dir, LABELLED.format(src=SPARK_LINES)), "line", "nama_suami")
 
 
+# One printed label for each field that has one, as it may stand on a form, and as the rule knows it.
+PRINTED = (
+    ("nama_suami", "Nama", "nama"), ("nama_isteri", "NAMA ", "nama"), ("nama_pendaftar", "nama", "nama"), ("nama_wali", " Nama", "nama"), ("hubungan_wali", "Hubungan", "hubungan"),
+    ("saksi_1", "Saksi 1", "saksi\\s*1"), ("saksi_2", "saksi2", "saksi\\s*2"), ("tarikh_nikah", "Tarikh  Nikah", "tarikh\\s*nikah"), ("alamat_pendaftar", "ALAMAT", "alamat"),
+    ("mas_kahwin", "Mas kahwin", "mas\\s*kahwin"),
+)
+ENDS = ("umur", "No. Siri", "NO SIN", "bangsa", "Warganegara", "alamat", "Pendaftar", "hubungan", "saksi  pertama", "SAKSI KEDUA")
+
+
+def _cases(values: list[str]) -> str:
+    return " ".join(f"when {i} then {value}" for i, value in enumerate(values))
+
+
+FORM_LINES = f"""select doc_id, cast(doc_id%10 as int) as kind, case doc_id%10 {_cases([f"'{label}'" for _, label, _ in PRINTED])} end || case when doc_id%3=0 then ': ' else ' ' end
+ || 'ab' || '  ' || cast(n_chars as {{s}}) || case when doc_id%4<3 then ' ' || case doc_id%11 {_cases([f"'{end}'" for end in ENDS])} else 'umurnya' end || ' cd' else ',' end as line from documents"""
+
+
+@query(
+    "n9_strip_all_labels",
+    f"select doc_id, case kind {_cases([stripped('line').replace('(nama', '(' + rule) for _, _, rule in PRINTED])} end as line from ({FORM_LINES.format(s='varchar')})",
+)
+def n9_strip_all_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label of each field in front of a value, and labels of other fields behind it."""
+    lines = fixtures.sql(spark, sf_dir, FORM_LINES.format(s="string"))
+    cleaned = F.coalesce(*[F.when(F.col("kind") == i, N.strip_label(F.col("line"), field)) for i, (field, _, _) in enumerate(PRINTED)])
+    return lines.select("doc_id", cleaned.alias("line"))
+
+
 @query(
     "n10_best_line",
     f"""with c as (select doc_id, ln, {stripped('trim(line)')} as line from {DUCK_LINES} t),
