@@ -183,6 +183,12 @@ def band_segments(
     the rows of a band, or a window over such aggregates; ``keep_slack`` adds it under a name.
     """
     banded = df.withColumn("__band", steps(position, width))
+    extents = band_extents(banded, keys, low, high, slack, touch, keep_slack)
+    return join_null_safe(banded, extents, [*keys, "__band"]).drop("__band")
+
+
+def band_extents(banded: DataFrame, keys: Sequence[str], low: str, high: str, slack: Column | None = None, touch: bool = False, keep_slack: str | None = None) -> DataFrame:
+    """(keys, ``__band``, segment, segment_low, segment_high) of the bands of ``band_segments``."""
     bands = banded.groupBy(*keys, "__band").agg(F.min(low).alias("__low"), F.max(high).alias("__high"), (slack if slack is not None else F.lit(0.0)).alias("__slack"))
     by_band = Window.partitionBy(*keys).orderBy("__band")
     reach = F.max("__high").over(by_band.rowsBetween(Window.unboundedPreceding, -1))
@@ -191,11 +197,17 @@ def band_segments(
     cut = F.when(F.col("__reach").isNull() | apart, 1).otherwise(0)
     numbered = bands.withColumn("__reach", reach).withColumn("segment", F.sum(cut).over(by_band))
     whole = Window.partitionBy(*keys, "segment")
-    extents = numbered.select(
+    return numbered.select(
         *keys, "__band", "segment", F.min("__low").over(whole).alias("segment_low"), F.max("__high").over(whole).alias("segment_high"),
         *([F.col("__slack").alias(keep_slack)] if keep_slack else []),
     )
-    return banded.join(extents, [*keys, "__band"]).drop("__band")
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join in which null keys meet null keys; the key columns are those of ``left``."""
+    named = right.withColumnsRenamed({c: f"__on_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"__on_{c}")) for c in on]
+    return left.join(named, same, how).drop(*(f"__on_{c}" for c in on))
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], *, first: bool = False) -> DataFrame:

@@ -13,3 +13,10 @@ def test_strict_query_lists_every_failed_field(spark, sf_dir):
     rows = queries.v2_validate_strict(spark, sf_dir).collect()
     assert all(len((r["failed"] or "").split(",")) == max(1, r["n_failed"]) for r in rows)
     assert 6 < max(r["n_failed"] for r in rows) <= len(TYPED_FIELDS)
+
+
+def test_duplicates_of_repeated_and_keyless_words(spark):
+    rows = [(None, 1, "a", 0.0, 0.0, 10.0, 10.0), (None, 2, "a", 1.0, 0.0, 11.0, 10.0), (None, 3, "a", 50.0, 0.0, 60.0, 10.0)]
+    rows += [(1, 1, "a", 0.0, 0.0, 10.0, 10.0)] * 3 + [(1, 2, "a", 0.0, None, 10.0, None), (1, None, "b", 0.0, 0.0, 10.0, 10.0), (1, 4, None, 0.0, 0.0, 10.0, 10.0)]
+    kept = W.dedupe_words(spark.createDataFrame(rows, SCHEMA), ["page_no"]).collect()
+    assert sorted((r["page_no"] or 0, r["word_ix"] or 0, r["text"] or "") for r in kept) == [(0, 1, "a"), (0, 3, "a"), (1, 0, "b"), (1, 1, "a"), (1, 2, "a"), (1, 4, "")]
