@@ -16,7 +16,7 @@ LOW_CONFIDENCE = 0.75
 
 def page_texts(tokens: DataFrame, key: Sequence[str]) -> DataFrame:
     """Normalised text of every page with its confidence."""
-    pages = words.cell_text(words.group_lines_px(tokens, key), key)
+    pages = words.text_of_lines(words.text_lines_px(tokens, key), key)
     return pages.select(*key, T.normalise_text(F.col("text")).alias("text"), "avg_conf", F.size("lines").alias("n_lines"))
 
 

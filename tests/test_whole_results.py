@@ -20,3 +20,18 @@ def test_duplicates_of_repeated_and_keyless_words(spark):
     rows += [(1, 1, "a", 0.0, 0.0, 10.0, 10.0)] * 3 + [(1, 2, "a", 0.0, None, 10.0, None), (1, None, "b", 0.0, 0.0, 10.0, 10.0), (1, 4, None, 0.0, 0.0, 10.0, 10.0)]
     kept = W.dedupe_words(spark.createDataFrame(rows, SCHEMA), ["page_no"]).collect()
     assert sorted((r["page_no"] or 0, r["word_ix"] or 0, r["text"] or "") for r in kept) == [(0, 1, "a"), (0, 3, "a"), (1, 0, "b"), (1, 1, "a"), (1, 2, "a"), (1, 4, "")]
+
+
+def test_lines_keep_words_of_pages_without_a_key(spark):
+    rows = [(None, k, "t", 10.0 * k, 20.0 * (k // 3), 10.0 * k + 8, 20.0 * (k // 3) + 12) for k in range(9)] + [(1, 1, "t", 0.0, 0.0, 8.0, 12.0)]
+    for lines in (W.group_lines_px, W.group_lines_unit):
+        got = lines(spark.createDataFrame(rows, SCHEMA), ["page_no"]).collect()
+        assert len(got) == 10 and len({(r["page_no"], r["segment"], r["part"]) for r in got}) == 4
+
+
+def test_line_table_of_words_that_lie_apart(spark):
+    rows = [(k % 2, k, chr(97 + k) if k != 4 else " ", 10.0 * (9 - k), 0.0, 10.0 * (9 - k) + 8, 12.0, 0.5 if k % 4 else None) for k in range(9)]
+    words = spark.createDataFrame(rows, SCHEMA + ", confidence double").withColumnRenamed("page_no", "ln")
+    got = {r["ln"]: r for r in W.line_table(words, [], ["ln"]).collect()}
+    assert (got[0]["text"], got[1]["text"]) == ("i g c a", "h f d b")
+    assert (got[0]["word_count"], got[0]["confidence"], got[0]["x1"], got[0]["x2"]) == (2, 0.5, 10.0, 98.0)
