@@ -47,11 +47,11 @@ def results_of_fields(
     checked = validate.validate_strict(extract.assemble_typed(raw, KEY), raw, KEY, threshold, max_retry=max_retry)
     if retries is not None:
         chosen, accepted = _retried(raw, checked, retries, threshold, max_retry)
-        checked = validate.validate_strict(extract.assemble_typed(chosen, KEY), chosen, KEY, threshold, max_retry=max_retry).join(accepted, KEY, "left")
+        checked = validate.validate_strict(extract.assemble_typed(chosen, KEY), chosen, KEY, threshold, max_retry=max_retry).join(accepted.hint("merge"), KEY, "left")
     else:
         checked = checked.withColumn("retry_count", F.lit(0).cast("long"))
     complete = words.page_completeness(pages.select("doc_id", "page_no", (F.col("n_words") > 0).alias("has_ocr"), "error"), expected=expected_pages)
-    joined = complete.select("doc_id", "document_error").join(checked, "doc_id", "left")
+    joined = complete.select("doc_id", "document_error").join(checked.hint("merge"), "doc_id", "left")
     filled = joined.withColumns(
         {
             "retry_count": F.coalesce("retry_count", F.lit(0).cast("long")),
@@ -65,15 +65,17 @@ def results_of_fields(
 def _retried(raw: DataFrame, checked: DataFrame, retries: DataFrame, threshold: float, max_retry: int) -> tuple[DataFrame, DataFrame]:
     """Region texts after the second reading, and per document the number of those that were taken.
 
+    Rows per field are made by explode, whose size the optimizer takes for that of the files: joins are told to sort and not to broadcast.
+
     Whether a reading is valid depends on its own field only, so all second readings of a document are judged at once.
     """
     texts = raw.select(*KEY, "field", F.col("raw_text").alias("value"), "confidence")
     # Every field has a diagnosis, also one without a word in its region.
-    first = cut(validate.diagnostics_long(checked, KEY).select(*KEY, "field", "valid").join(texts, [*KEY, "field"], "left").withColumn("confidence", F.coalesce("confidence", F.lit(0.0))))
+    first = cut(validate.diagnostics_long(checked, KEY).select(*KEY, "field", "valid").join(texts.hint("merge"), [*KEY, "field"], "left").withColumn("confidence", F.coalesce("confidence", F.lit(0.0))))
     wanted = checked.select(*KEY, F.explode("retry_fields").alias("field"))
-    second = cut(retries.join(wanted, [*KEY, "field"], "left_semi").select(*KEY, "field", "raw_text", "confidence"))
+    second = cut(retries.join(wanted.hint("merge"), [*KEY, "field"], "left_semi").select(*KEY, "field", "raw_text", "confidence"))
     judged = validate.validate_strict(extract.assemble_typed(second, KEY), second, KEY, threshold, max_retry=max_retry)
-    read = second.join(validate.diagnostics_long(judged, KEY).select(*KEY, "field", "valid"), [*KEY, "field"])
+    read = second.join(validate.diagnostics_long(judged, KEY).select(*KEY, "field", "valid").hint("merge"), [*KEY, "field"])
     kept = candidates.prefer_retry(first, read.withColumnRenamed("raw_text", "value"), KEY, validate.TYPED_FIELDS, max_retry)
     kept = cut(kept)
     chosen = kept.select(*KEY, "field", F.col("value").alias("raw_text"), "confidence")
@@ -82,7 +84,7 @@ def _retried(raw: DataFrame, checked: DataFrame, retries: DataFrame, threshold:
 
 def typed_output(results: DataFrame, sources: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """The output rows of the form; ``sources`` gives each document its ``source_file`` and ``processed_at``."""
-    rows = results.join(sources.select(*KEY, "source_file", "processed_at"), KEY).withColumns(
+    rows = results.join(sources.select(*KEY, "source_file", "processed_at").hint("merge"), KEY).withColumns(
         {"processing_status": F.col("status"), "review_required": F.col("status") == "REVIEW_REQUIRED", "error_message": F.col("document_error")}
     )
     return export.typed_rows(rows, existing, ["processed_at", *KEY])
