@@ -35,3 +35,12 @@ def test_line_table_of_words_that_lie_apart(spark):
     got = {r["ln"]: r for r in W.line_table(words, [], ["ln"]).collect()}
     assert (got[0]["text"], got[1]["text"]) == ("i g c a", "h f d b")
     assert (got[0]["word_count"], got[0]["confidence"], got[0]["x1"], got[0]["x2"]) == (2, 0.5, 10.0, 98.0)
+
+
+def test_exploded_rows_are_not_broadcast(spark):
+    from recordforge.plans import typed
+
+    raw = spark.range(20).selectExpr("id as doc_id", "explode(array('bil', 'saksi_1')) as field", "'1/1990' as raw_text", "0.9D as confidence")
+    sheets = spark.range(20).selectExpr("id as doc_id", "1 as page_no", "15 as n_words", "cast(null as string) as error")
+    found = typed.results_of_fields(raw, sheets, expected_pages=1)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
