@@ -5,7 +5,7 @@ distinct fingerprints only.  They are dealt by bit blocks, sorted by block value
 numpy kernel takes the exclusive-or of two tiles of one block value and counts bits, and tile pairs whose population counts
 differ by more than the radius are never joined.  With ``radius`` < ``bands`` disjoint blocks every pair within the radius
 agrees on some block (pigeonhole), so the comparison is exact; wider fingerprints with more, partly overlapping blocks lose pairs
-near the radius.  ``one_of_each`` doesn't remove by fingerprints but by the shingle sets themselves.
+near the radius.  ``one_of_each`` checks the links of fingerprints by the shingle sets themselves.
 
 Skew: copies collapse to one fingerprint by partial aggregation before anything is compared; sorting by block, count and
 fingerprint deals a hot block over many tasks; and a tile pair emits a spanning forest of its links, at most as many edges
@@ -197,18 +197,20 @@ def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     Near-duplicates are texts whose sets of five-word shingles have a similarity of 0.8 or more, and texts that such pairs
     connect; texts without words are one group.  All pairs are found and each is compared by its sets (module ``similar``), so every row
     that goes has a partner of that similarity and no two that stay have it.
+    SimHash links come first (``print_pairs``); no radius tells 0.8 from 0.7, so their sets are checked, and what the radius leaves out is
+    found by shared shingles.
     Texts are hashed where they lie; they move once, to meet the ids that stay, and those of candidate pairs to be compared.
     """
     names = {n: free_name(df, n) for n in ("tag", "tag2")}
     tags = {names["tag"]: F.xxhash64(F.col(doc_id), F.col(text)), names["tag2"]: F.xxhash64(F.lit(1), F.col(text))}
     rows = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), *(c.alias(n) for n, c in zip(("tag", "tag2"), tags.values(), strict=True)))
     with small_batches(df.sparkSession):
-        light = saved(similar.marked(rows))
+        light = saved(similar.marked(rows, partial(fingerprint, shingle=3, words=1)))
     # Copies collapse to their first row before they are dealt by class.
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "tag", "tag2")).alias("first")
-    classes = saved(light.groupBy("fp").agg(first, F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+    classes = saved(light.groupBy("fp").agg(first, F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("print").alias("print")))
     with small_batches(df.sparkSession):
-        roots = similar.class_roots(light, classes, rows.drop("id")).withColumnRenamed("node", "fp")
+        roots = similar.class_roots(light, classes, rows.drop("id"), print_pairs(classes)).withColumnRenamed("node", "fp")
     kept = classes.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
     stay = kept.select("first.tag", "first.tag2")
     stay = saved(light.join(stay, ["tag", "tag2"], "left_semi").groupBy("tag", "tag2").agg(F.count("*").alias("copies")))
@@ -223,6 +225,16 @@ def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     return kept.select(*df.columns)
 
 
+def print_pairs(classes: DataFrame) -> DataFrame:
+    """(a, b) of classes (fp, print) by their SimHash: those of one fingerprint with the first of them, and firsts whose fingerprints link."""
+    firsts = saved(classes.groupBy(F.col("print").alias("fp")).agg(F.min("fp").alias("node")))
+    same = classes.select("print", F.col("fp").alias("b")).join(firsts.select(F.col("fp").alias("print"), F.col("node").alias("a")), "print")
+    links = linked(firsts.select("fp"))
+    left, right = (firsts.select(F.col("fp").alias(k), F.col("node").alias(f"n_{k}")) for k in "ab")
+    near = links.join(left, "a").join(right, "b").select(F.least("n_a", "n_b").alias("a"), F.greatest("n_a", "n_b").alias("b"))
+    return same.where("a <> b").select("a", "b").unionByName(near)
+
+
 def group_roots(light: DataFrame, words: int, radius: int, bands: int) -> DataFrame:
     """(fp, root) of the distinct fingerprints of ``light``: the smallest fingerprint of each component."""
     distinct = saved(light.select("fp").distinct())

@@ -16,7 +16,7 @@ is as many rows as it has shingles, not all of its pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -94,11 +94,11 @@ def frequent(df: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
     return hot[order], level[order]
 
 
-def marked(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with fp (hash of the shingle set, zero if it is empty), n (its size), sketch and prefix instead of ``text``."""
+def marked(df: DataFrame, fingerprint: Callable[[str | None], bytes], text: str = "text") -> DataFrame:
+    """``df`` with fp (hash of the shingle set, zero if it is empty), n (its size), sketch, prefix and print (its ``fingerprint``) instead of ``text``."""
     shared = df.sparkSession.sparkContext.broadcast(frequent(df, text))
 
-    @F.pandas_udf("fp long, n int, sketch array<long>, prefix array<long>")
+    @F.pandas_udf("fp long, n int, sketch array<long>, prefix array<long>, print binary")
     def of_texts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingle_set(t) for t in batch]
@@ -107,6 +107,7 @@ def marked(df: DataFrame, text: str = "text") -> DataFrame:
                 "n": np.array([len(s) for s in sets], dtype=np.int32),
                 "sketch": pd.Series([sketch(s).view(np.int64) for s in sets], dtype=object),
                 "prefix": pd.Series([prefix(s, *shared.value).view(np.int64) for s in sets], dtype=object),
+                "print": pd.Series([fingerprint(t) for t in batch], dtype=object),
             })
 
     return df.withColumn("of_text", of_texts(F.col(text))).select(*[c for c in df.columns if c != text], "of_text.*")
@@ -278,14 +279,15 @@ def _alike(x: np.ndarray, y: np.ndarray) -> bool:
     return 9 * len(np.intersect1d(x, y, assume_unique=True)) >= 4 * (len(x) + len(y))
 
 
-def class_roots(light: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def class_roots(light: DataFrame, classes: DataFrame, texts: DataFrame, found_by: DataFrame) -> DataFrame:
     """(node, root) of the classes with a link: the smallest class that links lead to.
 
     ``light`` has fp, n and prefix of every row, ``classes`` fp, n, sketch and first (tag, tag2), ``texts`` tag, tag2 and text.
+    ``found_by`` has pairs (a, b) that another method found; they are checked by their sets like all others.
     """
     rows = light.select("fp", "n", F.posexplode("prefix").alias("pos", "token")).select("token", "fp", "pos", "n")
     shared = saved(_sorted(rows).mapInArrow(_shared, "token long, fp long, pos int, n int"))
-    links = exact(shared.mapInArrow(_stars, "a long, b long"), classes, texts)
+    links = exact(found_by.unionByName(shared.mapInArrow(_stars, "a long, b long")), classes, texts)
     roots = saved(components(links))
     rest = shared.join(classes.select("fp", "sketch"), "fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     rest = saved(rest.select("token", "fp", "pos", "n", "sketch", F.coalesce("root", "fp").alias("root")))

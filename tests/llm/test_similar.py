@@ -107,3 +107,17 @@ def test_isolated_pairs_just_above_the_similarity_are_found(spark):
         if 0.80 <= len(a & b) / len(a | b) <= 0.85:
             rows += [(k, " ".join(base)), (k + 1, " ".join(near))]
     assert _found(spark, rows) == list(range(0, 3000, 2))
+
+
+def test_links_of_fingerprints_are_taken_and_checked(spark, monkeypatch):
+    """The pipeline's near-duplicates come through SimHash; a link of fingerprints alone removes nothing."""
+    seen = []
+    monkeypatch.setattr(simhash, "linked", lambda fps, linked=simhash.linked: seen.append(linked(fps)) or seen[-1])
+    words = [f"w{k}" for k in range(400)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:396], "x"])), (3, "a b c d e f"), (4, " ".join(["a b c d e f"] * 3))]
+    assert _found(spark, rows) == _kept(rows) == [1, 3, 4]
+    assert len(seen) == 1 and seen[0].count() > 0
+    # Without the shared shingles the checked links of SimHash are what is left.
+    monkeypatch.setattr(similar, "_stars", lambda batches: iter(()))
+    monkeypatch.setattr(similar, "_within", lambda batches, tile: iter(()))
+    assert _found(spark, rows) == [1, 3, 4]
