@@ -1,8 +1,8 @@
 """Connected components of an edge table by alternating star operations.
 
 Large-star links every larger neighbour of a node to the smallest node of its neighbourhood, small-star does the same with
-the smaller ones; both are grouped minima and one join, so no neighbourhood is ever held in one place.  Rounds end when the
-edges no longer change: each component is then a star around its smallest node.
+the smaller ones; both are grouped minima and one join, so no neighbourhood is ever held in one place.  Rounds end when each
+component is a star around its smallest node.
 """
 
 from __future__ import annotations
@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordforge.llm.common import saved
+from recordforge.llm.common import no_shuffles_left, saved
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """``edges`` (u, v): one star operation; edges come back as (larger, smaller)."""
+    """``edges`` (u, v): one star operation; edges come back as (larger, smaller), repeated ones too."""
     if large:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -23,12 +23,15 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
         moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         moved = moved.unionByName(least.select("u", F.col("m").alias("v")))
-    return moved.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    return moved.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], row["h"]
+def _stars(edges: DataFrame) -> bool:
+    """Whether all components of the distinct edges are stars around their smallest node: no node has two smaller neighbours, or smaller and larger ones."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    with no_shuffles_left(edges.sparkSession):
+        return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -38,11 +41,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.where("a is not null and b is not null and a <> b")
     edges = saved(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    mark = _mark(edges)
-    while mark[0]:
-        edges = saved(_star(_star(edges, large=True), large=False))
-        before, mark = mark, _mark(edges)
-        if before == mark:
-            break
+    while not _stars(edges):
+        # Repeated edges do no harm to a minimum; between the two operations they stay.
+        edges = saved(_star(_star(edges, large=True), large=False).distinct())
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
