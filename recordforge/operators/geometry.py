@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordforge.functions import text as T
 from recordforge.functions.scan import ordered_scan, steps
 
 # Fixed values of the layout rules, in pixels or as a share of the page.
@@ -100,30 +101,33 @@ def _spaced(keys: Sequence[str], index: str, value: str | Column, gap: int | Col
     return F.max(value - F.col(index) * gap).over(upto) + F.col(index) * gap
 
 
-def record_starts(
-    markers: DataFrame, lines: DataFrame, tables: DataFrame, keys: Sequence[str], min_height: int
-) -> DataFrame:
-    """Top of each record: the nearest ruled line above its marker, or just above the marker.
-
-    ``tables`` has ``top`` and ``bottom`` per page.  The as-of join looks in the strip of the
-    marker and in the one above it, each as high as the search window.  Markers are numbered and
-    spaced in chunks of their order, so a page of any length is dealt over tasks.
-    """
-    window = max(START_WINDOW_MIN, min_height)
-    gap = max(30, min_height // 2)
+def _numbered(markers: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Markers of each page with their number and the number of all."""
     placed = ordered_scan(markers.select(*keys, "y"), keys, ["y"], [steps("y", CHUNK)], index="record_ix", size="__count")
-    placed = placed.withColumn("record_ix", F.col("record_ix").cast("int"))
-    strip = F.floor(F.col("y") / F.lit(window))
-    probes = placed.withColumn("__strip", F.explode(F.array(strip, strip - 1)))
-    ruled = lines.select(*keys, F.col("y").alias("line_y")).withColumn("__strip", F.floor(F.col("line_y") / F.lit(window)))
-    nearest = (
+    return placed.withColumn("record_ix", F.col("record_ix").cast("int"))
+
+
+def _in_strips(lines: DataFrame, keys: Sequence[str], window: int) -> DataFrame:
+    """Ruled lines dealt once by page and strip; where they have a coverage, one line with the largest for each place."""
+    dealt = lines.select(*keys, F.col("y").alias("line_y"), *[c for c in lines.columns if c == "coverage"])
+    dealt = dealt.withColumn("__strip", F.floor(F.col("line_y") / F.lit(window))).repartition(*keys, "__strip")
+    return dealt.groupBy(*keys, "__strip", "line_y").agg(F.max("coverage").alias("coverage")) if "coverage" in dealt.columns else dealt
+
+
+def _plain_starts(placed: DataFrame, ruled: DataFrame, tables: DataFrame, keys: Sequence[str], window: int, gap: int) -> DataFrame:
+    strip = lambda y: F.floor(F.col(y) / F.lit(window))
+    framed = placed.join(tables.select(*keys, "top"), list(keys))
+    # The first marker asks for the line at the table's top, too.
+    strips = F.array_distinct(F.array_compact(F.array(strip("y"), strip("y") - 1, F.when(F.col("record_ix") == 1, strip("top")))))
+    probes = framed.select(*keys, "record_ix", "y", "top", F.explode(strips).alias("__strip"))
+    near = (F.col("line_y") < F.col("y")) & (F.col("y") - F.col("line_y") <= window)
+    line = F.struct("line_y", *[c for c in ruled.columns if c == "coverage"])
+    found = (
         probes.join(ruled, [*keys, "__strip"])
-        .where((F.col("line_y") < F.col("y")) & (F.col("y") - F.col("line_y") <= window))
+        .where(near | (F.col("line_y") == F.col("top")))
         .groupBy(*keys, "record_ix")
-        .agg(F.max("line_y").alias("line_y"))
+        .agg(F.max(F.when(near, line))["line_y"].alias("line_y"), F.max(F.col("line_y") == F.col("top")).alias("__top_ruled"))
     )
-    top_ruled = lines.select(*keys, F.col("y").alias("top"), F.lit(True).alias("__top_ruled")).distinct()
-    with_table = placed.join(tables.select(*keys, "top"), list(keys)).join(top_ruled, [*keys, "top"], "left")
     fallback = F.greatest(F.col("top"), F.col("y") - START_FALLBACK)
     first_on_rule = (F.col("record_ix") == 1) & F.col("line_y").isNull() & F.col("__top_ruled")
     start = (
@@ -131,13 +135,27 @@ def record_starts(
         .when(first_on_rule, F.col("top"))
         .otherwise(F.coalesce(F.col("line_y"), fallback))
     )
-    found = with_table.join(nearest, [*keys, "record_ix"], "left").withColumn("start", start)
+    found = framed.join(found, [*keys, "record_ix"], "left").withColumn("start", start)
     # Closed form of start[i] = max(start[i], start[i-1] + gap), as in _spaced.
     behind = F.col("start") - F.col("record_ix") * gap
     spaced = ordered_scan(found.select(*keys, "record_ix", "start"), keys, ["record_ix"], [steps("record_ix", CHUNK)], peak={"__peak": behind})
     return spaced.select(*keys, "record_ix", (F.col("__peak") + F.col("record_ix") * gap).alias("start"))
 
 
+def record_starts(
+    markers: DataFrame, lines: DataFrame, tables: DataFrame, keys: Sequence[str], min_height: int
+) -> DataFrame:
+    """Top of each record: the nearest ruled line above its marker, or just above the marker.
+
+    ``tables`` has ``top`` and ``bottom`` per page.  The as-of join looks in the strip of the
+    marker and in the one above it, each as high as the search window.  Markers are numbered and
+    spaced in chunks of their order, so a page of any length is dealt over tasks.
+    """
+    window, gap = max(START_WINDOW_MIN, min_height), max(30, min_height // 2)
+    ruled = _in_strips(lines.select(*keys, "y"), keys, window)
+    return _plain_starts(_numbered(markers, keys), ruled, tables, keys, window, gap)
+
+
 def optimised_starts(
     markers: DataFrame, lines: DataFrame, tables: DataFrame, keys: Sequence[str], min_height: int, max_height: int, most: int = MOST_OPTIMISED
 ) -> DataFrame:
@@ -145,32 +163,44 @@ def optimised_starts(
 
     A marker may start at one of the ``START_CHOICES`` lowest ruled lines in the window above it, else just above itself.  Of all
     sequences of starts that lie above their markers and far enough apart the cheapest is taken, of equal ones the first in order:
-    a min-plus programme from the last marker up keeps for each choice its best continuation.  A page's markers
-    and choices are a few numbers; pages with more markers, and pages without a valid sequence, keep the starts of
-    ``record_starts``.  ``lines`` has ``coverage``, too.
+    a min-plus programme from the last marker up keeps for each choice its best continuation.  Pages of up to ``most`` markers
+    become one row with the lines of the strips that their markers ask for, a few numbers; those of one marker and those without a valid
+    sequence get the starts of ``record_starts`` from it.  Pages with more markers go through ``record_starts``.  ``lines`` has
+    ``coverage``, too, and is dealt by strip once for both.
     """
     window, gap = max(START_WINDOW_MIN, min_height), max(30, min_height // 2)
-    placed = ordered_scan(markers.select(*keys, "y"), keys, ["y"], [steps("y", CHUNK)], index="record_ix", size="__count")
-    small = placed.where(F.col("__count").between(2, most))
-    strip = F.floor(F.col("y") / F.lit(window))
-    probes = small.withColumn("__strip", F.explode(F.array(strip, strip - 1)))
-    ruled = lines.groupBy(*keys, F.col("y").alias("line_y")).agg(F.max("coverage").alias("coverage")).withColumn("__strip", F.floor(F.col("line_y") / F.lit(window)))
-    near = probes.join(ruled, [*keys, "__strip"]).where((F.col("line_y") < F.col("y")) & (F.col("y") - F.col("line_y") <= window))
-    # The lowest few lines above each marker.
-    best = F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("line_y", "coverage")))), 1, START_CHOICES)
-    near = near.groupBy(*keys, "record_ix").agg(best.alias("__near"))
-    framed = small.join(tables.select(*keys, "top", "bottom"), list(keys)).join(near, [*keys, "record_ix"], "left")
-    above = F.greatest(F.col("top"), F.col("y") - START_FALLBACK)
+    placed, ruled = _numbered(markers, keys), _in_strips(lines, keys, window)
+    above = lambda y: F.greatest(F.col("top"), y - START_FALLBACK)
+    strip = lambda y: F.floor(y / F.lit(window))
+    pages = placed.where(F.col("__count") <= most).repartition(*keys).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("record_ix", "y"))).alias("__m"))
+    pages = pages.join(tables.select(*keys, "top", "bottom"), list(keys))
+    strips = F.flatten(F.transform("__m", lambda m: F.array(strip(m["y"]), strip(m["y"]) - 1, strip(above(m["y"])))))
+    wanted = pages.select(*keys, F.explode(F.array_distinct(F.concat(strips, F.array(strip(F.col("top")))))).alias("__strip"))
+    near = ruled.join(wanted, [*keys, "__strip"], "left_semi").select(*keys, "line_y", "coverage").repartition(*keys)
+    near = near.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("line_y", "coverage")), asc=False).alias("__lines"))
+    pages = pages.join(near, list(keys), "left").withColumn("__lines", F.coalesce("__lines", F.array().cast(near.schema["__lines"].dataType)))
     choice = lambda start, coverage: F.struct(start.cast("long").alias("start"), coverage.cast("double").alias("coverage"))
-    # A start that is no candidate itself may still lie on a ruled line.
-    on_line = lines.groupBy(*keys, F.col("y").alias("__at")).agg(F.max("coverage").alias("__cover"))
-    framed = framed.withColumn("__at", above).join(on_line, [*keys, "__at"], "left")
-    top_line = on_line.withColumnsRenamed({"__at": "top", "__cover": "__top_cover"})
-    framed = framed.join(top_line, [*keys, "top"], "left")
-    alone = F.when(F.col("record_ix") == 1, F.array_distinct(F.array(choice(F.col("top"), F.col("__top_cover")), choice(above, F.col("__cover"))))).otherwise(F.array(choice(above, F.col("__cover"))))
-    choices = F.coalesce(F.transform("__near", lambda c: choice(c["line_y"], c["coverage"])), alone)
-    rows = framed.select(*keys, "bottom", "top", F.struct("record_ix", F.col("y").alias("y"), F.array_sort(choices).alias("choices")).alias("m"))
-    pages = rows.groupBy(*keys, "top", "bottom").agg(F.reverse(F.array_sort(F.collect_list("m"))).alias("__m"))
+    # Lines from below; a start that is no line may still lie on one.
+    over = lambda y: F.slice(F.filter("__lines", lambda c: (c["line_y"] < y) & (y - c["line_y"] <= window)), 1, START_CHOICES)
+    at = lambda y: F.try_element_at(F.filter("__lines", lambda c: c["line_y"] == y), F.lit(1))
+    marker = lambda m: F.struct(m["record_ix"].alias("record_ix"), m["y"].alias("y"), over(m["y"]).alias("near"))
+    pages = pages.withColumn("__m", F.transform("__m", marker))
+
+    def choices(m: Column) -> Column:
+        alone = choice(above(m["y"]), at(above(m["y"]))["coverage"])
+        top = choice(F.col("top"), at(F.col("top"))["coverage"])
+        alone = F.when(m["record_ix"] == 1, F.array_distinct(F.array(top, alone))).otherwise(F.array(alone))
+        return F.array_sort(F.when(F.size(m["near"]) > 0, F.transform(m["near"], lambda c: choice(c["line_y"], c["coverage"]))).otherwise(alone))
+
+    def first(m: Column) -> Column:
+        on_rule = (m["record_ix"] == 1) & (F.size(m["near"]) == 0) & at(F.col("top")).isNotNull()
+        line = F.try_element_at(m["near"], F.lit(1))["line_y"]
+        return F.when(F.size("__m") == 1, above(m["y"])).when(on_rule, F.col("top")).otherwise(F.coalesce(line, above(m["y"])))
+
+    behind = F.transform("__m", lambda m: first(m) - m["record_ix"] * gap)
+    plain = T.let(behind, lambda b: F.transform("__m", lambda m, i: F.array_max(F.slice(b, F.lit(1), i + 1)) + m["record_ix"] * gap))
+    programme = F.reverse(F.transform("__m", lambda m: F.struct(m["y"].alias("y"), choices(m).alias("choices"))))
+    pages = pages.select(*keys, "top", "bottom", plain.alias("__plain"), F.when(F.size("__m") > 1, programme).otherwise(F.slice(programme, 1, 0)).alias("__m"))
     expected = (F.col("bottom") - F.col("top")) / F.size("__m")
     allowed = F.greatest(F.lit(max_height * 1.5), expected * 1.25)
 
@@ -200,11 +230,13 @@ def optimised_starts(
         return F.struct(F.lit(False).alias("first"), F.array_compact(F.transform(above_marker, ways)).alias("ways"))
 
     begin = F.struct(F.lit(True).alias("first"), none.alias("ways"))
-    found = pages.select(*keys, F.aggregate("__m", begin, step)["ways"].alias("__ways"))
-    chosen = found.select(*keys, F.posexplode(F.array_min("__ways")["starts"]).alias("__place", "__start"))
-    chosen = chosen.select(*keys, (F.col("__place") + 1).alias("record_ix"), "__start")
-    plain = record_starts(markers, lines, tables, keys, min_height)
-    return plain.join(chosen, [*keys, "record_ix"], "left").select(*keys, "record_ix", F.coalesce("__start", "start").alias("start"))
+    found = pages.select(*keys, "__plain", F.aggregate("__m", begin, step)["ways"].alias("__ways"))
+    # A page has a start at least; without "outer" a filter on it would be worked out anew below each of these steps.
+    chosen = found.select(*keys, F.array_min("__ways")["starts"].alias("__starts"), F.posexplode_outer("__plain").alias("__place", "start"))
+    starts = F.coalesce(F.try_element_at("__starts", F.col("__place") + 1), "start")
+    small = chosen.select(*keys, (F.col("__place") + 1).alias("record_ix"), starts.alias("start"))
+    large = _plain_starts(placed.where(F.col("__count") > most), ruled, tables, keys, window, gap)
+    return small.unionByName(large)
 
 
 def record_boxes(starts: DataFrame, tables: DataFrame, keys: Sequence[str], min_height: int) -> DataFrame:

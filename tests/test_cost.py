@@ -59,3 +59,11 @@ def test_refined_records_are_assembled_once(spark, sf_dir, monkeypatch):
     out = flows.flow_ledger_refined(spark, sf_dir)
     assert len(kept) == 2 and "regexp_extract_all" not in kept[0]._jdf.queryExecution().optimizedPlan().toString()
     assert "nama_suami" in kept[0].columns and out.columns[:2] == ["batch_id", "rec"]
+
+
+def test_ruled_lines_are_dealt_once_for_both_kinds_of_pages(spark):
+    from recordforge.queries.geometry import g4_optimised_starts
+
+    plan = g4_optimised_starts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    # Pages of few and of many markers read them; the two branches share one exchange.
+    assert plan.count(", e, [k#") == 2
