@@ -67,3 +67,12 @@ def test_ruled_lines_are_dealt_once_for_both_kinds_of_pages(spark):
     plan = g4_optimised_starts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     # Pages of few markers read them once, those of many in both branches of a scan, which share their exchange.
     assert plan.count(", e, [k#") == 3
+
+
+def test_candidates_are_sorted_once_by_field(spark):
+    from recordforge.queries.candidates import c9_decide
+
+    decided = c9_decide(spark, "/root/testdata/sf0.001")
+    decided.collect()
+    plan = decided._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "Sort [" not in plan[: plan.index("Window")]
