@@ -269,3 +269,34 @@ def test_starts_chosen_together_equal_trying_all(spark):
     assert len(chosen) > 60 and got == {k: chosen.get(k, s) for k, s in plain.items()}
     few = G.optimised_starts(*frames, ["page"], least, most, most=1).collect()
     assert {(r["page"], r["record_ix"]): r["start"] for r in few} == plain
+
+
+def test_phrases_of_shuffled_words_are_those_of_the_stream(spark):
+    """Every word was a row of a shuffle and of a window."""
+    import random
+
+    rng = random.Random(3)
+    texts = ["of", "the", "a-of", "the.of", "", "--", None, "der", "x", "strasse", "of the", "straße"]
+    words = [(doc, 1 + doc % 2, n, rng.choice(texts), rng.choice([None, float("nan"), *range(12)]) if doc == 5 else float(n // 40), float(rng.randrange(9))) for doc in range(6) for n in range(500)]
+    words += [(9, 1, n, ("of", "-", "the")[n], 5.0 * n, 0.0) for n in range(3)] + [(None, 1, 1, "Der", 0.0, 0.0)]
+    words = [(d, p, n, t, None if y is None else float(y), x) for d, p, n, t, y, x in words]
+    marks = [W.Anchor(1, "of the of", 0.1, 0.1), W.Anchor(1, "of the", 0.1, 0.2), W.Anchor(1, "DER", 0.1, 0.3), W.Anchor(2, "of of strasse the", 0.1, 0.4), W.Anchor(1, "--", 0.1, 0.5), W.Anchor(2, "of the", 0.1, 0.6)]
+    want = {}
+    rank = lambda v: (v is not None, v != v, 0.0 if v is None or v != v else v)
+    for doc, page in {(w[0], w[1]) for w in words}:
+        stream = []
+        for w in sorted((w for w in words if w[:2] == (doc, page)), key=lambda w: (rank(w[4]), rank(w[5]), w[2])):
+            stream += [(t, w) for t in "".join(c if c.isascii() and c.isalnum() else " " for c in (w[3] or "").upper()).split()]
+        for number, mark in enumerate(marks):
+            tokens = mark.phrase.upper().replace("-", " ").split()
+            for at in range(len(stream)) if tokens and mark.page_no == page else ():
+                if [t for t, _ in stream[at : at + len(tokens)]] == tokens:
+                    want[doc, page, number] = (str(stream[at][1][5]), str(stream[at][1][4]))
+                    break
+    rng.shuffle(words)
+    df = spark.createDataFrame(words, "doc_id long, page_no int, word_ix long, text string, y1 double, x1 double").repartition(5)
+    for chunk in (0.5, 3.0, 1000.0):
+        found = W.match_phrases(df, marks, chunk=chunk)
+        assert {(r["doc_id"], r["page_no"], r["anchor_ix"]): (str(r["observed_x"]), str(r["observed_y"])) for r in found.collect()} == want
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+    assert len(want) > 12
