@@ -15,12 +15,20 @@ def _box(vertices: Column) -> dict[str, Column]:
 
 
 def _word_text(word: Column) -> Column:
-    return F.trim(F.array_join(F.transform(word["symbols"], lambda s: F.coalesce(s["text"], F.lit(""))), ""))
+    return F.trim(F.array_join(word["symbols"]["text"], ""))
+
+
+def _pages(df: DataFrame, key: Sequence[str], pages: str) -> DataFrame:
+    """One row per page; a page without blocks falls out later.
+
+    A plain explode would add a filter by the size of the tree, for which a tree made by the same plan is made once more.
+    """
+    return df.select(*key, F.posexplode_outer(pages).alias("page_ix", "page"))
 
 
 def explode_annotations(df: DataFrame, key: Sequence[str], pages: str = "pages") -> DataFrame:
     """Tree of pages, blocks, paragraphs, words and symbols to one row per word, numbered in reading order."""
-    tree = df.select(*key, F.posexplode(pages).alias("page_ix", "page"))
+    tree = _pages(df, key, pages)
     tree = tree.select(*key, "page_ix", F.col("page.width").alias("page_width"), F.col("page.height").alias("page_height"), F.posexplode("page.blocks").alias("b", "block"))
     tree = tree.select(*[c for c in tree.columns if c != "block"], F.posexplode("block.paragraphs").alias("p", "paragraph"))
     tree = tree.select(*[c for c in tree.columns if c != "paragraph"], F.posexplode("paragraph.words").alias("w", "word"))
@@ -34,15 +42,18 @@ def explode_annotations(df: DataFrame, key: Sequence[str], pages: str = "pages")
 
 def explode_paragraphs(df: DataFrame, key: Sequence[str], pages: str = "pages") -> DataFrame:
     """One row per paragraph: joined words, mean word confidence and the box around its words."""
-    tree = df.select(*key, F.posexplode(pages).alias("page_ix", "page")).select(*key, "page_ix", F.posexplode("page.blocks").alias("b", "block"))
+    tree = _pages(df, key, pages).select(*key, "page_ix", F.posexplode("page.blocks").alias("b", "block"))
     tree = tree.select(*key, "page_ix", "b", F.posexplode("block.paragraphs").alias("p", "paragraph"))
     words = F.filter(F.transform("paragraph.words", lambda w: F.struct(_word_text(w).alias("text"), w["confidence"].alias("confidence"), w["bounding_box"]["vertices"].alias("v"))), lambda w: w["text"] != "")
-    rows = tree.withColumn("words", words).where(F.size("words") > 0)
+    # A filter by the size of the words would read every symbol twice.
+    spoken = F.explode_outer(F.filter(F.array(words), lambda w: F.size(w) > 0))
+    rows = tree.select(*key, "page_ix", "b", "p", spoken.alias("words")).where(F.col("words").isNotNull())
+    rows = rows.withColumn("corners", F.flatten(F.filter(F.col("words.v"), lambda v: v.isNotNull())))
     total = F.aggregate("words", F.lit(0.0), lambda a, w: a + F.coalesce(w["confidence"], F.lit(0.0)))
     return rows.select(
         *key, "page_ix", (F.col("b").cast("long") * F.lit(10**6) + F.col("p")).alias("line_ix"),
         F.array_join(F.col("words.text"), " ").alias("text"), (total / F.size("words")).alias("confidence"),
-        *[v.alias(k) for k, v in _box(F.flatten(F.filter(F.col("words.v"), lambda v: v.isNotNull()))).items()],
+        *[v.alias(k) for k, v in _box(F.col("corners")).items()],
     )
 
 

@@ -76,3 +76,27 @@ def test_candidates_are_sorted_once_by_field(spark):
     decided.collect()
     plan = decided._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "Sort [" not in plan[: plan.index("Window")]
+
+
+def test_trees_made_by_the_plan_are_made_once(spark, sf_dir):
+    """Filters by the size of a tree and of its words made both once more, before documents were spread."""
+    from recordforge.queries import scans
+
+    for query, most in ((scans.io6_explode_paragraphs, 1), (scans.io6_explode_annotations, 1)):
+        plan = query(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("vertices, array(") == most and plan.count("array_join(") <= 2
+
+
+def test_pages_without_blocks_or_words(spark):
+    from recordforge.sources import annotations
+
+    schema = """k int, pages array<struct<width: int, height: int, blocks: array<struct<paragraphs: array<struct<words:
+     array<struct<symbols: array<struct<text: string>>, confidence: double, bounding_box: struct<vertices: array<struct<x: int, y: int>>>>>>>>>>>"""
+    word = lambda *symbols, at=3: ([(s,) for s in symbols], 0.5, ([(at, None), (at + 2, 4)],))
+    page = lambda *words: (1, 1, [([(list(words),)],)])
+    rows = [(1, None), (2, []), (3, [None]), (4, [(1, 1, None)]), (5, [page()]), (6, [page(word(" "), word(None), (None, 0.5, None))])]
+    rows += [(7, [None, page(word("a", None, "b"), word("c", at=9), (([("d",)]), None, None))])]
+    df = spark.createDataFrame(rows, schema)
+    got = annotations.explode_paragraphs(df, ["k"]).collect()
+    assert [tuple(r) for r in got] == [(7, 1, 0, "ab c d", 1.0 / 3, 3.0, 0.0, 11.0, 4.0)]
+    assert [(r["k"], r["page_ix"], r["word_ix"], r["text"]) for r in annotations.explode_annotations(df, ["k"]).collect()] == [(7, 1, 0, "ab"), (7, 1, 1, "c"), (7, 1, 2, "d")]
