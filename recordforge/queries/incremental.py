@@ -13,7 +13,7 @@ from recordforge.operators import reconcile as M
 from recordforge.queries import query
 from recordforge.queries.reconcile import PAYLOADS
 from recordforge.queries.store import TRANSITIONS
-from recordforge.session import ensure_checkpoint_dir
+from recordforge.session import ensure_checkpoint_dir, stored
 from recordforge.sources import records
 from recordforge.streaming import incremental as S
 
@@ -70,7 +70,9 @@ def s2_upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("s3_isolate_failures", "select rec, case when rec%6=5 or rec%24=0 then 'bad' else 'good' end as side from fx_responses")
 def s3_isolate_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     payloads = fixtures.sql(spark, sf_dir, PAYLOADS.format(n="'\\n'"))
-    good, bad = S.isolate_failures(M.parse_responses(payloads, "payload", "k bigint", ["rec"]), "parse_error")
+    # Both sides read the responses, which are parsed once.
+    parsed = stored(M.parse_responses(payloads, "payload", "k bigint", ["rec"]).select("rec", "parse_error"))
+    good, bad = S.isolate_failures(parsed, "parse_error")
     return good.select("rec", F.lit("good").alias("side")).unionByName(bad.select("rec", F.lit("bad").alias("side")))
 
 

@@ -100,3 +100,16 @@ def test_pages_without_blocks_or_words(spark):
     got = annotations.explode_paragraphs(df, ["k"]).collect()
     assert [tuple(r) for r in got] == [(7, 1, 0, "ab c d", 1.0 / 3, 3.0, 0.0, 11.0, 4.0)]
     assert [(r["k"], r["page_ix"], r["word_ix"], r["text"]) for r in annotations.explode_annotations(df, ["k"]).collect()] == [(7, 1, 0, "ab"), (7, 1, 1, "c"), (7, 1, 2, "d")]
+
+
+def test_failures_are_isolated_from_one_parse(spark, sf_dir):
+    """Both sides parsed every response, and once more for the filter."""
+    from recordforge.operators import reconcile as M
+    from recordforge.queries.incremental import s3_isolate_failures
+
+    assert "from_json" not in s3_isolate_failures(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    texts = ["```json\n{\"k\": 1}\n```", "  ```JSON {\"k\": 2}```  ", "{\"k\": 3}", "see ```{\"k\": 4}``` there", "\n{\"k\": 5}", "```", "", None, "{\"k\": \"x\"}", "[1]"]
+    rows = M.parse_responses(spark.createDataFrame(list(enumerate(texts)), "rec int, payload string"), "payload", "k bigint", ["rec"]).orderBy("rec").collect()
+    assert [r["response"] and r["response"]["k"] for r in rows] == [1, 2, 3, 4, 5, None, None, None, None, None]
+    assert [r["repaired"] for r in rows] == [False, False, False, True, True, False, False, False, True, False]
+    assert [r["parse_error"] for r in rows] == [None] * 5 + ["invalid JSON"] * 3 + ["type mismatch", "invalid JSON"]
