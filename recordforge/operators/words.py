@@ -454,41 +454,24 @@ def text_of_lines(lines: DataFrame, keys: Sequence[str], line: Sequence[str] = (
 # ---------------------------------------------------------------- template regions
 
 
-def _region_literals(regions: Sequence[Region], tolerance: float = 0.0) -> Column:
-    """Template regions as one literal array; its size is the size of the template."""
-
-    def literal(r: Region) -> Column:
-        return F.struct(
-            F.lit(r.field).alias("field"),
-            F.lit(r.page_no).alias("page_no"),
-            F.lit(max(0.0, r.x1 - tolerance)).alias("x1"),
-            F.lit(max(0.0, r.y1 - tolerance)).alias("y1"),
-            F.lit(min(1.0, r.x2 + tolerance)).alias("x2"),
-            F.lit(min(1.0, r.y2 + tolerance)).alias("y2"),
-        )
-
-    return F.array(*[literal(r) for r in regions])
-
-
 def words_in_regions(words: DataFrame, regions: Sequence[Region], tolerance: float = REGION_TOLERANCE) -> DataFrame:
-    """Words whose centre lies in an expanded template region: one pass over the words, no join."""
+    """Words whose centre lies in an expanded template region: one pass over the words, no join.
+
+    The tests are plain conditions, which compile; the size of the plan is the size of the template.
+    """
     centre_x = (F.col("x1") + F.col("x2")) / F.lit(2.0)
     centre_y = (F.col("y1") + F.col("y2")) / F.lit(2.0)
 
-    def hit(region: Column) -> Column:
+    def hit(region: Region) -> Column:
         return (
-            (region["page_no"] == F.col("page_no"))
-            & (region["x1"] <= F.col("__cx")) & (F.col("__cx") <= region["x2"])
-            & (region["y1"] <= F.col("__cy")) & (F.col("__cy") <= region["y2"])
+            (F.col("page_no") == region.page_no)
+            & F.col("__cx").between(max(0.0, region.x1 - tolerance), min(1.0, region.x2 + tolerance))
+            & F.col("__cy").between(max(0.0, region.y1 - tolerance), min(1.0, region.y2 + tolerance))
         )
 
-    return (
-        words.withColumn("__cx", centre_x)
-        .withColumn("__cy", centre_y)
-        .withColumn("__hit", F.explode(F.filter(_region_literals(regions, tolerance), hit)))
-        .withColumn("field", F.col("__hit.field"))
-        .drop("__cx", "__cy", "__hit")
-    )
+    fields = F.array(*[F.when(hit(r), F.lit(r.field)) for r in regions]).cast("array<string>")
+    placed = words.withColumns({"__cx": centre_x, "__cy": centre_y})
+    return placed.withColumn("field", F.explode(fields)).where(F.col("field").isNotNull()).drop("__cx", "__cy")
 
 
 def match_phrases(

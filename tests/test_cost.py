@@ -113,3 +113,17 @@ def test_failures_are_isolated_from_one_parse(spark, sf_dir):
     assert [r["response"] and r["response"]["k"] for r in rows] == [1, 2, 3, 4, 5, None, None, None, None, None]
     assert [r["repaired"] for r in rows] == [False, False, False, True, True, False, False, False, True, False]
     assert [r["parse_error"] for r in rows] == [None] * 5 + ["invalid JSON"] * 3 + ["type mismatch", "invalid JSON"]
+
+
+def test_regions_are_plain_conditions(spark, sf_dir):
+    """Every word was compared with a list of regions that does not compile."""
+    from recordforge.operators import words as W
+    from recordforge.queries.words import w6_words_in_regions
+
+    assert "lambda" not in w6_words_in_regions(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    regions = [W.Region("a", 1, 0.0, 0.0, 0.5, 0.5), W.Region("b", 1, 0.4, 0.4, 0.9, 0.9), W.Region("a", 2, 0.0, 0.0, 1.0, 1.0)]
+    words = [(1, 1, 0.45, 0.45), (1, 2, 0.505, 0.2), (2, 3, 0.995, 1.0), (3, 4, 0.1, 0.1), (None, 5, 0.1, 0.1), (1, 6, None, 0.1), (1, 7, float("nan"), 0.1)]
+    df = spark.createDataFrame([(p, n, x, y, x, y) for p, n, x, y in words], "page_no int, word_ix int, x1 double, y1 double, x2 double, y2 double")
+    got = W.words_in_regions(df, regions)
+    assert got.columns == [*df.columns, "field"]
+    assert sorted((r["word_ix"], r["field"]) for r in got.collect()) == [(1, "a"), (1, "b"), (2, "a"), (3, "a")]
