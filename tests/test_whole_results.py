@@ -44,3 +44,20 @@ def test_exploded_rows_are_not_broadcast(spark):
     sheets = spark.range(20).selectExpr("id as doc_id", "1 as page_no", "15 as n_words", "cast(null as string) as error")
     found = typed.results_of_fields(raw, sheets, expected_pages=1)
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_strict_rows_of_a_document_that_lie_apart(spark):
+    """The rows of a scan were sorted for an aggregate; those of a document may lie apart, repeat or be null."""
+    from pyspark.sql import functions as F
+
+    from recordforge.operators import validate as V
+
+    texts = [f for f in ("bil", "nama_suami", "ic_lama_suami", "ic_baru_suami", "nama_isteri", "ic_lama_isteri", "ic_baru_isteri", "mas_kahwin", "tarikh_nikah", *TYPED_FIELDS[8:14])]
+    records = spark.range(3).select("id", *[F.lit("1/1990").alias(f) for f in texts], F.lit(30).alias("umur_suami"), F.lit(30).alias("umur_isteri"))
+    raw = [(0, "bil", "a", 0.2), (1, "bil", None, 0.9), (0, "saksi_1", "BANGSA", 0.9), (0, "bil", "b", 0.7), (1, "bil", "c", None), (0, "bil", "b", 0.6)]
+    out = V.validate_strict(records, spark.createDataFrame(raw, "id long, field string, raw_text string, confidence double"), ["id"], 0.5)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "max(CASE" not in plan
+    got = {r["id"]: {d["field"]: (d["confidence"], d["issues"]) for d in r["diagnostics"]} for r in out.collect()}
+    assert got[0]["bil"] == (0.7, []) and got[0]["saksi_1"] == (0.9, ["contamination: BANGSA"])
+    assert got[1]["bil"] == (0.0, ["confidence below threshold: 0.000"]) and got[2]["bil"] == (0.0, ["missing field"])
