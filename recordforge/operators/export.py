@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from recordforge.functions import text as T
@@ -137,7 +137,9 @@ def typed_rows(results: DataFrame, existing: DataFrame | None = None, order: Seq
         column = F.array_join(field, "; ") if types[field].startswith("array") else F.col(field).cast("string")
         return F.coalesce(column, F.lit("")).alias(header)
 
-    newest = latest(results, ["source_file"], list(order)).select(*[value(h) for h in TYPED_CSV_COLUMNS])
+    # A rank, of which each task keeps its first rows before the shuffle: unlike in a packed row, columns nobody reads later don't travel.
+    place = F.row_number().over(Window.partitionBy("source_file").orderBy(*[F.desc(c) for c in order]))
+    newest = results.withColumn("__place", place).where(F.col("__place") == 1).select(*[value(h) for h in TYPED_CSV_COLUMNS])
     if existing is not None:
         # Columns an older file lacks are read as empty text.
         old = existing.select(*[F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(h) if h in existing.columns else F.lit("").alias(h) for h in TYPED_CSV_COLUMNS])

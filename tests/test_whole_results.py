@@ -61,3 +61,25 @@ def test_strict_rows_of_a_document_that_lie_apart(spark):
     got = {r["id"]: {d["field"]: (d["confidence"], d["issues"]) for d in r["diagnostics"]} for r in out.collect()}
     assert got[0]["bil"] == (0.7, []) and got[0]["saksi_1"] == (0.9, ["contamination: BANGSA"])
     assert got[1]["bil"] == (0.0, ["confidence below threshold: 0.000"]) and got[2]["bil"] == (0.0, ["missing field"])
+
+
+def test_second_readings_of_repeated_and_missing_fields(spark, monkeypatch):
+    """Every document was assembled and checked three times, and its rows per field met in seven joins."""
+    from recordforge.operators import extract
+    from recordforge.plans import typed
+
+    schema = "doc_id long, field string, raw_text string, confidence double"
+    raw = [(1, "bil", "NO", 0.9), (1, "bil", "MAYBE", 0.2), (1, "nama_suami", "ALI", 0.3), (1, "other", "x", 0.9), (2, "bil", "1/1990", 0.9), (4, "bil", None, None)]
+    again = [(1, "bil", "7/1991", 0.9), (1, "nama_suami", "ALI BIN ABU", 0.1), (1, "saksi_1", "SITI", 0.9), (2, "bil", "8/1991", 1.0), (3, "bil", "9/1991", 0.9), (4, "bil", "5/1990", None)]
+    sheets = spark.range(1, 5).selectExpr("id as doc_id", "1 as page_no", "15 as n_words", "cast(null as string) as error")
+    built = []
+    monkeypatch.setattr(extract, "assemble_typed", lambda *a: built.append(a))
+    found = typed.results_of_fields(spark.createDataFrame(raw, schema), sheets, expected_pages=1, retries=spark.createDataFrame(again, schema), max_retry=15)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not built and plan.count("Join ") == 2
+    got = {r["doc_id"]: r for r in found.collect()}
+    assert (got[1]["bil"], got[1]["nama_suami"], got[1]["saksi_1"], got[1]["retry_count"]) == ("7/1991", "ALI", "SITI", 3)
+    assert (got[2]["bil"], got[2]["retry_count"], len(got[2]["failed_fields"])) == ("1/1990", 0, 14)
+    assert (got[3]["status"], got[3]["retry_count"], got[3]["failed_fields"], got[3]["diagnostics"]) == ("FAILED", 0, [], None)
+    # A second reading without a confidence is not better than none.
+    assert (got[4]["bil"], got[4]["retry_count"], got[4]["diagnostics"][0]["valid"]) == (None, 0, False)
