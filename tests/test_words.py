@@ -300,3 +300,24 @@ def test_phrases_of_shuffled_words_are_those_of_the_stream(spark):
         assert {(r["doc_id"], r["page_no"], r["anchor_ix"]): (str(r["observed_x"]), str(r["observed_y"])) for r in found.collect()} == want
         assert found._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
     assert len(want) > 12
+
+
+def test_line_runs_are_the_lines_and_deal_words_once(spark):
+    """Words travelled with all their columns, shaken ones in a row each, and once more for the numbers of their lines."""
+    from recordforge.functions.pack import packed
+
+    rows = [(k % 3 if k % 7 else None, k, f"w{k}", 50.0 * (k % 20), 8.0 * (k // 30) + k % 3 + 3 * (k % 2), 0.0, 8.0 * (k // 30) + k % 3 + 12) for k in range(600)]
+    words = spark.createDataFrame([(*r[:5], r[3] + 40, r[6]) for r in rows], "doc_id int, word_ix long, text string, x1 double, y1 double, x2 double, y2 double")
+    for runs, lines, args in ((W.line_runs_px, W.group_lines_px, ()), (W.line_runs_unit, W.group_lines_unit, (6.0,)), (W.line_runs_gap, W.group_lines_gap, (1.0,))):
+        got = runs(words, ["doc_id"], *args)
+        assert got.columns == ["doc_id", "segment", "part", "word_ix"]
+        found = sorted((r["doc_id"] or -1, w, r["segment"], r["part"]) for r in got.collect() for w in r["word_ix"])
+        assert found == sorted((r["doc_id"] or -1, r["word_ix"], r["segment"], r["part"]) for r in lines(words, ["doc_id"], *args).collect())
+        assert len(found) == 600 and len({f[2:] for f in found}) > 3
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        packs = [line for line in plan.splitlines() if "MapInArrow" in line and "__band" in line]
+        # Both sides pack the same columns, so that they share the exchange, and none packs the text.
+        assert packs and all("text" not in line and all(f"{c}#" in line for c in ("word_ix", "x1", "y1", "y2")) for line in packs)
+    apart = spark.createDataFrame([(k % 2, k) for k in range(10)], "a int, b int").coalesce(1)
+    assert sorted((r["a"], r["b"]) for r in packed(apart, ["a"], gather=True).collect()) == [(0, [0, 2, 4, 6, 8]), (1, [1, 3, 5, 7, 9])]
+    assert packed(apart, ["a"]).count() == 10
