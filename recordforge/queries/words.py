@@ -136,17 +136,17 @@ BLOCK_KEYS = ["doc_id", "page_no", "col_no"]
 def _numbered(lines: DataFrame) -> DataFrame:
     """Lines of each block by number; a block has at most 240 words."""
     place = F.dense_rank().over(Window.partitionBy(*BLOCK_KEYS).orderBy("segment", "part"))
-    return lines.select(*BLOCK_KEYS, "word_ix", (place - 1).cast("long").alias("line_no"))
+    return lines.withColumn("line_no", (place - 1).cast("long")).select(*BLOCK_KEYS, F.explode("word_ix").alias("word_ix"), "line_no")
 
 
 @query("w3_group_lines_fold", FOLD_SQL.format(source=BLOCKS, order="y1, x1, word_ix", tol="10.0"))
 def w3_group_lines_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _numbered(W.group_lines_px(fixtures.sql(spark, sf_dir, BLOCKS), BLOCK_KEYS))
+    return _numbered(W.line_runs_px(fixtures.sql(spark, sf_dir, BLOCKS), BLOCK_KEYS))
 
 
 @query("w5_group_lines_fold", FOLD_SQL.format(source=BLOCKS, order="cy, x1, word_ix", tol="6.0"))
 def w5_group_lines_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _numbered(W.group_lines_unit(fixtures.sql(spark, sf_dir, BLOCKS), BLOCK_KEYS, tolerance=6.0))
+    return _numbered(W.line_runs_unit(fixtures.sql(spark, sf_dir, BLOCKS), BLOCK_KEYS, tolerance=6.0))
 
 
 REGIONS = (
