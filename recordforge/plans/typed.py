@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from recordforge.operators import export, extract, validate, words
 from recordforge.operators.words import Anchor, Region
-from recordforge.session import cut
+from recordforge.session import cut, stored
 
 KEY = ["doc_id"]
 
@@ -31,7 +31,8 @@ def typed_results(
     """
     # One small row per page; several branches read it.
     transforms = cut(words.estimate_transform(pages, words.match_phrases(tokens, anchors)))
-    fields = words.fields_from_regions(tokens, transforms, regions)
+    # Words of the regions are read for their bands and for their lines.
+    fields = words.fields_from_regions(tokens, transforms, regions, cut=stored)
     raw = cut(fields.select("doc_id", "field", "raw_text", "confidence"))
     return results_of_fields(raw, pages, threshold, expected_pages, retries, max_retry)
 

@@ -127,3 +127,13 @@ def test_regions_are_plain_conditions(spark, sf_dir):
     got = W.words_in_regions(df, regions)
     assert got.columns == [*df.columns, "field"]
     assert sorted((r["word_ix"], r["field"]) for r in got.collect()) == [(1, "a"), (1, "b"), (2, "a"), (3, "a")]
+
+
+def test_words_of_regions_are_found_once(spark, sf_dir):
+    """Four branches met all words with the regions of their pages again."""
+    from recordforge.plans import typed
+    from recordforge.queries import flows, words
+
+    for query in (words.w11_fields_from_regions, flows.flow_typed_results):
+        assert "__regions" not in query(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert typed.stored is words.stored
